@@ -80,8 +80,10 @@ def register(
     checked = entries.withColumn("problem", required_error())
     valid = checked.where("problem = ''").select(*_KEY, "copies")
 
-    known = valid.join(ledger.select(*_KEY, "status"), _KEY, "left")
+    # A run in the ledger without a status counts as one with an unknown status.
     status = F.col("status")
+    states = ledger.select(*_KEY, F.coalesce(status, F.lit("unknown")).alias("status"))
+    known = valid.join(states, _KEY, "left")
     in_ledger = status.isNotNull()
     settled = status.isin(*SETTLED)
     outcome = (
@@ -250,12 +252,12 @@ def apply_job_states(ledger: DataFrame, job_states: DataFrame, as_of: str) -> Da
 def apply_updates(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     """Set status, message and error of runs.
 
-    ``updates`` has the feed keys, ``status``, ``message``, ``error`` and ``at`` (ISO text).  The
+    ``updates`` has the feed keys, ``status``, ``message``, ``error`` and ``updated_at`` (ISO text).  The
     latest one of each run counts; of those with the same time the greatest.  An empty message
     or error leaves the old one.
     """
     latest = updates.groupBy(*_KEY).agg(
-        F.max(F.struct("at", "status", "message", "error")).alias("u")
+        F.max(F.struct("updated_at", "status", "message", "error")).alias("u")
     )
     joined = ledger.join(latest, _KEY, "left")
 
@@ -269,7 +271,7 @@ def apply_updates(ledger: DataFrame, updates: DataFrame) -> DataFrame:
         {
             "message": given("message"),
             "error": given("error"),
-            "last_updated": F.col("u.at"),
+            "last_updated": F.col("u.updated_at"),
             "status": given("status"),
         },
     ).drop("u")

@@ -36,6 +36,13 @@ def discover_feeds(
     return manifest_of(list_files(spark, root), as_of, exact_names=exact_names)
 
 
+def write_manifest(manifest: DataFrame, path: str, as_of: str, root: str) -> None:
+    """Write the entries and, next to them, their number with time and place."""
+    manifest.write.mode("overwrite").json(f"{path.rstrip('/')}/combinations")
+    summary = manifest_summary(manifest, as_of, root)
+    summary.write.mode("overwrite").json(f"{path.rstrip('/')}/summary")
+
+
 def manifest_summary(manifest: DataFrame, as_of: str, root: str) -> DataFrame:
     """One row with the number of feeds, the time and the place."""
     return manifest.agg(F.count("*").alias("total")).select(

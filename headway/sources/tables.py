@@ -8,7 +8,7 @@ line and each group is one native CSV scan with its own schema.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -40,10 +40,9 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.option("header", "true").csv(path).columns)
 
 
-def _by_header(spark: SparkSession, paths: Iterable[str]) -> dict[tuple[str, ...], list[str]]:
+def _by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
     """Group files by header.  Only first lines are read, many files at a time."""
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    paths = list(paths)
     with ThreadPoolExecutor(max_workers=16) as pool:
         for path, header in zip(paths, pool.map(lambda p: _header(spark, p), paths)):
             groups[header].append(path)
@@ -75,7 +74,7 @@ def read_table(
     if mixed_headers:
         # One path per file: what Spark itself keeps on the driver to plan a scan.
         files = [row.path for row in list_files(spark, base).toLocalIterator()]
-        groups = _by_header(spark, [f for f in files if not f.rsplit("/", 1)[1].startswith("_")])
+        groups = _by_header(spark, files)
     else:
         reader = spark.read.option("header", "true").option("basePath", base)
         groups = {tuple(c for c in reader.csv(base).columns if c not in FEED): [base]}
@@ -147,7 +146,7 @@ def write_feed_table(
     replaced.
     """
     writer = (
-        df.hint("rebalance", *FEED)
+        df.hint("rebalance", *[F.col(name) for name in FEED])
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)

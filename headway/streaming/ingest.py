@@ -57,7 +57,6 @@ def ingest_new_feeds(
         touched = with_feed_columns(batch).select(*FEED).distinct()
         known = feed_completeness(list_files(spark, root), exact_names=exact_names)
         feeds = known.where("is_complete").select(*FEED).join(touched, list(FEED), "left_semi")
-        # The batch must be read to the end in any case, so an empty one is no error.
         if not feeds.isEmpty():
             handle(feeds)
 
