@@ -3,31 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from headway.functions import clean_id, lower_id, lstrip_zeros, zfill
+from headway.functions import clean_id, lstrip_zeros, zfill
 from headway.schemas import FEED
 
-Spelling = Callable[[Column], Column]
 
 
-def _no_zeros(c: Column) -> Column:
-    return lstrip_zeros(clean_id(c))
+class Rung(NamedTuple):
+    """A way to spell a key: ``spell`` applied to its raw, clean, bare or neat form.
+
+    Bare is the clean key without leading zeros, neat is the bare key cleaned again.
+    """
+
+    name: str
+    form: str
+    spell: Callable[[Column], Column]
+
+
+def _as_is(c: Column) -> Column:
+    return c
+
+
+def _lower_pad(c: Column) -> Column:
+    return zfill(F.lower(c))
 
 
 # Spellings tried in turn.  The first that gives a feed any common key is used for all its keys.
-LADDER: tuple[tuple[str, Spelling], ...] = (
-    ("exact", lambda c: c),
-    ("lower", lower_id),
-    ("pad", lambda c: zfill(lower_id(c))),
-    ("strip", _no_zeros),
-    ("strip_lower", lambda c: lower_id(_no_zeros(c))),
-    ("strip_lower_pad", lambda c: zfill(lower_id(_no_zeros(c)))),
+LADDER: tuple[Rung, ...] = (
+    Rung("exact", "raw", _as_is),
+    Rung("lower", "clean", F.lower),
+    Rung("pad", "clean", _lower_pad),
+    Rung("strip", "bare", _as_is),
+    Rung("strip_lower", "neat", F.lower),
+    Rung("strip_lower_pad", "neat", _lower_pad),
 )
 # The shorter ladder of the shapes job.
 MACRO_LADDER = LADDER[:3]
 
+Ladder = Sequence[Rung]
+
 
 def unmatched(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Distinct non-null keys of the left side without a partner on the right."""
@@ -87,95 +104,102 @@ def key_overlap(
     )
 
 
-def _spelled(keys: DataFrame, key: str, ladder: Sequence[tuple[str, Spelling]]) -> DataFrame:
-    """Each key once per rung, as ``rung`` and ``spelling``."""
+def _spelled(df: DataFrame, key: str, ladder: Ladder) -> DataFrame:
+    """Each row once per rung, with the ``spelling`` of its key and the clean key ``resolved``."""
+    # One step per form keeps the expressions from being written out again and again.
+    forms = (
+        df.where(F.col(key).isNotNull())
+        .withColumn("raw", F.col(key).cast("string"))
+        .withColumn("clean", clean_id("raw"))
+        .withColumn("bare", lstrip_zeros("clean"))
+        .withColumn("neat", clean_id("bare"))
+    )
     rungs = F.array(
         *[
-            F.struct(F.lit(i).alias("rung"), spell(F.col(key).cast("string")).alias("spelling"))
-            for i, (_, spell) in enumerate(ladder)
+            F.struct(F.lit(i).alias("rung"), rung.spell(F.col(rung.form)).alias("spelling"))
+            for i, rung in enumerate(ladder)
         ]
     )
-    return keys.select("*", F.inline(rungs))
+    return forms.select(*df.columns, F.inline(rungs)).withColumn("resolved", clean_id("spelling"))
+
+
+def _matches(
+    left: DataFrame, right: DataFrame, key: str, ladder: Ladder, by: Sequence[str]
+) -> DataFrame:
+    """Pairs of a distinct left key and a right row that meet on some rung.
+
+    A rung is tried on the spelling as it is, while the join itself ignores outer space.
+    """
+    keys = _spelled(left.select(*by, key).distinct(), key, ladder)
+    rows = _spelled(right, key, ladder).withColumnRenamed("spelling", "other").drop(key)
+    pairs = keys.join(rows, [*by, "rung", "resolved"])
+    return pairs.withColumn("same", F.col("spelling") == F.col("other")).drop("spelling", "other")
+
+
+def _best(matches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The first rung of each feed on which any spelling is common."""
+    return matches.where("same").groupBy(*by).agg(F.min("rung").alias("rung"))
 
 
 def key_choice(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    ladder: Sequence[tuple[str, Spelling]] = LADDER,
+    ladder: Ladder = LADDER,
     by: Sequence[str] = FEED,
 ) -> DataFrame:
     """The rung each feed uses and the keys common under it; ``none`` when no rung helps."""
-    names = F.array(*[F.lit(name) for name, _ in ladder])
-    return _choice(_sides(left, right, key, by), key, ladder, by).select(
-        *by,
-        F.coalesce(F.get(names, "rung"), F.lit("none")).alias("rung"),
-        F.coalesce("n_common", F.lit(0)).alias("n_common"),
-    )
-
-
-def _choice(sides: DataFrame, key: str, ladder: Sequence, by: Sequence[str]) -> DataFrame:
-    matched = (
-        _spelled(sides, key, ladder)
-        .groupBy(*by, "rung", "spelling")
+    names = F.array(*[F.lit(rung.name) for rung in ladder])
+    spelled = _spelled(_sides(left, right, key, by), key, ladder)
+    common = (
+        spelled.groupBy(*by, "rung", "spelling")
         .agg((F.max("l") & F.max("r")).alias("common"))
         .groupBy(*by, "rung")
         .agg(F.count_if("common").alias("n_common"))
     )
     best = F.min(F.when(F.col("n_common") > 0, F.struct("rung", "n_common")))
-    return matched.groupBy(*by).agg(best.alias("b")).select(*by, "b.rung", "b.n_common")
+    return common.groupBy(*by).agg(best.alias("b")).select(
+        *by,
+        F.coalesce(F.get(names, "b.rung"), F.lit("none")).alias("rung"),
+        F.coalesce("b.n_common", F.lit(0)).alias("n_common"),
+    )
 
 
-def key_map(
+def lookup_for(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    ladder: Sequence[tuple[str, Spelling]] = LADDER,
+    ladder: Ladder = LADDER,
     by: Sequence[str] = FEED,
 ) -> DataFrame:
-    """(feed, raw key) → key under the spelling of the feed, for the keys of both sides.
+    """The right table keyed by the raw keys of the left one, with the key as ``resolved``.
 
-    All work is on distinct keys; no data row is touched and nothing reaches the driver.
+    Joining the left table to this on its raw key equals rewriting both sides and joining them,
+    but leaves the (large) left table with one join.  All other work is on its distinct keys;
+    nothing reaches the driver.
     """
-    sides = _sides(left, right, key, by)
-    choice = _choice(sides, key, ladder, by).select(*by, F.coalesce("rung", F.lit(0)).alias("rung"))
-    spelled = _spelled(sides.select(*by, key), key, ladder)
-    return spelled.join(choice, [*by, "rung"]).select(
-        *by, key, clean_id("spelling").alias(f"resolved_{key}")
-    )
+    matches = _matches(left, right, key, ladder, by)
+    return matches.join(_best(matches, by), [*by, "rung"]).drop("rung", "same")
 
 
 def resolve_keys(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    ladder: Sequence[tuple[str, Spelling]] = LADDER,
+    ladder: Ladder = LADDER,
     by: Sequence[str] = FEED,
 ) -> tuple[DataFrame, DataFrame]:
-    """Both sides with the key rewritten to the spelling that makes their feed match."""
-    mapping = key_map(left, right, key, ladder, by)
+    """Both sides with the key rewritten to the spelling that makes their feed match.
+
+    Keys of a feed without any match are only cleaned.
+    """
+    sides = _sides(left, right, key, by)
+    best = _best(_matches(left, right.select(*by, key).distinct(), key, ladder, by), by)
+    chosen = _spelled(sides.select(*by, key), key, ladder).join(best, [*by, "rung"])
+    mapping = chosen.select(*by, key, "resolved")
 
     def rewrite(df: DataFrame) -> DataFrame:
         joined = df.join(mapping, [*by, key], "left")
-        return joined.withColumn(key, F.col(f"resolved_{key}")).select(*df.columns)
+        return joined.withColumn(key, F.coalesce("resolved", clean_id(key))).select(*df.columns)
 
     return rewrite(left), rewrite(right)
-
-
-def lookup_for(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    ladder: Sequence[tuple[str, Spelling]] = LADDER,
-    by: Sequence[str] = FEED,
-) -> DataFrame:
-    """The right table keyed by the raw keys of the left one.
-
-    Joining the left table to this on its raw key equals rewriting both sides and joining them,
-    but leaves the (large) left table with one join instead of two.
-    """
-    mapping = key_map(left, right, key, ladder, by)
-    resolved = f"resolved_{key}"
-    rewritten = right.join(mapping, [*by, key]).drop(key)
-    left_keys = left.select(*by, key).distinct().join(mapping, [*by, key])
-    return left_keys.join(rewritten, [*by, resolved])

@@ -46,15 +46,14 @@ def combo_shapes(rows: DataFrame) -> DataFrame:
 
 def combos(rows: DataFrame, routes: DataFrame) -> DataFrame:
     """One row per combo: colour, and the numbers of rows, trips and shapes."""
-    trips = rows.groupBy(*COMBO, "trip_id").agg(F.sum("copies").alias("copies"))
-    counts = trips.groupBy(*COMBO).agg(
-        F.sum("copies").alias("n_rows"), F.count("trip_id").alias("n_trips")
+    # Spark first makes the values distinct, then counts them: a large combo is no matter.
+    counts = rows.groupBy(*COMBO).agg(
+        F.sum("copies").alias("n_rows"),
+        F.count_distinct("trip_id").alias("n_trips"),
+        F.count_distinct(F.when(_has_shape(), F.col("shape_id"))).alias("n_shapes"),
     )
-    shapes = combo_shapes(rows).groupBy(*COMBO).agg(F.count("*").alias("n_shapes"))
-    joined = counts.join(shapes, COMBO, "left").withColumns(
-        {"n_shapes": F.coalesce("n_shapes", F.lit(0)), "has_stops": F.lit(True)}
-    )
-    return route_attributes(joined, routes).drop("route_short_name")
+    flagged = counts.withColumn("has_stops", F.lit(True))
+    return route_attributes(flagged, routes).drop("route_short_name")
 
 
 def combo_parts(rows: DataFrame, part_rows: int = 10_000) -> DataFrame:

@@ -6,9 +6,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from headway.functions import (
     as_text,
@@ -28,13 +26,10 @@ from headway.operators.geometry import (
     shape_points,
 )
 from headway.operators.joins import calls_with_stops, feed_key, trip_calls
-from headway.operators.keys import LADDER, Spelling, lookup_for
+from headway.operators.keys import LADDER, Ladder, lookup_for
 from headway.operators.lines import lines_by_stop
 from headway.schemas import FEED, MACRO, MACRO_STOPS
 
-Ladder = Sequence[tuple[str, Spelling]]
-
-
 def clean_trips(trips: DataFrame) -> DataFrame:
     """Trips with clean trip and shape ids; the route id stays raw for the key ladder."""
     shape = clean_id("shape_id")
@@ -58,7 +53,7 @@ def route_lookup(trips: DataFrame, routes: DataFrame, ladder: Ladder = LADDER) -
 def routed_trips(trips: DataFrame, lookup: DataFrame) -> DataFrame:
     """Trips with their route, which gets its resolved id."""
     joined = trips.join(lookup, feed_key("route_id"))
-    return joined.withColumn("route_id", F.col("resolved_route_id")).drop("resolved_route_id")
+    return joined.withColumn("route_id", F.col("resolved")).drop("resolved")
 
 
 def macro(
@@ -79,19 +74,26 @@ def macro(
         return conform(routed_trips(trips, lookup), MACRO, lead=FEED)
 
     shapes = shapes.withColumn("shape_id", clean_id("shape_id"))
-    feeds = feeds_with_shapes(shapes)
-    # Two raw spellings of one route share its geometry.
-    route = feed_key("resolved_route_id")
-    with_shape = routes_with_shape(trips, shapes)
-    drawn_ids = lookup.join(with_shape, feed_key("route_id")).select(*route).distinct()
-    drawn = lookup.join(drawn_ids, route, "left_semi")
-    plain = lookup.join(drawn_ids, route, "left_anti")
-    basic = plain.join(feeds, list(FEED), "left_semi")
-    bare = plain.join(feeds, list(FEED), "left_anti")
+    kinds = _with_kind(lookup, trips, shapes)
+
+    def routed(kind: str) -> DataFrame:
+        return routed_trips(trips, kinds.where(F.col("kind") == kind).drop("kind"))
 
-    points = shape_points(geometry_keys(routed_trips(trips, drawn)), shapes)
-    rows = routed_trips(trips, basic).select(*FEED, *BASIC).distinct()
-    return conform(union_tables(points, rows, routed_trips(trips, bare)), MACRO, lead=FEED)
+    points = shape_points(geometry_keys(routed("drawn")), shapes)
+    basic = routed("basic").select(*FEED, *BASIC).distinct()
+    return conform(union_tables(points, basic, routed("bare")), MACRO, lead=FEED)
+
+
+def _with_kind(lookup: DataFrame, trips: DataFrame, shapes: DataFrame) -> DataFrame:
+    """Mark each route as ``drawn`` (has geometry), ``basic``, or ``bare`` (feed has no shapes)."""
+    flag = F.lit(True)
+    drawn = routes_with_shape(trips, shapes).withColumn("route_drawn", flag)
+    feeds = feeds_with_shapes(shapes).withColumn("feed_drawn", flag)
+    flagged = lookup.join(drawn, feed_key("route_id"), "left").join(feeds, list(FEED), "left")
+    # The raw spellings of a route share its geometry; there are only a few.
+    any_drawn = F.max("route_drawn").over(Window.partitionBy(*feed_key("resolved")))
+    kind = F.when(any_drawn, "drawn").when(F.col("feed_drawn"), "basic").otherwise("bare")
+    return flagged.withColumn("kind", kind).drop("route_drawn", "feed_drawn")
 
 
 def named_trips(trips: DataFrame, routes: DataFrame, ladder: Ladder = LADDER) -> DataFrame:
@@ -118,9 +120,12 @@ def stop_lines(
 
     Only ids are read from the stop times here.
     """
-    named = named_trips(trips, routes, ladder).select(*feed_key("trip_id", "route_short_name"))
-    ids = clean_stop_times(stop_times).select(*feed_key("trip_id", "stop_id"))
-    return lines_by_stop(ids.join(named, feed_key("trip_id")))
+    return _stop_lines(named_trips(trips, routes, ladder), clean_stop_times(stop_times))
+
+
+def _stop_lines(named: DataFrame, times: DataFrame) -> DataFrame:
+    names = named.select(*feed_key("trip_id", "route_short_name"))
+    return lines_by_stop(times.select(*feed_key("trip_id", "stop_id")).join(names, feed_key("trip_id")))
 
 
 def macro_stops(
@@ -139,7 +144,7 @@ def macro_stops(
     """
     named = named_trips(trips, routes, ladder)
     times = clean_stop_times(stop_times)
-    lines = stop_lines(trips, routes, stop_times, ladder)
+    lines = _stop_lines(named, times)
     places = stops.select(
         *FEED, clean_id("stop_id").alias("stop_id"), "stop_name", "stop_lat", "stop_lon"
     ).join(lines, feed_key("stop_id"), "left")

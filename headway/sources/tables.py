@@ -153,5 +153,11 @@ def write_feed_table(
         .partitionBy(*FEED)
     )
     if fmt == "csv":
-        writer = writer.option("header", "true").option("escape", '"')
+        # Ids are kept as they are, outer space included.
+        writer = (
+            writer.option("header", "true")
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
+        )
     writer.format(fmt).save(path)

@@ -58,6 +58,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", *only: str) -> int:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

@@ -37,6 +37,18 @@ def _route_id(side: int, number: str) -> str:
     return f"CASE explotation {' '.join(cases)} END"
 
 
+# Columns of the test tables that are read.
+TABLES = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+}
+
+
 class View(NamedTuple):
     source: str
     layers: list[dict[str, str]]
@@ -314,7 +326,7 @@ def with_views(*names: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view as a DataFrame."""
     if name not in VIEWS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
     view = VIEWS[name]
     df = table(spark, sf_dir, view.source)
     if view.join:
