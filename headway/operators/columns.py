@@ -6,6 +6,8 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from headway.operators.joins import semi_filter
+
 
 def select_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Only the named columns."""
@@ -65,7 +67,7 @@ def only_routes(df: DataFrame, routes: Iterable[str] | DataFrame) -> DataFrame:
     """Rows of some routes, given as a list of ids or as a table of (feed, route_id)."""
     if isinstance(routes, DataFrame):
         shared = [name for name in routes.columns if name in df.columns]
-        return df.join(routes.select(*shared).distinct(), shared, "left_semi")
+        return semi_filter(df, routes, shared)
     return df.where(F.col("route_id").isin(*list(routes)))
 
 

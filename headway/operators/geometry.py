@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from headway.operators.joins import feed_key, semi_filter
+from headway.operators.joins import anti_filter, feed_key, semi_filter
 from headway.schemas import FEED
 
 LABELS = ("final_color", "route_short_name", "trip_headsign")
@@ -37,11 +37,10 @@ def feeds_with_shapes(shapes: DataFrame) -> DataFrame:
 
 def shape_fallback(df: DataFrame, shapes: DataFrame) -> DataFrame:
     """Basic rows of routes without geometry, in feeds that have shapes."""
-    lacking = df.join(routes_with_shape(df, shapes), feed_key("route_id"), "left_anti")
-    in_feed = lacking.join(feeds_with_shapes(shapes), list(FEED), "left_semi")
-    return in_feed.select(*FEED, *BASIC).distinct()
+    lacking = anti_filter(df, routes_with_shape(df, shapes), feed_key("route_id"))
+    return semi_filter(lacking, shapes, FEED).select(*FEED, *BASIC).distinct()
 
 
 def without_shapes(df: DataFrame, shapes: DataFrame) -> DataFrame:
     """Rows of feeds that have no shapes at all; these keep all columns and all copies."""
-    return df.join(feeds_with_shapes(shapes), list(FEED), "left_anti")
+    return anti_filter(df, shapes, FEED)

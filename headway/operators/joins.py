@@ -1,9 +1,13 @@
 """Joins of feed tables.
 
 All are equi-joins on the feed columns and one key.  A null key never matches.  No join is
-given a broadcast hint: small sides are broadcast when their measured size allows it, and a key
-that holds much of a large side is split at run time, since that side is always the left one of
-an inner, left or semi join.
+given a broadcast hint: small sides are broadcast when their measured size allows it.
+
+One key may hold a large part of a table.  The table that can be so skewed is always the left one
+of an inner, left, semi or anti join, and both sides arrive by a plain shuffle.  Then Spark splits
+the partition of such a key over many tasks at run time, copies of one row included.  A side that
+comes from a grouping on the very join key would keep its partitioning and prevent that, so it
+goes through ``reshuffled`` first; it has one row per key and is the small one.
 """
 
 from __future__ import annotations
@@ -20,6 +24,19 @@ def feed_key(*names: str) -> list[str]:
     return [*FEED, *names]
 
 
+def reshuffled(df: DataFrame, column: str) -> DataFrame:
+    """The same rows, with a column Spark no longer takes to be the one the frame is grouped by."""
+    return df.withColumn(column, F.concat(F.col(column), F.lit("")))
+
+
+def distinct_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Distinct keys for the right side of a join with a large table.
+
+    They are made distinct on the map side, before any shuffle.
+    """
+    return reshuffled(df.select(*on).distinct(), on[-1])
+
+
 def join_suffixed(
     left: DataFrame,
     right: DataFrame,
@@ -58,11 +75,13 @@ def trips_with_stops(trips: DataFrame, stop_times: DataFrame) -> DataFrame:
 
 
 def semi_filter(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``keys``.
+    """Rows whose key occurs in ``keys``."""
+    return df.join(distinct_keys(keys, on), list(on), "left_semi")
 
-    The keys are made distinct first, which shrinks them on the map side before any shuffle.
-    """
-    return df.join(keys.select(*on).distinct(), list(on), "left_semi")
+
+def anti_filter(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows whose key does not occur in ``keys``."""
+    return df.join(distinct_keys(keys, on), list(on), "left_anti")
 
 
 def with_lines(calls: DataFrame, lines: DataFrame) -> DataFrame:

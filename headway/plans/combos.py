@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from headway.functions import or_empty, sorted_set
-from headway.operators.joins import feed_key, route_attributes, trips_with_stops
+from headway.operators.joins import feed_key, reshuffled, route_attributes, trips_with_stops
 
 COMBO = feed_key("route_id", "trip_headsign")
 ROW = ("route_id", "trip_id", "service_id", "shape_id", "trip_headsign")
@@ -63,7 +63,7 @@ def combo_parts(rows: DataFrame, part_rows: int = 10_000) -> DataFrame:
     """
     counts = rows.groupBy(*COMBO).agg(F.ceil(F.count("*") / part_rows).alias("n_parts"))
     # Small combos have one part; only the large ones, at most 1/part_rows of the rows, are joined.
-    large = counts.where("n_parts > 1")
+    large = reshuffled(counts.where("n_parts > 1"), "trip_headsign")
     spread = F.concat_ws("\x1f", *[or_empty(c) for c in ("trip_id", "service_id", "shape_id")])
     digest = F.conv(F.substring(F.md5(spread), 1, 8), 16, 10).cast("bigint")
     n_parts = F.coalesce("n_parts", F.lit(1))

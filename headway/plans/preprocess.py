@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from headway.functions import run_id
-from headway.operators.joins import feed_key, repeated_routes
+from headway.operators.joins import anti_filter, feed_key, repeated_routes
 from headway.plans.combos import combo_rows, combos, valid_routes
 from headway.schemas import FEED
 
@@ -71,9 +71,9 @@ def preprocess(tables: dict[str, DataFrame], execution_id: str | None = None) ->
 
     Feeds with repeated route ids have no combos.
     """
-    bad = repeated_routes(tables["routes"]).select(*FEED).distinct()
+    bad = repeated_routes(tables["routes"])
     rows = combo_rows(tables["trips"], tables["stop_times"])
-    good = rows.join(bad, list(FEED), "left_anti")
+    good = anti_filter(rows, bad, FEED)
     return Preprocessed(
         tables=tables,
         rows=good,

@@ -25,7 +25,7 @@ from headway.operators.geometry import (
     routes_with_shape,
     shape_points,
 )
-from headway.operators.joins import calls_with_stops, feed_key, trip_calls
+from headway.operators.joins import calls_with_stops, feed_key, reshuffled, trip_calls
 from headway.operators.keys import LADDER, Ladder, lookup_for
 from headway.operators.lines import lines_by_stop
 from headway.schemas import FEED, MACRO, MACRO_STOPS
@@ -149,7 +149,7 @@ def macro_stops(
         *FEED, clean_id("stop_id").alias("stop_id"), "stop_name", "stop_lat", "stop_lon"
     ).join(lines, feed_key("stop_id"), "left")
 
-    calls = calls_with_stops(trip_calls(named, times), places)
+    calls = calls_with_stops(trip_calls(named, times), reshuffled(places, "stop_id"))
     labelled = calls.withColumns(
         {
             "stop_sequence": as_text("stop_sequence"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.checks import feed_completeness, with_feed_columns
+from headway.operators.joins import semi_filter
 from headway.plans.products import macro, macro_stops
 from headway.schemas import FEED
 from headway.sources.listing import list_files
@@ -21,8 +22,7 @@ def write_products(spark: SparkSession, root: str, target: str) -> Callable[[Dat
 
     def handle(feeds: DataFrame) -> None:
         tables = {
-            name: table.join(feeds, list(FEED), "left_semi")
-            for name, table in read_feeds(spark, root).items()
+            name: semi_filter(table, feeds, FEED) for name, table in read_feeds(spark, root).items()
         }
         trips, routes = tables["trips"], tables["routes"]
         points = macro(trips, routes, tables.get("shapes"))
