@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from headway.operators.columns import drop_null
 from headway.operators.joins import anti_filter, feed_key, semi_filter
 from headway.schemas import FEED
 
@@ -27,7 +28,8 @@ def shape_points(keys: DataFrame, shapes: DataFrame) -> DataFrame:
 
 def routes_with_shape(trips: DataFrame, shapes: DataFrame) -> DataFrame:
     """(feed, route_id) of routes with at least one trip whose shape has points."""
-    used = trips.select(*feed_key("route_id", "shape_id")).na.drop().distinct()
+    known = drop_null(trips, ["route_id", "shape_id"])
+    used = known.select(*feed_key("route_id", "shape_id")).distinct()
     return semi_filter(used, shapes, feed_key("shape_id")).select(*feed_key("route_id")).distinct()
 
 

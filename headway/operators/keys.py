@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from headway.functions import clean_id, lstrip_zeros, zfill
+from headway.operators.columns import drop_null
 from headway.schemas import FEED
 
 
@@ -48,7 +49,7 @@ Ladder = Sequence[Rung]
 
 def unmatched(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Distinct non-null keys of the left side without a partner on the right."""
-    keys = left.select(*on).na.drop(subset=[on[-1]]).distinct()
+    keys = drop_null(left, on[-1:]).select(*on).distinct()
     return keys.join(right.select(*on).distinct(), list(on), "left_anti")
 
 

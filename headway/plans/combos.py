@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from headway.functions import or_empty, sorted_set
+from headway.operators.columns import drop_null
 from headway.operators.joins import feed_key, reshuffled, route_attributes, trips_with_stops
 
 COMBO = feed_key("route_id", "trip_headsign")
@@ -22,7 +23,7 @@ def combo_rows(trips: DataFrame, stop_times: DataFrame) -> DataFrame:
 
     Only trips that have stop times count; rows without route or headsign belong to no combo.
     """
-    grouped = trips.na.drop(subset=["route_id", "trip_headsign"])
+    grouped = drop_null(trips, ["route_id", "trip_headsign", "trip_id"])
     distinct = grouped.groupBy(*feed_key(*ROW)).agg(F.count("*").alias("copies"))
     return trips_with_stops(distinct, stop_times)
 

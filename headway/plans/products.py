@@ -17,7 +17,7 @@ from headway.functions import (
     safe_color,
     stop_label,
 )
-from headway.operators.columns import conform, union_tables
+from headway.operators.columns import conform, drop_null, union_tables
 from headway.operators.geometry import (
     BASIC,
     feeds_with_shapes,
@@ -98,12 +98,17 @@ def _with_kind(lookup: DataFrame, trips: DataFrame, shapes: DataFrame) -> DataFr
 
 def named_trips(trips: DataFrame, routes: DataFrame, ladder: Ladder = LADDER) -> DataFrame:
     """Trips joined with the routes that have a short name."""
-    lookup = route_lookup(trips, routes, ladder).where(F.col("route_short_name").isNotNull())
-    return routed_trips(clean_trips(trips), lookup)
+    lookup = drop_null(route_lookup(trips, routes, ladder), ["route_short_name"])
+    return routed_trips(clean_trips(drop_null(trips, ["trip_id"])), lookup)
 
 
 def clean_stop_times(stop_times: DataFrame) -> DataFrame:
-    return stop_times.select(
+    """Stop times with clean ids.
+
+    Rows without a trip or a stop match nothing.  Dropping them here is a filter on the stored
+    columns; left to the joins, it would be one on the cleaned ids, which are then computed twice.
+    """
+    return drop_null(stop_times, ["trip_id", "stop_id"]).select(
         *FEED,
         clean_id("trip_id").alias("trip_id"),
         clean_id("stop_id").alias("stop_id"),

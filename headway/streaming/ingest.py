@@ -43,7 +43,9 @@ def ingest_new_feeds(
     """Watch the files under ``root`` and hand the complete feeds among the touched ones on.
 
     The stream only carries paths.  A feed is judged by all its files, not by those of the
-    batch, so it does not matter if they arrive in different batches.
+    batch, so it does not matter if they arrive in different batches.  The feeds of a batch are
+    written next to the checkpoint: the handler reads them many times, and a repeated batch
+    writes them again.
     """
     files = (
         spark.readStream.format("binaryFile")
@@ -56,7 +58,10 @@ def ingest_new_feeds(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         touched = with_feed_columns(batch).select(*FEED).distinct()
         known = feed_completeness(list_files(spark, root), exact_names=exact_names)
-        feeds = known.where("is_complete").select(*FEED).join(touched, list(FEED), "left_semi")
+        found = known.where("is_complete").select(*FEED).join(touched, list(FEED), "left_semi")
+        path = f"{checkpoint.rstrip('/')}-feeds/{batch_id}"
+        found.write.mode("overwrite").parquet(path)
+        feeds = spark.read.schema(found.schema).parquet(path)
         if not feeds.isEmpty():
             handle(feeds)
 
