@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from headway.operators.joins import semi_filter
 
@@ -43,15 +43,16 @@ def conform(
     ``strict`` are cast where the value allows it.  Columns outside the schema come last by name.
     """
 
-    def column(field: T.StructField) -> Column:
-        if field.name not in df.columns:
-            return F.lit(None).cast(field.dataType).alias(field.name)
-        if strict:
-            return F.col(field.name).try_cast(field.dataType).alias(field.name)
-        return F.col(field.name)
+    def column(field: T.StructField) -> str:
+        name, kind = f"`{field.name}`", field.dataType.simpleString()
+        if field.name not in present:
+            return f"CAST(NULL AS {kind}) AS {name}"
+        return f"TRY_CAST({name} AS {kind}) AS {name}" if strict else name
 
-    extra = sorted(set(df.columns) - set(schema.names) - set(lead))
-    return df.select(*lead, *[column(f) for f in schema.fields if f.name not in lead], *extra)
+    present = set(df.columns)
+    extra = sorted(present - set(schema.names) - set(lead))
+    declared = [column(field) for field in schema.fields if field.name not in lead]
+    return df.selectExpr(*[f"`{name}`" for name in lead], *declared, *[f"`{name}`" for name in extra])
 
 
 def drop_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:

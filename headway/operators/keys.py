@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from headway.functions import clean_id, lstrip_zeros, zfill
 from headway.operators.columns import drop_null
+from headway.operators.joins import reshuffled
 from headway.schemas import FEED
-
+from headway.session import shared_table
 
 
 class Rung(NamedTuple):
@@ -139,7 +140,8 @@ def _matches(
 
 def _best(matches: DataFrame, by: Sequence[str]) -> DataFrame:
     """The first rung of each feed on which any spelling is common."""
-    return matches.where("same").groupBy(*by).agg(F.min("rung").alias("rung"))
+    best = matches.where("same").groupBy(*by).agg(F.min("rung").alias("rung"))
+    return reshuffled(best, by[-1])
 
 
 def key_choice(
@@ -192,12 +194,13 @@ def resolve_keys(
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with the key rewritten to the spelling that makes their feed match.
 
-    Keys of a feed without any match are only cleaned.
+    Keys of a feed without any match are only cleaned.  The spellings are computed here and now
+    and kept in the shared folder, as both sides and all that is built on them need them.
     """
     sides = _sides(left, right, key, by)
     best = _best(_matches(left, right.select(*by, key).distinct(), key, ladder, by), by)
     chosen = _spelled(sides.select(*by, key), key, ladder).join(best, [*by, "rung"])
-    mapping = chosen.select(*by, key, "resolved")
+    mapping = shared_table(chosen.select(*by, key, "resolved"), "resolved_keys")
 
     def rewrite(df: DataFrame) -> DataFrame:
         joined = df.join(mapping, [*by, key], "left")

@@ -29,6 +29,8 @@ from headway.operators.joins import calls_with_stops, feed_key, reshuffled, trip
 from headway.operators.keys import LADDER, Ladder, lookup_for
 from headway.operators.lines import lines_by_stop
 from headway.schemas import FEED, MACRO, MACRO_STOPS
+from headway.session import shared_table
+
 
 def clean_trips(trips: DataFrame) -> DataFrame:
     """Trips with clean trip and shape ids; the route id stays raw for the key ladder."""
@@ -43,19 +45,33 @@ def clean_trips(trips: DataFrame) -> DataFrame:
     )
 
 
-def route_lookup(trips: DataFrame, routes: DataFrame, ladder: Ladder = LADDER) -> DataFrame:
-    """Attributes and final colour of the routes, keyed by the raw route id of the trips."""
+def _lookup(keys: DataFrame, routes: DataFrame, ladder: Ladder) -> DataFrame:
     table = routes.select(*feed_key("route_id", "route_short_name", "route_color"))
-    found = lookup_for(trips, table, "route_id", ladder)
+    found = lookup_for(keys, table, "route_id", ladder)
     return found.withColumn("final_color", safe_color("route_color"))
 
 
+def route_lookup(trips: DataFrame, routes: DataFrame, ladder: Ladder = LADDER) -> DataFrame:
+    """Attributes and final colour of the routes, keyed by the raw route id of the trips.
+
+    The lookup is computed here and now, from one look at the route ids of the trips, and kept in
+    the shared folder.  It has a row per spelling of a route and is needed by every join of trips.
+    """
+    return shared_table(_lookup(trips, routes, ladder), "route_lookup")
+
+
 def routed_trips(trips: DataFrame, lookup: DataFrame) -> DataFrame:
     """Trips with their route, which gets its resolved id."""
     joined = trips.join(lookup, feed_key("route_id"))
     return joined.withColumn("route_id", F.col("resolved")).drop("resolved")
 
 
+def trip_patterns(trips: DataFrame) -> DataFrame:
+    """Distinct (route, shape, headsign) of the trips, all the geometry depends on."""
+    known = drop_null(trips, ["route_id"])
+    return known.select(*feed_key("route_id", "shape_id", "trip_headsign")).distinct()
+
+
 def macro(
     trips: DataFrame,
     routes: DataFrame,
@@ -66,22 +82,27 @@ def macro(
 
     A route with geometry gives the points of its distinct (shape, colour, names).  A route
     without any gives its distinct basic columns.  A feed without shapes gives every trip as is.
-    The kind of each route is settled on the small route table, before the trips are joined.
+
+    The patterns of the trips, the ids of the shapes and the kind of each route are computed first
+    and kept in the shared folder.  The trips are then read only for routes without geometry, and
+    the points go through one join.
     """
     trips = clean_trips(trips)
-    lookup = route_lookup(trips, routes, ladder)
     if shapes is None:
-        return conform(routed_trips(trips, lookup), MACRO, lead=FEED)
+        return conform(routed_trips(trips, route_lookup(trips, routes, ladder)), MACRO, lead=FEED)
 
     shapes = shapes.withColumn("shape_id", clean_id("shape_id"))
-    kinds = _with_kind(lookup, trips, shapes)
+    patterns = shared_table(trip_patterns(trips), "patterns")
+    shape_keys = shared_table(shapes.select(*feed_key("shape_id")).distinct(), "shape_keys")
+    lookup = _lookup(patterns, routes, ladder)
+    kinds = shared_table(_with_kind(lookup, patterns, shape_keys), "route_kinds")
 
-    def routed(kind: str) -> DataFrame:
-        return routed_trips(trips, kinds.where(F.col("kind") == kind).drop("kind"))
+    def routed(rows: DataFrame, kind: str) -> DataFrame:
+        return routed_trips(rows, kinds.where(F.col("kind") == kind).drop("kind"))
 
-    points = shape_points(geometry_keys(routed("drawn")), shapes)
-    basic = routed("basic").select(*FEED, *BASIC).distinct()
-    return conform(union_tables(points, basic, routed("bare")), MACRO, lead=FEED)
+    points = shape_points(geometry_keys(routed(patterns, "drawn")), shapes)
+    basic = routed(trips, "basic").select(*FEED, *BASIC).distinct()
+    return conform(union_tables(points, basic, routed(trips, "bare")), MACRO, lead=FEED)
 
 
 def _with_kind(lookup: DataFrame, trips: DataFrame, shapes: DataFrame) -> DataFrame:
@@ -106,12 +127,13 @@ def clean_stop_times(stop_times: DataFrame) -> DataFrame:
     """Stop times with clean ids.
 
     Rows without a trip or a stop match nothing.  Dropping them here is a filter on the stored
-    columns; left to the joins, it would be one on the cleaned ids, which are then computed twice.
+    columns.  Then no clean id is null, and ``or_empty`` lets Spark know: else the joins would add
+    a filter that cleans each id once more.
     """
     return drop_null(stop_times, ["trip_id", "stop_id"]).select(
         *FEED,
-        clean_id("trip_id").alias("trip_id"),
-        clean_id("stop_id").alias("stop_id"),
+        or_empty(clean_id("trip_id")).alias("trip_id"),
+        or_empty(clean_id("stop_id")).alias("stop_id"),
         "stop_sequence",
         "arrival_time",
         "departure_time",
