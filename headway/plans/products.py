@@ -91,16 +91,18 @@ def macro(
     if shapes is None:
         return conform(routed_trips(trips, route_lookup(trips, routes, ladder)), MACRO, lead=FEED)
 
-    shapes = shapes.withColumn("shape_id", clean_id("shape_id"))
     patterns = shared_table(trip_patterns(trips), "patterns")
-    shape_keys = shared_table(shapes.select(*feed_key("shape_id")).distinct(), "shape_keys")
+    shape_keys = shapes.select(*FEED, clean_id("shape_id").alias("shape_id")).distinct()
+    shape_keys = shared_table(shape_keys, "shape_keys")
     lookup = _lookup(patterns, routes, ladder)
     kinds = shared_table(_with_kind(lookup, patterns, shape_keys), "route_kinds")
 
     def routed(rows: DataFrame, kind: str) -> DataFrame:
         return routed_trips(rows, kinds.where(F.col("kind") == kind).drop("kind"))
 
-    points = shape_points(geometry_keys(routed(patterns, "drawn")), shapes)
+    known = drop_null(shapes, ["shape_id"])
+    known = known.withColumn("shape_id", or_empty(clean_id("shape_id")))
+    points = shape_points(geometry_keys(routed(patterns, "drawn")), known)
     basic = routed(trips, "basic").select(*FEED, *BASIC).distinct()
     return conform(union_tables(points, basic, routed(trips, "bare")), MACRO, lead=FEED)
 

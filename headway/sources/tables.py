@@ -1,8 +1,8 @@
 """Feed tables on storage.
 
 Source files lie under ``<root>/GTFS/<TYPE>/explotation=…/contract=…/version=…/``.  Files of
-different feeds may have other columns or another order, so files are grouped by their header
-line and each group is one native CSV scan with its own schema.
+different feeds may have other columns or another order, so feed folders are grouped by their
+header line and each group is one native CSV scan with its own schema.
 """
 
 from __future__ import annotations
@@ -40,12 +40,15 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.option("header", "true").csv(path).columns)
 
 
-def _by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Group files by header.  Only first lines are read, many files at a time."""
+def _by_header(
+    spark: SparkSession, samples: Sequence[tuple[str, str]]
+) -> dict[tuple[str, ...], list[str]]:
+    """Group folders by the header of one of their files.  Only first lines are read."""
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     with ThreadPoolExecutor(max_workers=16) as pool:
-        for path, header in zip(paths, pool.map(lambda p: _header(spark, p), paths)):
-            groups[header].append(path)
+        headers = pool.map(lambda sample: _header(spark, sample[1]), samples)
+        for (folder, _), header in zip(samples, headers):
+            groups[header].append(folder)
     return groups
 
 
@@ -65,16 +68,18 @@ def read_table(
     """A source table of all feeds: the feed columns and the columns of ``schema``.
 
     All columns are read as text, picked by name and then cast; a value that does not fit its
-    type is null.  Without ``mixed_headers`` all files are taken to have the header of the first
-    one, which saves a look into each file; Spark fails the job when one differs.
+    type is null.  One file per feed folder tells the header of its folder; without
+    ``mixed_headers`` one file tells it for all, which saves these looks.  Spark fails the job when
+    a file has another header than it was taken to have.
     """
     schema = schema or SOURCES[name]
     base = table_root(root, name)
     multi_line = name in MULTI_LINE if multi_line is None else multi_line
     if mixed_headers:
-        # One path per file: what Spark itself keeps on the driver to plan a scan.
-        files = [row.path for row in list_files(spark, base).toLocalIterator()]
-        groups = _by_header(spark, files)
+        # Two paths per feed: less than what Spark keeps on the driver to plan a scan.
+        folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+        first = list_files(spark, base).groupBy(folder).agg(F.min("path").alias("path"))
+        groups = _by_header(spark, [tuple(row) for row in first.toLocalIterator()])
     else:
         reader = spark.read.option("header", "true").option("basePath", base)
         groups = {tuple(c for c in reader.csv(base).columns if c not in FEED): [base]}

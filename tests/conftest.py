@@ -20,6 +20,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.default.parallelism", "2")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
