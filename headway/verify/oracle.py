@@ -571,7 +571,13 @@ ORACLE: dict[str, str] = {
         explotation || '_' || contract || '_' || version AS id, explotation AS P_EMPRESA,
         contract AS P_CONTR, version AS P_VERSION, 'pending' AS status,
         '{AS_OF}' AS discovery_time, '{"|".join(_KINDS)}' AS gtfs_types FROM routes""",
+    "ledger_round_trip": f"""{LEDGER} SELECT id, {RUN}, status, retries, started_at, message
+        FROM ledger""",
     "ingest_feeds": f"""{WITH_CALLS} SELECT {F}, trip_id, stop_id, stop_sequence, lines_by_stop,
         final_color FROM placed""",
     "listed_files": _view("routes", f"DISTINCT {F}, 'ROUTES' AS gtfs_type"),
 }
+ORACLE["combo_json_round_trip"] = ORACLE["combo_documents"]
+ORACLE["registration_audit"] = (
+    f"SELECT *, '{AS_OF}' AS timestamp, 'manifest' AS combinations_file FROM ({ORACLE['outcome_tally']})"
+)

@@ -21,6 +21,7 @@ from headway.operators import (
 from headway.plans import combos as cmb, discover, preprocess as pre, products
 from headway.schemas import FEED, LEDGER, LEDGER_KEY, MACRO, SOURCES
 from headway.session import shared_dir, tune
+from headway.sources.ledger_files import append_audit, read_ledger, write_ledger
 from headway.sources.listing import list_files
 from headway.sources.requests import format_requests, parse_requests
 from headway.sources.tables import (
@@ -173,10 +174,7 @@ def combo_shapes(spark, sf_dir):
     return cmb.combo_shapes(_combo_rows(spark, sf_dir)[0])
 
 
-@query
-def combo_documents(spark, sf_dir):
-    rows, routes, *_ = _combo_rows(spark, sf_dir)
-    nested = cmb.combo_documents(rows, routes, part_rows=20)
+def _document_texts(nested):
     services = F.transform("group_data", lambda item: F.coalesce(item["service_id"], F.lit("-")))
     shapes = F.transform("group_data", lambda item: F.coalesce(item["shape_id"], F.lit("-")))
     return nested.select(
@@ -194,6 +192,21 @@ def combo_documents(spark, sf_dir):
     )
 
 
+@query
+def combo_documents(spark, sf_dir):
+    rows, routes, *_ = _combo_rows(spark, sf_dir)
+    return _document_texts(cmb.combo_documents(rows, routes, part_rows=20))
+
+
+@query
+def combo_json_round_trip(spark, sf_dir):
+    rows, routes, *_ = _combo_rows(spark, sf_dir)
+    nested = cmb.combo_documents(rows, routes, part_rows=20)
+    path = shared_dir(spark, "combos")
+    write_feed_table(nested, path, fmt="json")
+    return _document_texts(spark.read.schema(nested.schema).json(path))
+
+
 @query
 def valid_routes(spark, sf_dir):
     return cmb.valid_routes(_combo_rows(spark, sf_dir)[0])
@@ -693,6 +706,23 @@ def ingest_feeds(spark, sf_dir):
     return calls.select(*FEED, "trip_id", "stop_id", "stop_sequence", "lines_by_stop", "final_color")
 
 
+@query
+def ledger_round_trip(spark, sf_dir):
+    path = shared_dir(spark, "ledger")
+    write_ledger(_ledger(spark, sf_dir), path, "1")
+    return read_ledger(spark, path, "1").select(
+        "id", *LEDGER_KEY, "status", "retries", "started_at", "message"
+    )
+
+
+@query
+def registration_audit(spark, sf_dir):
+    outcomes = led.register(table(spark, sf_dir, "manifest"), _ledger(spark, sf_dir), AS_OF)[1]
+    path = shared_dir(spark, "audit")
+    append_audit(led.outcome_tally(outcomes), path, AS_OF, "manifest")
+    return spark.read.json(path).select("timestamp", "summary.*", "combinations_file")
+
+
 @query
 def listed_files(spark, sf_dir):
     root = _store(spark, sf_dir, "routes")
