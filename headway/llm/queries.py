@@ -6,20 +6,80 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from headway.llm import warc
+from headway.llm.decontaminate import benchmark_hits
 from headway.llm.minhash import near_duplicates
-from headway.llm.shared import set_batches
+from headway.llm.shared import set_batches, shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return set_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "archive")
+    warc.write_archive(_table(spark, sf_dir, "pages"), folder)
+    return warc.record_table(warc.read_archive(spark, folder))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_warc": op3_warc,
     "op4_minhash": op4_minhash,
+    "op7_decontaminate": op7_decontaminate,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op3_warc": """
+        with p as (
+            select page_id, coalesce(html, '') as body, strlen(coalesce(html, '')) as n,
+                   min(page_id) over (partition by coalesce(html, '')) as first
+            from pages
+        )
+        select page_id, n as payload_bytes, sha256(body) as payload_digest,
+               case when n >= 100 and page_id != first then 'revisit' else 'response' end as record_type,
+               case when n >= 100 and page_id != first then first end as refers_to
+        from p
+    """,
+    "op7_decontaminate": rf"""
+        with d as (
+            select doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+        ),
+        b as (
+            select item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+        ),
+        bw as (
+            select item_id, w, least(len(w), 10) as m, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i
+            from b where len(w) > 0
+        ),
+        win as (select distinct item_id, m, array_to_string(w[i : i + m - 1], ' ') as s from bw),
+        lens as (select distinct m from win),
+        dw as (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as i from d join lens on len(w) >= m),
+        hit as (
+            select doc_id, item_id, i, win.m from dw join win
+            on win.m = dw.m and win.s = array_to_string(w[i : i + dw.m - 1], ' ')
+        ),
+        words as (
+            select doc_id, count(*) as n_hit from (
+                select distinct doc_id, unnest(range(i, i + m)) as at from hit
+            ) group by doc_id
+        ),
+        items as (
+            select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+            from (select distinct doc_id, cast(item_id as varchar) as id from hit) group by doc_id
+        )
+        select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+               coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 as contaminated
+        from d left join words on d.doc_id = words.doc_id left join items on d.doc_id = items.doc_id
+    """,
+}
