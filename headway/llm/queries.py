@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from headway.llm import warc
 from headway.llm.decontaminate import benchmark_hits
 from headway.llm.minhash import near_duplicates
+from headway.llm.order_minhash import order_fingerprints
 from headway.llm.shared import set_batches, shared_folder
 
 
@@ -30,10 +31,15 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_minhash": op4_minhash,
     "op7_decontaminate": op7_decontaminate,
+    "op10_order_minhash": op10_order_minhash,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
