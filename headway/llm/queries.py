@@ -11,12 +11,17 @@ from headway.llm.decontaminate import benchmark_hits
 from headway.llm.minhash import near_duplicates
 from headway.llm.order_minhash import order_fingerprints
 from headway.llm.shared import set_batches, shared_folder
+from headway.llm.toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return set_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "archive")
     warc.write_archive(_table(spark, sf_dir, "pages"), folder)
@@ -36,6 +41,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_warc": op3_warc,
     "op4_minhash": op4_minhash,
     "op7_decontaminate": op7_decontaminate,

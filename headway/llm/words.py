@@ -58,10 +58,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), bounds
 
 
-def word_codes(column: pa.Array, separators: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit codes of all words, A-Z in lower case, and the n + 1 bounds of the rows' words."""
+def word_chunks(column: pa.Array, separators: np.ndarray) -> Iterator[tuple]:
+    """The text in pieces that end where a word ends: where its words start and end in the bytes,
+    sums that give the code of any run of bytes, and the factors for them (see ``run_of_bytes``).
+    """
     data, bounds = text_bytes(column)
-    codes, starts = [], []
     at, last = int(bounds[0]), int(bounds[-1])
     while at < last:
         size = CHUNK
@@ -85,15 +86,26 @@ def word_codes(column: pa.Array, separators: np.ndarray = WHITE) -> tuple[np.nda
         begin[1:] |= word[1:] & ~word[:-1]
         stop = word & first[1:]
         stop[:-1] |= word[:-1] & ~word[1:]
-        s, e = np.flatnonzero(begin), np.flatnonzero(stop) + 1
         power, inverse = _power_tables(end - at + 1)
         total = np.zeros(end - at + 1, U64)
         np.cumsum((low.astype(U64) + U64(1)) * power[: end - at], out=total[1:])
-        codes.append(mix64((total[e] - total[s]) * inverse[s]))
-        starts.append(s + at)
+        yield np.flatnonzero(begin) + at, np.flatnonzero(stop) + 1 + at, total, inverse, at
         at = end
-    if not codes:
-        return np.zeros(0, U64), np.zeros(len(bounds), np.int64)
+
+
+def run_of_bytes(chunk, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Codes of the byte runs from ``starts`` to ``ends`` within a chunk."""
+    _, _, total, inverse, at = chunk
+    return mix64((total[ends - at] - total[starts - at]) * inverse[starts - at])
+
+
+def word_codes(column: pa.Array, separators: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit codes of all words, A-Z in lower case, and the n + 1 bounds of the rows' words."""
+    bounds = text_bytes(column)[1]
+    codes, starts = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+    for chunk in word_chunks(column, separators):
+        codes.append(run_of_bytes(chunk, chunk[0], chunk[1]))
+        starts.append(chunk[0])
     return np.concatenate(codes), np.searchsorted(np.concatenate(starts), bounds)
 
 
