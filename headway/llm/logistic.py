@@ -16,13 +16,13 @@ class Logistic:
         self.ridge, self.steps = ridge, steps
 
     def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Logistic:
-        """Without rows of both classes every score is the mean of ``y``, or 0 without rows."""
+        """Without rows of both classes every score is the mean of ``y``, or 0.5 without rows."""
         n, k = x.shape
         self.mean = x.mean(0) if n else np.zeros(k)
         self.scale = np.maximum(x.std(0) if n else np.ones(k), 1e-6)
         self.beta = np.zeros(k + 1)
         weight = np.ones(n) if weight is None else weight
-        rate = np.clip(np.average(y, weights=weight) if n else 0.0, 1e-4, 1 - 1e-4)
+        rate = np.clip(np.average(y, weights=weight) if n else 0.5, 1e-4, 1 - 1e-4)
         self.beta[0] = np.log(rate / (1 - rate))
         if n and 0 < y.sum() < n:
             z = self._design(x)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm import warc
+from headway.llm.cotraining import score_quality
 from headway.llm.decontaminate import benchmark_hits
 from headway.llm.minhash import near_duplicates
 from headway.llm.order_minhash import order_fingerprints
@@ -22,6 +23,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op2_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "archive")
     warc.write_archive(_table(spark, sf_dir, "pages"), folder)
@@ -42,6 +47,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_cotraining": op2_cotraining,
     "op3_warc": op3_warc,
     "op4_minhash": op4_minhash,
     "op7_decontaminate": op7_decontaminate,

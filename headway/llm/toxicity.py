@@ -262,8 +262,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     A clause ends at . ! ? ; or a line break.  Its words are classed as insult (by the lexicon),
     threat, target, negation and report, and a composed transducer weighs its insults and threats;
     a text is scored by its matched clauses.  Nothing but the text enters a score.  Null and empty
-    texts have no clauses and get the score of such texts.  Without labels of both kinds every
-    score is the share of the label.  A null doc_id is never held out; other columns are ignored.
+    texts have no clauses and get the score of such texts.  With labels of one kind only every
+    score is their share, without any labels 0.5.  A null doc_id is never held out; other columns are ignored.
     """
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
