@@ -11,6 +11,7 @@ from headway.llm.cotraining import score_quality
 from headway.llm.decontaminate import benchmark_hits
 from headway.llm.minhash import near_duplicates
 from headway.llm.order_minhash import order_fingerprints
+from headway.llm.packing import pack
 from headway.llm.shared import set_batches, shared_folder
 from headway.llm.toxicity import score_toxicity
 
@@ -37,6 +38,17 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The documents packed with the public byte-level tokenizer."""
+    import public_tokenizers
+
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
 
@@ -50,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cotraining": op2_cotraining,
     "op3_warc": op3_warc,
     "op4_minhash": op4_minhash,
+    "op6_packing": op6_packing,
     "op7_decontaminate": op7_decontaminate,
     "op10_order_minhash": op10_order_minhash,
 }
