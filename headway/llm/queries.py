@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway.llm import warc
+from headway.llm.backoff import backoff_scores
 from headway.llm.cotraining import score_quality
 from headway.llm.decontaminate import benchmark_hits
 from headway.llm.minhash import near_duplicates
@@ -53,6 +54,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op9_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = backoff_scores(_table(spark, sf_dir, "documents"))
+    return scores.select("doc_id", "n_words", F.round("log_score", 5).alias("log_score"), F.round("mean_log_score", 7).alias("mean_log_score"))
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
     "op6_packing": op6_packing,
     "op7_decontaminate": op7_decontaminate,
+    "op9_backoff": op9_backoff,
     "op10_order_minhash": op10_order_minhash,
 }
 
@@ -113,4 +120,33 @@ ORACLE: dict[str, str] = {
                coalesce(n_hit, 0) > 0 as contaminated
         from d left join words on d.doc_id = words.doc_id left join items on d.doc_id = items.doc_id
     """,
+    "op9_backoff": rf"""
+        with d as (
+            select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents
+        ),
+        p as (select doc_id, len(w) as n, w, unnest(range(1, len(w) + 1)) as i from d),
+        u as (select doc_id, n, i, w[i] as b, case when i > 1 then w[i - 1] end as a from p),
+        one as (select b, count(*) as c from u group by b),
+        own_one as (select doc_id, b, count(*) as c from u group by doc_id, b),
+        two as (select a, b, count(*) as c from u where a is not null group by a, b),
+        own_two as (select doc_id, a, b, count(*) as c from u where a is not null group by doc_id, a, b),
+        s as (
+            select u.doc_id,
+                   case when u.a is not null and two.c > own_two.c
+                        then ln((two.c - own_two.c) / greatest(first.c - own_first.c, 1))
+                        else ln(greatest(one.c - own_one.c, 1) / greatest((select sum(len(w)) from d) - u.n, 1))
+                             + case when u.a is null then 0 else ln(0.4) end
+                   end as v
+            from u join one on one.b = u.b
+            join own_one on own_one.doc_id = u.doc_id and own_one.b = u.b
+            left join two on two.a = u.a and two.b = u.b
+            left join own_two on own_two.doc_id = u.doc_id and own_two.a = u.a and own_two.b = u.b
+            left join one as first on first.b = u.a
+            left join own_one as own_first on own_first.doc_id = u.doc_id and own_first.b = u.a
+        ),
+        t as (select doc_id, sum(v) as total from s group by doc_id)
+        select d.doc_id, cast(len(w) as bigint) as n_words, round(coalesce(total, 0.0), 5) as log_score,
+               round(total / nullif(len(w), 0), 7) as mean_log_score
+        from d left join t on d.doc_id = t.doc_id
+    """,
 }
