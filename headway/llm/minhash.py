@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -16,7 +15,7 @@ from headway.llm.words import U64, bounded, mix64, shingles, text_column, word_c
 U32 = np.uint32
 #: Shingles hashed together; they stay in a core's cache while all coordinates are made.
 BLOCK = 1 << 15
-#: Members of a bucket compared at once in the second round.
+#: Members of a block of a bucket in the second round.
 MEMBERS = 1000
 
 
@@ -67,7 +66,7 @@ def _rows(values: np.ndarray) -> pa.Array:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, k: int, rows: int) -> DataFrame:
-    """Per row: id, size and digest of its shingle set, its band keys and a byte of each coordinate."""
+    """Per row: id, size and digest of its shingle set, and its band keys."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, "text"):
@@ -84,14 +83,13 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, k: int, ro
             if len(full):
                 packed = np.concatenate([[0], np.cumsum(sizes[full])])
                 signatures[full] = circulant_signatures(codes, packed, k)
-            low = (signatures & U32(255)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts), pa.array(digests, pa.binary()), _rows(band_keys(signatures, rows)), pa.array([x.tobytes() for x in low], pa.binary())],
-                names=["doc_id", "n_shingles", "digest", "bands", "low"],
+                [batch.column(0), pa.array(counts), pa.array(digests, pa.binary()), _rows(band_keys(signatures, rows))],
+                names=["doc_id", "n_shingles", "digest", "bands"],
             )
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        work, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, low binary"
+        work, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>"
     )
 
 
@@ -118,27 +116,33 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(F.col("both") * 100 >= (F.size("x") + F.size("y") - F.col("both")) * percent).select("a", "b")
 
 
-def _across(percent: int, k: int):
-    """Pairs of a bucket's block whose labels differ and whose signatures look alike.
+def _across(percent: int):
+    """Links of the probes in a block of a bucket to its members under other labels, on full sets.
 
-    The bar lies five standard errors below the threshold, and one byte per coordinate can only
-    raise the agreement, so it takes no pair above the threshold away.
+    Each probe's shingles are looked up in an index of the block, which counts what it shares with
+    every member at once.  One link per probe and label is enough to join the groups.
     """
-    bar = k * percent / 100 - 5 * (k * percent / 100 * (1 - percent / 100)) ** 0.5
 
-    def work(key, frame: pd.DataFrame) -> pd.DataFrame:
-        low = np.frombuffer(b"".join(frame["low"]), np.uint8).reshape(len(frame), k)
-        ids, label, n, side = (frame[c].to_numpy() for c in ("doc_id", "label", "n_shingles", "side"))
-        first, second = (np.flatnonzero(side == s) for s in (0, 1))
-        alone = key[1] == key[2]
+    def work(table: pa.Table) -> pa.Table:
+        ids, label, probe, here = (np.array(table.column(c)) for c in ("doc_id", "label", "probe", "here"))
+        sets = table.column("codes").combine_chunks()
+        codes, ends = np.array(sets.flatten()), np.array(sets.offsets)
+        ends = ends - ends[0]
+        size = np.diff(ends)
+        owner = np.repeat(np.arange(len(ids)), size)
+        inside = here[owner]
+        order = np.argsort(codes[inside], kind="stable")
+        posted, members = codes[inside][order], owner[inside][order]
         found = []
-        for i in first:
-            others = first[first > i] if alone else second
-            others = others[(label[others] != label[i]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
-            if len(others):
-                like = others[(low[others] == low[i]).sum(1) >= bar]
-                found += [(ids[i], x) for x in ids[like]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        for i in np.flatnonzero(probe):
+            own = codes[ends[i] : ends[i + 1]]
+            low, high = np.searchsorted(posted, own), np.searchsorted(posted, own, "right")
+            spans = [members[x:y] for x, y in zip(low, high) if y > x]
+            if spans:
+                both = np.bincount(np.concatenate(spans), minlength=len(ids))
+                near = np.flatnonzero((both * 100 >= (size + size[i] - both) * percent) & here & (label != label[i]) & (both > 0))
+                found += {label[j]: (ids[i], ids[j]) for j in near}.values()
+        return pa.table({"a": pa.array([max(x) for x in found], pa.int64()), "b": pa.array([min(x) for x in found], pa.int64())})
 
     return work
 
@@ -160,8 +164,9 @@ def near_duplicates(
     1. Equal sets become one class, so copies cost no comparison.
     2. Circulant signatures are cut into bands; classes that share a band meet in a bucket.  Each
        class is first held against the smallest id of its buckets only, on the full sets.
-    3. What is still apart within a bucket is compared in blocks of bounded size, by signature and
-       then on the full sets.  A bucket whose members already hang together costs nothing here.
+    3. In buckets that still hold several groups, every class outside the largest one is held against
+       all of the bucket on the full sets, in blocks of bounded size; pairs are counted in an index
+       of the block and only links come out.  A bucket that hangs together costs nothing here.
     4. Links become groups by joins alone.
 
     With 32 bands of 4 a pair exactly at the threshold is missed with probability 5e-6.  A word
@@ -177,34 +182,28 @@ def near_duplicates(
     classes = sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")).where("rep is not null")
     member = sketch.where("doc_id is not null").join(classes, "digest")
     copies = member.where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    one = written(member.where("doc_id = rep").select("doc_id", "n_shingles", "bands", "low"), "classes")
+    one = written(member.where("doc_id = rep").select("doc_id", "bands"), "classes")
     bucket = one.select("doc_id", F.explode("bands").alias("key"))
     shared = bucket.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count("*").alias("members")).where("members > 1")
     in_shared = written(bucket.join(shared, "key"), "buckets")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        pairs = written(pairs, "pairs")
-        needed = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
-        sets = written(shingle_sets(plain.join(needed, "doc_id", "left_semi"), width), "sets")
-        return written(_verified(pairs, sets, percent), "near")
+    pairs = written(in_shared.where("doc_id != leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct(), "pairs")
+    needed = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
+    # The same plan at every size: the ids grow with the documents, so they are not broadcast.
+    sets = written(shingle_sets(plain.join(needed.hint("merge"), "doc_id", "left_semi"), width), "sets")
+    near = written(_verified(pairs, sets, percent), "near")
 
-    near = links(in_shared.where("doc_id != leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct())
     label = components(near)
-    known = in_shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "key", "doc_id", "members", F.coalesce("label", "doc_id").alias("label")
-    )
-    apart = known.groupBy("key").agg(F.min("label").alias("low_label"), F.max("label").alias("high_label")).where("low_label != high_label").select("key")
-    # A pair that shares many buckets is compared once per bucket, in memory only.
+    known = in_shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", "members", F.coalesce("label", "doc_id").alias("label"))
+    known = written(known, "labels")
+    share = known.groupBy("key", "label").agg(F.count("*").alias("n"))
+    mixed = share.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
+    # A link between labels has an end outside the commonest one: only those ends are probes.
     blocks = F.ceil(F.col("members") / MEMBERS)
-    split = (
-        known.join(apart, "key")
-        .join(one.select("doc_id", "n_shingles", "low"), "doc_id")
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
-        .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "n_shingles", "label", "low", (F.col("block") > F.col("other")).cast("int").alias("side"))
-    )
-    rest = split.groupBy("key", "i", "j").applyInPandas(_across(percent, k), "a bigint, b bigint")
-    more = links(rest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    rows_of = known.join(mixed, "key").withColumn("home", F.pmod(F.xxhash64("doc_id"), blocks)).withColumn("probe", F.col("label") != F.col("top"))
+    places = F.when(F.col("probe"), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(F.array("home"))
+    dealt = rows_of.select("key", "doc_id", "label", "probe", "home", F.explode(places).alias("block")).withColumn("here", F.col("home") == F.col("block"))
+    more = written(dealt.join(sets, "doc_id").groupBy("key", "block").applyInArrow(_across(percent), "a bigint, b bigint").distinct(), "more")
 
     groups = written(components(copies.unionAll(near).unionAll(more)), "groups")
     found = F.coalesce("label", "doc_id")
