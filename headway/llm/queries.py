@@ -10,6 +10,7 @@ from headway.llm import warc
 from headway.llm.backoff import backoff_scores
 from headway.llm.cotraining import score_quality
 from headway.llm.decontaminate import benchmark_hits
+from headway.llm.lines import line_repeats
 from headway.llm.minhash import near_duplicates
 from headway.llm.order_minhash import order_fingerprints
 from headway.llm.packing import pack
@@ -54,6 +55,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    repeats = line_repeats(_table(spark, sf_dir, "documents"))
+    return repeats.withColumn("removed_lines", F.array_join("removed_lines", ","))
+
+
 def op9_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = backoff_scores(_table(spark, sf_dir, "documents"))
     return scores.select("doc_id", "n_words", F.round("log_score", 5).alias("log_score"), F.round("mean_log_score", 7).alias("mean_log_score"))
@@ -70,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
     "op6_packing": op6_packing,
     "op7_decontaminate": op7_decontaminate,
+    "op8_lines": op8_lines,
     "op9_backoff": op9_backoff,
     "op10_order_minhash": op10_order_minhash,
 }
@@ -120,6 +127,37 @@ ORACLE: dict[str, str] = {
                coalesce(n_hit, 0) > 0 as contaminated
         from d left join words on d.doc_id = words.doc_id left join items on d.doc_id = items.doc_id
     """,
+    "op8_lines": rf"""
+        with l as (
+            select doc_id, generate_subscripts(string_split({_LOWER}, chr(10)), 1) - 1 as line,
+                   unnest(string_split({_LOWER}, chr(10))) as s
+            from documents
+        ),
+        w as (
+            select doc_id, line, regexp_extract_all(s, '[^\x20\x09-\x0D]+') as w from l
+        ),
+        g as (
+            select distinct doc_id, line, array_to_string(w[i : i + 4], ' ') as g
+            from (select doc_id, line, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from w where len(w) > 0)
+        ),
+        n as (select doc_id, line, count(*) as n from g group by all),
+        pairs as (
+            select x.doc_id, x.line, y.doc_id as y_doc, y.line as y_line, count(*) as common
+            from g x join g y on x.g = y.g and (y.doc_id, y.line) < (x.doc_id, x.line) group by all
+        ),
+        gone as (
+            select distinct p.doc_id, p.line from pairs p
+            join n as a on a.doc_id = p.doc_id and a.line = p.line
+            join n as b on b.doc_id = p.y_doc and b.line = p.y_line
+            where 100 * common >= 75 * (a.n + b.n - common)
+        ),
+        by_doc as (
+            select doc_id, count(*) as n_removed, string_agg(line, ',' order by line) as removed_lines from gone group by doc_id
+        )
+        select d.doc_id, cast(len(string_split(coalesce(d.text, ''), chr(10))) as bigint) as n_lines,
+               coalesce(n_removed, 0) as n_removed, coalesce(removed_lines, '') as removed_lines
+        from documents d left join by_doc on by_doc.doc_id = d.doc_id
+    """,
     "op9_backoff": rf"""
         with d as (
             select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as w from documents
