@@ -14,6 +14,7 @@ from headway.llm.lines import line_repeats
 from headway.llm.minhash import near_duplicates
 from headway.llm.order_minhash import order_fingerprints
 from headway.llm.packing import pack
+from headway.llm.passages import near_passages
 from headway.llm.shared import set_batches, shared_folder
 from headway.llm.toxicity import score_toxicity
 
@@ -40,6 +41,10 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_passages(_table(spark, sf_dir, "documents"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """The documents packed with the public byte-level tokenizer."""
     import public_tokenizers
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cotraining": op2_cotraining,
     "op3_warc": op3_warc,
     "op4_minhash": op4_minhash,
+    "op5_passages": op5_passages,
     "op6_packing": op6_packing,
     "op7_decontaminate": op7_decontaminate,
     "op8_lines": op8_lines,
