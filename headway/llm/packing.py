@@ -13,17 +13,25 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from headway.llm.shared import written
 from headway.llm.words import U64, bounded, shingles, text_column, word_codes
 
 #: Tokens of a sequence, and about how many of a shard: a task holds one shard at a time.
 WINDOW, SHARD_TOKENS = 1024, 1 << 20
 #: Words whose ids a worker keeps; the store is emptied when it is full.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_200_000
 #: Terms of the seed that are looked up, and the usual BM25 parameters.
 QUERY_TERMS, K1, B = 32, 1.2, 0.75
 
-# White space that meets other white space, or an end of the text, is tokenized with its surroundings.
-_ODD = re.compile(r"(?:^|[\s\x1c-\x1f\x85])[\s\x1c-\x1f\x85]|[\s\x1c-\x1f\x85]$")
+# White space other than the space and the line break.
+_RARE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+
+
+def _plain(text: str) -> bool:
+    """Whether every space and line break stands alone between signs."""
+    if text[:1] in (" ", "\n", "") or text[-1] in " \n":
+        return False
+    return not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or "<|endoftext|>" in text or _RARE.search(text))
 
 
 class Tokens(dict):
@@ -61,16 +69,14 @@ class Tokens(dict):
         """Ids of the first word of a line."""
         ids = self.heads.get(word)
         if ids is None:
-            if len(self.heads) >= KEPT_WORDS // 4:
+            if len(self.heads) >= KEPT_WORDS // 6:
                 self.heads.clear()
             ids = self.heads[word] = self._word(word)
         return ids
 
     def encode(self, text: str) -> bytes:
-        if _ODD.search(text) or "<|endoftext|>" in text:
+        if not _plain(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if not text:
-            return b""
         lines, get = [], self.__getitem__
         for line in text.split("\n"):
             head, *rest = line.split(" ")
@@ -220,5 +226,7 @@ def pack(
         if texts:
             yield shard()
 
-    spread = rows.mapInArrow(keyed, "doc_id bigint, text string, close bigint").repartitionByRange("close", "doc_id").sortWithinPartitions("close", "doc_id", "text")
+    # Written, as the ranges are found in a pass of their own.
+    near = written(rows.mapInArrow(keyed, "doc_id bigint, text string, close bigint"), "close_texts")
+    spread = near.repartitionByRange("close", "doc_id").sortWithinPartitions("close", "doc_id", "text")
     return spread.select("doc_id", "text").mapInArrow(work, fields + (", ids array<int>" if with_ids else ""))
