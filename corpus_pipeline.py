@@ -6,23 +6,58 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from headway.llm.cotraining import keep_quality
+from headway.llm.decontaminate import benchmark_hits
+from headway.llm.lines import drop_repeated_lines
 from headway.llm.minhash import near_duplicates
+from headway.llm.queries import packed
 from headway.llm.shared import set_batches, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-duplicate groups shrink to the document with the smallest id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the co-trained classifier accepts."""
+    return keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that repeat an earlier one, n_chars as it is then; no document goes."""
+    cut = drop_repeated_lines(docs)
+    return cut.select(*[F.char_length("text").cast("bigint").alias(c) if c == "n_chars" else F.col(c) for c in cut.columns])
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate group, and those without an id.
+
+    Documents whose text is empty or blank link with nothing and stay.
+    """
+    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    hits = benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = hits.where("contaminated").select("doc_id").distinct()
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences."""
+    return packed(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("near_duplicates", one_of_each_group),
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("packing", packing),
 ]
 
-#: The stages are learned or greedy, which SQL cannot express; tests hold them against brute force.
+#: The first stage is learned and the last one greedy, which SQL cannot express; tests hold the
+#: stages against brute-force versions.
 ORACLE_SQL = None
 
 
