@@ -84,39 +84,41 @@ class Quality(NamedTuple):
 
 def cotrain(
     text: np.ndarray, meta: np.ndarray, y: np.ndarray, free_text: np.ndarray, free_meta: np.ndarray,
-    rounds: int = 4, sure: float = 0.95, share: float = 0.1,
+    rounds: int = 4, sure: float = 0.97, share: float = 0.2,
 ) -> Quality:
     """Train the views on labelled rows, each giving the other its sure labels of the free rows.
 
-    In a round each view labels the free rows it is surest of, at most ``share`` of them for each
-    label and only beyond ``sure``; they join the other view's rows.  Every fourth labelled row is
-    kept back to calibrate the two scores and to combine them.
+    In a round each view labels the free rows it is surest of, at most ``share`` of them, in the
+    labels' proportion and only beyond ``sure`` of its calibrated score, so a weak view hands over
+    nothing; they join the other view's rows.  Every fourth labelled row is kept back to calibrate the two scores
+    and to combine them.
     """
     held = np.arange(len(y)) % 4 == 3
     views = ((text, free_text), (meta, free_meta))
+    rate = float(np.mean(y)) if len(y) else 0.5
     given: list[dict[int, float]] = [{}, {}]  # pseudo-labels each view was given
-    models: list[Logistic] = []
     for turn in range(rounds + 1):
-        models = []
+        models, calibrated = [], []
         for (own, free), more in zip(views, given):
             rows = np.array(sorted(more), int)
             x = np.vstack([own[~held], free[rows]])
             labels = np.concatenate([y[~held], [more[i] for i in rows]])
-            models.append(Logistic().fit(x, labels, np.concatenate([np.ones((~held).sum()), np.full(len(rows), 0.5)])))
+            models.append(Logistic(3.0).fit(x, labels, np.concatenate([np.ones((~held).sum()), np.full(len(rows), 0.5)])))
+            calibrated.append(Logistic(0.1).fit(models[-1].logit(own[held])[:, None], y[held]))
         if turn == rounds or not len(free_text):
             break
-        most = max(1, int(share * len(free_text)))
         for k in (0, 1):
-            score = models[k].score(views[k][1])
+            score = calibrated[k].score(models[k].logit(views[k][1])[:, None])
             order = np.argsort(score, kind="stable")
-            for label, rows in ((0.0, order[:most]), (1.0, order[::-1][:most])):
+            low, high = order[score[order] <= 1 - sure], order[::-1][score[order[::-1]] >= sure]
+            # As many of each label as the labelled rows' shares allow, so neither swamps the other.
+            most = min(len(low) / max(1 - rate, 1e-9), len(high) / max(rate, 1e-9), share * len(free_text))
+            for label, rows in ((0.0, low[: int(most * (1 - rate))]), (1.0, high[: int(most * rate)])):
                 for i in rows:
-                    if abs(score[i] - label) <= 1 - sure:
-                        given[1 - k].setdefault(int(i), label)
-    logits = [m.logit(own[held])[:, None] for m, (own, _) in zip(models, views)]
-    calibrated = tuple(Logistic(0.1).fit(z, y[held]) for z in logits)
-    both = Logistic(0.1).fit(np.column_stack([c.logit(z) for c, z in zip(calibrated, logits)]), y[held])
-    return Quality(models[0], models[1], calibrated, both)
+                    given[1 - k].setdefault(int(i), label)
+    logits = [c.logit(m.logit(own[held])[:, None]) for m, c, (own, _) in zip(models, calibrated, views)]
+    both = Logistic(0.1).fit(np.column_stack(logits), y[held])
+    return Quality(models[0], models[1], (calibrated[0], calibrated[1]), both)
 
 
 def _views(batch: pa.RecordBatch, meta: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
