@@ -179,7 +179,8 @@ def near_duplicates(
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketch = written(sketches(plain, "doc_id", "text", width, k, rows), "sketches")
 
-    classes = sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")).where("rep is not null")
+    # Written, so that the join below is dealt out anew and Spark can split a hot digest there.
+    classes = written(sketch.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep")).where("rep is not null"), "digests")
     member = sketch.where("doc_id is not null").join(classes, "digest")
     copies = member.where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     one = written(member.where("doc_id = rep").select("doc_id", "bands"), "classes")
