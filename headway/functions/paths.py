@@ -15,8 +15,12 @@ PATTERNS = {
 
 
 def path_part(c: Column | str, name: str) -> Column:
-    """The value of one feed key in a path; empty text when the path lacks it."""
-    return F.regexp_extract(_col(c), PATTERNS[name] + "/", 1)
+    """The value of one feed key in a path; empty text when the path lacks it.
+
+    Signs that a folder name cannot hold are stored as ``%`` and their code; they are put back.
+    """
+    raw = F.regexp_extract(_col(c), PATTERNS[name] + "/", 1)
+    return F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
 
 
 def feed_id(e: Column | str, c: Column | str, v: Column | str) -> Column:

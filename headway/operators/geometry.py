@@ -9,6 +9,7 @@ from headway.operators.joins import anti_filter, feed_key, semi_filter
 from headway.schemas import FEED
 
 LABELS = ("final_color", "route_short_name", "trip_headsign")
+# Columns of the rows that stand in for geometry.
 BASIC = (*LABELS, "route_id", "trip_id", "service_id", "shape_id")
 
 

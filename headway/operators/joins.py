@@ -91,8 +91,13 @@ def with_lines(calls: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def route_attributes(df: DataFrame, routes: DataFrame) -> DataFrame:
-    """Look up the combo colour and the short name of each row's route."""
-    looked_up = routes.select(*feed_key("route_id"), "route_color", "route_short_name")
+    """Look up the combo colour and the short name of each row's route.
+
+    A route id that occurs more than once gives one row all the same: the smallest of its pairs of
+    short name and colour.  ``repeated_routes`` tells which ids these are.
+    """
+    one = routes.groupBy(*feed_key("route_id")).agg(F.min(F.struct("route_short_name", "route_color")).alias("r"))
+    looked_up = reshuffled(one, "route_id").select(*feed_key("route_id"), "r.route_color", "r.route_short_name")
     joined = df.join(looked_up, feed_key("route_id"), "left")
     return joined.withColumn("route_color", combo_color("route_color"))
 

@@ -11,7 +11,6 @@ from headway.functions import clean_id, lstrip_zeros, zfill
 from headway.operators.columns import drop_null
 from headway.operators.joins import reshuffled
 from headway.schemas import FEED
-from headway.session import shared_table
 
 
 class Rung(NamedTuple):
@@ -194,13 +193,12 @@ def resolve_keys(
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with the key rewritten to the spelling that makes their feed match.
 
-    Keys of a feed without any match are only cleaned.  The spellings are computed here and now
-    and kept in the shared folder, as both sides and all that is built on them need them.
+    Keys of a feed without any match are only cleaned.
     """
     sides = _sides(left, right, key, by)
     best = _best(_matches(left, right.select(*by, key).distinct(), key, ladder, by), by)
     chosen = _spelled(sides.select(*by, key), key, ladder).join(best, [*by, "rung"])
-    mapping = shared_table(chosen.select(*by, key, "resolved"), "resolved_keys")
+    mapping = reshuffled(chosen.select(*by, key, "resolved"), key)
 
     def rewrite(df: DataFrame) -> DataFrame:
         joined = df.join(mapping, [*by, key], "left")

@@ -15,10 +15,10 @@ from headway.operators.checks import required_error
 from headway.operators.columns import conform, union_tables
 from headway.schemas import ALL_STATUSES, FILE_STATUSES, LEDGER, LEDGER_KEY
 
-IN_FLIGHT = ("preprocessing", "processing")
+IN_FLIGHT = ("preprocessing", "processing", *FILE_STATUSES)
 # Registration leaves runs in these states alone; all others start again.
-SETTLED = ("pending", "processing", "completed", *FILE_STATUSES)
-# Cleared when a failed run is set back.
+SETTLED = ("pending", "processing", "completed")
+# Fields cleared when a failed run is set back.
 RUN_FIELDS = (
     "error", "message", "preprocessor_result", "macro_job_id", "macro_stops_job_id",
     "macro_status", "macro_stops_status", "start_time", "end_time",
@@ -47,8 +47,9 @@ def _change(ledger: DataFrame, condition: Column, values: dict[str, Column | Non
 
 
 def new_entries(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Distinct manifest entries the ledger lacks."""
-    return manifest.select(*_KEY).distinct().join(ledger.select(*_KEY), _KEY, "left_anti")
+    """Distinct valid manifest entries the ledger lacks; one without a full key can never run."""
+    valid = manifest.where(required_error() == "").select(*_KEY).distinct()
+    return valid.join(ledger.select(*_KEY), _KEY, "left_anti")
 
 
 def merge_manifest(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -144,6 +145,7 @@ def outcome_tally(outcomes: DataFrame) -> DataFrame:
 def inconsistency(as_of: str, hours: int = 8, known: Sequence[str] = ALL_STATUSES) -> Column:
     """Why a ledger row is inconsistent; null when it is not."""
     status, started = F.col("status"), F.col("started_at")
+    # Messages of the reasons.
     reasons: list[Column] = []
     for name in (*LEDGER_KEY, "status"):
         empty = F.col(name).isNull() | (F.col(name) == "")
@@ -206,8 +208,9 @@ def reset_failed(ledger: DataFrame, as_of: str) -> DataFrame:
 def expire(
     ledger: DataFrame, as_of: str, hours: int = 4, since: str = "jobs_started_at"
 ) -> DataFrame:
-    """Runs processing for more than ``hours`` fail with a message."""
-    late = (F.col("status") == "processing") & older_than(since, as_of, hours)
+    """Runs processing, in either job or both, for more than ``hours`` fail with a message."""
+    running = F.col("status").isin("processing", "processing_macro", "processing_macro_stops")
+    late = running & older_than(since, as_of, hours)
     return _change(
         ledger,
         late,
@@ -222,10 +225,13 @@ def expire(
 def apply_job_states(ledger: DataFrame, job_states: DataFrame, as_of: str) -> DataFrame:
     """Take the states of the two jobs into processing runs and fold them.
 
-    ``job_states`` has the feed keys, ``macro`` and ``macro_stops``, one row per run.  A run
-    without a row has unknown states and goes on.
+    ``job_states`` has the feed keys, ``macro`` and ``macro_stops``.  A run without a row has
+    unknown states and goes on.  Of several rows of a run the greatest states count, the earlier
+    job first; with a column ``seen_at`` (ISO text) the latest row does.
     """
-    states = job_states.select(*_KEY, F.col("macro").alias("_a"), F.col("macro_stops").alias("_b"))
+    seen = [iso_time("seen_at"), "seen_at"] if "seen_at" in job_states.columns else []
+    last = F.max(F.struct(*seen, F.col("macro").alias("_a"), F.col("macro_stops").alias("_b")))
+    states = job_states.groupBy(*_KEY).agg(last.alias("s")).select(*_KEY, "s._a", "s._b")
     unknown = F.lit("UNKNOWN")
     joined = ledger.join(states, _KEY, "left").withColumns(
         {"_a": F.coalesce("_a", unknown), "_b": F.coalesce("_b", unknown)}
@@ -253,11 +259,12 @@ def apply_updates(ledger: DataFrame, updates: DataFrame) -> DataFrame:
     """Set status, message and error of runs.
 
     ``updates`` has the feed keys, ``status``, ``message``, ``error`` and ``updated_at`` (ISO text).  The
-    latest one of each run counts; of those with the same time the greatest.  An empty message
-    or error leaves the old one.
+    latest one of each run counts, by time and not by text; of those with the same time the
+    greatest.  A time that cannot be read comes before all others.  An empty message or error leaves
+    the old one.
     """
     latest = updates.groupBy(*_KEY).agg(
-        F.max(F.struct("updated_at", "status", "message", "error")).alias("u")
+        F.max(F.struct(iso_time("updated_at").alias("at"), "updated_at", "status", "message", "error")).alias("u")
     )
     joined = ledger.join(latest, _KEY, "left")
 
@@ -278,15 +285,14 @@ def apply_updates(ledger: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def next_pending(ledger: DataFrame, n: int = 1) -> DataFrame:
-    """The next ``n`` pending runs, the longest registered first."""
+    """The next ``n`` pending runs, the longest registered first; those without a full key never run."""
     order = [F.col("registered_at").asc_nulls_first(), F.col("id")]
-    return with_status(ledger, "pending").orderBy(*order).limit(n)
+    return with_status(ledger, "pending").where(required_error() == "").orderBy(*order).limit(n)
 
 
 def claim(ledger: DataFrame, n: int, as_of: str, prefix: str = "run") -> DataFrame:
     """The next ``n`` pending runs start processing."""
-    # ``n`` rows at most, the caller's own bound.
-    chosen = F.broadcast(next_pending(ledger, n).select(*_KEY, F.lit(True).alias("chosen")))
+    chosen = next_pending(ledger, n).select(*_KEY, F.lit(True).alias("chosen"))
     stamp = F.date_format(F.lit(as_of).cast("timestamp"), "yyyyMMddHHmmss")
     name = F.concat_ws("-", F.lit(prefix), F.col("id"), stamp)
     return _change(

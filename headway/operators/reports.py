@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from headway.operators.ledger import with_status
-from headway.schemas import LEDGER_KEY, STATUSES
+from headway.schemas import ALL_STATUSES, LEDGER_KEY
 
 # Fixed value: stands in for a failed run's missing message.
 UNKNOWN_ERROR = "Desconocido"
@@ -25,7 +25,7 @@ def by_status(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
 
 
-def status_counts(ledger: DataFrame, statuses: tuple[str, ...] = STATUSES) -> DataFrame:
+def status_counts(ledger: DataFrame, statuses: tuple[str, ...] = ALL_STATUSES) -> DataFrame:
     """One row: the total and the number of runs in each given status, zero included."""
     return ledger.agg(F.count("*").alias("total"), *[_count(s).alias(s) for s in statuses])
 

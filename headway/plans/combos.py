@@ -3,7 +3,7 @@
 A combo is a (feed, route, headsign) with its trips, shapes and colour.  One combo may hold a
 large share of all trips, so nothing is gathered per combo without a bound: ``combos`` has the
 scalars, ``combo_shapes`` and ``combo_rows`` are long tables, and ``combo_documents`` has the
-nested form cut into parts of about ``part_rows`` rows.
+nested form, every combo cut into the same number of parts.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from headway.functions import or_empty, sorted_set
 from headway.operators.columns import drop_null
-from headway.operators.joins import feed_key, reshuffled, route_attributes, trips_with_stops
+from headway.operators.joins import feed_key, route_attributes, trips_with_stops
 
 COMBO = feed_key("route_id", "trip_headsign")
 ROW = ("route_id", "trip_id", "service_id", "shape_id", "trip_headsign")
@@ -57,23 +57,19 @@ def combos(rows: DataFrame, routes: DataFrame) -> DataFrame:
     return route_attributes(flagged, routes).drop("route_short_name")
 
 
-def combo_parts(rows: DataFrame, part_rows: int = 10_000) -> DataFrame:
-    """Number the rows of each combo with a ``part`` of about ``part_rows`` rows.
+def combo_parts(rows: DataFrame, parts: int = 64) -> DataFrame:
+    """Number the rows of each combo with a ``part`` from 0 to ``parts`` - 1.
 
-    The part follows from a hash of the row, so it does not change when a task is run again.
+    One rule for all combos, large and small.  The part follows from a hash of the row, so it does
+    not change when a task is run again.
     """
-    counts = rows.groupBy(*COMBO).agg(F.ceil(F.count("*") / part_rows).alias("n_parts"))
-    # Small combos have one part; only the large ones, at most 1/part_rows of the rows, are joined.
-    large = reshuffled(counts.where("n_parts > 1"), "trip_headsign")
     spread = F.concat_ws("\x1f", *[or_empty(c) for c in ("trip_id", "service_id", "shape_id")])
     digest = F.conv(F.substring(F.md5(spread), 1, 8), 16, 10).cast("bigint")
-    n_parts = F.coalesce("n_parts", F.lit(1))
-    numbered = rows.join(large, COMBO, "left").withColumn("n_parts", n_parts)
-    return numbered.withColumn("part", F.pmod(digest, F.col("n_parts")))
+    return rows.withColumn("part", F.pmod(digest, F.lit(parts)))
 
 
-def combo_documents(rows: DataFrame, routes: DataFrame, part_rows: int = 10_000) -> DataFrame:
-    """The nested form, one row per part of a combo.
+def combo_documents(rows: DataFrame, routes: DataFrame, parts: int = 64) -> DataFrame:
+    """The nested form, one row per part of a combo that has rows.
 
     Lists of one combo are those of its parts taken together.  ``group_copies`` tells how often
     each row of ``group_data`` occurs.
@@ -81,7 +77,7 @@ def combo_documents(rows: DataFrame, routes: DataFrame, part_rows: int = 10_000)
     shape = F.when(_has_shape(), F.col("shape_id"))
     # Rows are gathered as structs: they can be sorted, maps cannot.
     members = F.collect_list(F.struct(*ROW, "copies"))
-    parts = combo_parts(rows, part_rows).groupBy(*COMBO, "part", "n_parts").agg(
+    nested = combo_parts(rows, parts).groupBy(*COMBO, "part").agg(
         sorted_set(shape).alias("unique_shape_ids"),
         sorted_set("trip_id").alias("trip_ids"),
         F.array_sort(members).alias("sorted_rows"),
@@ -90,7 +86,7 @@ def combo_documents(rows: DataFrame, routes: DataFrame, part_rows: int = 10_000)
     def as_map(item: Column) -> Column:
         return F.create_map(*[x for c in ROW for x in (F.lit(c), item[c])])
 
-    nested = parts.withColumns(
+    nested = nested.withColumns(
         {
             "has_stops": F.lit(True),
             "group_data": F.transform("sorted_rows", as_map),

@@ -29,7 +29,6 @@ from headway.operators.joins import calls_with_stops, feed_key, reshuffled, trip
 from headway.operators.keys import LADDER, Ladder, lookup_for
 from headway.operators.lines import lines_by_stop
 from headway.schemas import FEED, MACRO, MACRO_STOPS
-from headway.session import shared_table
 
 
 def clean_trips(trips: DataFrame) -> DataFrame:
@@ -54,10 +53,9 @@ def _lookup(keys: DataFrame, routes: DataFrame, ladder: Ladder) -> DataFrame:
 def route_lookup(trips: DataFrame, routes: DataFrame, ladder: Ladder = LADDER) -> DataFrame:
     """Attributes and final colour of the routes, keyed by the raw route id of the trips.
 
-    The lookup is computed here and now, from one look at the route ids of the trips, and kept in
-    the shared folder.  It has a row per spelling of a route and is needed by every join of trips.
+    It has a row per spelling of a route, from the distinct route ids of the trips.
     """
-    return shared_table(_lookup(trips, routes, ladder), "route_lookup")
+    return _lookup(trips, routes, ladder)
 
 
 def routed_trips(trips: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -83,19 +81,18 @@ def macro(
     A route with geometry gives the points of its distinct (shape, colour, names).  A route
     without any gives its distinct basic columns.  A feed without shapes gives every trip as is.
 
-    The patterns of the trips, the ids of the shapes and the kind of each route are computed first
-    and kept in the shared folder.  The trips are then read only for routes without geometry, and
-    the points go through one join.
+    The kind of each route follows from the distinct patterns of the trips and the distinct ids of
+    the shapes.  The trips are then used only for routes without geometry, and the points go through
+    one join.
     """
     trips = clean_trips(trips)
     if shapes is None:
         return conform(routed_trips(trips, route_lookup(trips, routes, ladder)), MACRO, lead=FEED)
 
-    patterns = shared_table(trip_patterns(trips), "patterns")
+    patterns = trip_patterns(trips)
     shape_keys = shapes.select(*FEED, clean_id("shape_id").alias("shape_id")).distinct()
-    shape_keys = shared_table(shape_keys, "shape_keys")
     lookup = _lookup(patterns, routes, ladder)
-    kinds = shared_table(_with_kind(lookup, patterns, shape_keys), "route_kinds")
+    kinds = _with_kind(lookup, patterns, shape_keys)
 
     def routed(rows: DataFrame, kind: str) -> DataFrame:
         return routed_trips(rows, kinds.where(F.col("kind") == kind).drop("kind"))

@@ -7,34 +7,42 @@ from pyspark.sql import types as T
 FEED = ("explotation", "contract", "version")
 LEDGER_KEY = ("P_EMPRESA", "P_CONTR", "P_VERSION")
 
-_STRING, _DOUBLE, _LONG = T.StringType(), T.DoubleType(), T.LongType()
-
-
-def _struct(**groups: str) -> T.StructType:
-    kinds = {"string": _STRING, "double": _DOUBLE, "bigint": _LONG}
-    return T.StructType(
-        [T.StructField(name, kinds[kind]) for kind, names in groups.items() for name in names.split()]
-    )
-
-
-def _ordered(text: str) -> T.StructType:
-    """Schema from lines of ``name:kind`` words; a word without a kind is a string."""
-    kinds = {"": _STRING, "d": _DOUBLE, "n": _LONG}
-    fields = []
-    for word in text.split():
-        name, _, kind = word.partition(":")
-        fields.append(T.StructField(name, kinds[kind]))
-    return T.StructType(fields)
-
-
-# Source tables: the columns that are read.
+# The columns that are read of each source table.
 SOURCES: dict[str, T.StructType] = {
-    "agency": _struct(string="agency_id"),
-    "routes": _struct(string="route_id route_short_name route_color"),
-    "trips": _struct(string="route_id trip_id service_id shape_id trip_headsign"),
-    "stop_times": _struct(string="trip_id stop_id stop_sequence arrival_time departure_time"),
-    "stops": _ordered("stop_id stop_lat:d stop_lon:d stop_name"),
-    "shapes": _ordered("shape_id shape_pt_lat:d shape_pt_lon:d shape_pt_sequence:n"),
+    "agency": T.StructType([
+        T.StructField("agency_id", T.StringType()),
+    ]),
+    "routes": T.StructType([
+        T.StructField("route_id", T.StringType()),
+        T.StructField("route_short_name", T.StringType()),
+        T.StructField("route_color", T.StringType()),
+    ]),
+    "trips": T.StructType([
+        T.StructField("route_id", T.StringType()),
+        T.StructField("trip_id", T.StringType()),
+        T.StructField("service_id", T.StringType()),
+        T.StructField("shape_id", T.StringType()),
+        T.StructField("trip_headsign", T.StringType()),
+    ]),
+    "stop_times": T.StructType([
+        T.StructField("trip_id", T.StringType()),
+        T.StructField("stop_id", T.StringType()),
+        T.StructField("stop_sequence", T.StringType()),
+        T.StructField("arrival_time", T.StringType()),
+        T.StructField("departure_time", T.StringType()),
+    ]),
+    "stops": T.StructType([
+        T.StructField("stop_id", T.StringType()),
+        T.StructField("stop_lat", T.DoubleType()),
+        T.StructField("stop_lon", T.DoubleType()),
+        T.StructField("stop_name", T.StringType()),
+    ]),
+    "shapes": T.StructType([
+        T.StructField("shape_id", T.StringType()),
+        T.StructField("shape_pt_lat", T.DoubleType()),
+        T.StructField("shape_pt_lon", T.DoubleType()),
+        T.StructField("shape_pt_sequence", T.LongType()),
+    ]),
 }
 
 # The file types a feed needs to be processed.
@@ -45,53 +53,122 @@ LISTED_TYPES = (
     "ROUTES", "CALENDAR", "PRE_STOP_TIMES", "STOP_TIMES", "SHAPES",
 )
 
-# Declared columns of the coloured shapes table (d = double, n = bigint).
-MACRO = _ordered(
-    """
-    shape_id final_color route_short_name trip_headsign
-    shape_pt_lat:d shape_pt_lon:d shape_pt_sequence:n shape_dist_traveled:d
-    route_id trip_id service_id trip_short_name direction_id:n block_id
-    agency_id route_long_name route_desc route_type:n route_url route_color
-    route_text_color route_sort_order continuous_pickup continuous_drop_off
-    """
-)
-
-# Declared columns of the stop calls table (d = double, n = bigint).
-MACRO_STOPS = _ordered(
-    """
-    route_id trip_id service_id shape_id trip_headsign trip_short_name
-    direction_id:n block_id arrival_time stop_id:n stop_sequence:n stop_headsign
-    continuous_pickup_x:n continuous_drop_off_x:n timepoint:n stop_code:n
-    stop_name stop_desc stop_lat:d stop_lon:d zone_id stop_url location_type:n
-    parent_station stop_timezone wheelchair_boarding level_id platform_code
-    agency_id route_short_name route_long_name route_type:n route_url route_color
-    route_sort_order continuous_pickup_y continuous_drop_off_y
-    final_color stop_id_2 stop_name_2 route_sn_trip_hs lines_by_stop
-    departure_time pickup_type drop_off_type route_desc route_text_color
-    consec_na wheelchair_accessible bikes_allowed
-    """
-)
-
-# Ledger times are kept as text: a bad time must be seen, not lost.
-LEDGER = T.StructType(
-    [T.StructField("id", _STRING)]
-    + [T.StructField(name, _STRING) for name in LEDGER_KEY]
-    + [T.StructField("status", _STRING), T.StructField("retries", T.IntegerType())]
-    + [
-        T.StructField(name, _STRING)
-        for name in (
-            "registered_at started_at reset_at last_updated preprocessed_at jobs_started_at "
-            "jobs_completed_at last_checked reset_reason error message execution_arn execution_id "
-            "temp_dir macro_job_id macro_stops_job_id macro_status macro_stops_status"
-        ).split()
-    ]
-)
+# Declared columns of the coloured shapes table.
+MACRO = T.StructType([
+    T.StructField("shape_id", T.StringType()),
+    T.StructField("final_color", T.StringType()),
+    T.StructField("route_short_name", T.StringType()),
+    T.StructField("trip_headsign", T.StringType()),
+    T.StructField("shape_pt_lat", T.DoubleType()),
+    T.StructField("shape_pt_lon", T.DoubleType()),
+    T.StructField("shape_pt_sequence", T.LongType()),
+    T.StructField("shape_dist_traveled", T.DoubleType()),
+    T.StructField("route_id", T.StringType()),
+    T.StructField("trip_id", T.StringType()),
+    T.StructField("service_id", T.StringType()),
+    T.StructField("trip_short_name", T.StringType()),
+    T.StructField("direction_id", T.LongType()),
+    T.StructField("block_id", T.StringType()),
+    T.StructField("agency_id", T.StringType()),
+    T.StructField("route_long_name", T.StringType()),
+    T.StructField("route_desc", T.StringType()),
+    T.StructField("route_type", T.LongType()),
+    T.StructField("route_url", T.StringType()),
+    T.StructField("route_color", T.StringType()),
+    T.StructField("route_text_color", T.StringType()),
+    T.StructField("route_sort_order", T.StringType()),
+    T.StructField("continuous_pickup", T.StringType()),
+    T.StructField("continuous_drop_off", T.StringType()),
+])
+
+# Declared columns of the stop calls table.
+MACRO_STOPS = T.StructType([
+    T.StructField("route_id", T.StringType()),
+    T.StructField("trip_id", T.StringType()),
+    T.StructField("service_id", T.StringType()),
+    T.StructField("shape_id", T.StringType()),
+    T.StructField("trip_headsign", T.StringType()),
+    T.StructField("trip_short_name", T.StringType()),
+    T.StructField("direction_id", T.LongType()),
+    T.StructField("block_id", T.StringType()),
+    T.StructField("arrival_time", T.StringType()),
+    T.StructField("stop_id", T.LongType()),
+    T.StructField("stop_sequence", T.LongType()),
+    T.StructField("stop_headsign", T.StringType()),
+    T.StructField("continuous_pickup_x", T.LongType()),
+    T.StructField("continuous_drop_off_x", T.LongType()),
+    T.StructField("timepoint", T.LongType()),
+    T.StructField("stop_code", T.LongType()),
+    T.StructField("stop_name", T.StringType()),
+    T.StructField("stop_desc", T.StringType()),
+    T.StructField("stop_lat", T.DoubleType()),
+    T.StructField("stop_lon", T.DoubleType()),
+    T.StructField("zone_id", T.StringType()),
+    T.StructField("stop_url", T.StringType()),
+    T.StructField("location_type", T.LongType()),
+    T.StructField("parent_station", T.StringType()),
+    T.StructField("stop_timezone", T.StringType()),
+    T.StructField("wheelchair_boarding", T.StringType()),
+    T.StructField("level_id", T.StringType()),
+    T.StructField("platform_code", T.StringType()),
+    T.StructField("agency_id", T.StringType()),
+    T.StructField("route_short_name", T.StringType()),
+    T.StructField("route_long_name", T.StringType()),
+    T.StructField("route_type", T.LongType()),
+    T.StructField("route_url", T.StringType()),
+    T.StructField("route_color", T.StringType()),
+    T.StructField("route_sort_order", T.StringType()),
+    T.StructField("continuous_pickup_y", T.StringType()),
+    T.StructField("continuous_drop_off_y", T.StringType()),
+    T.StructField("final_color", T.StringType()),
+    T.StructField("stop_id_2", T.StringType()),
+    T.StructField("stop_name_2", T.StringType()),
+    T.StructField("route_sn_trip_hs", T.StringType()),
+    T.StructField("lines_by_stop", T.StringType()),
+    T.StructField("departure_time", T.StringType()),
+    T.StructField("pickup_type", T.StringType()),
+    T.StructField("drop_off_type", T.StringType()),
+    T.StructField("route_desc", T.StringType()),
+    T.StructField("route_text_color", T.StringType()),
+    T.StructField("consec_na", T.StringType()),
+    T.StructField("wheelchair_accessible", T.StringType()),
+    T.StructField("bikes_allowed", T.StringType()),
+])
+
+# Fields of a run.  Times are kept as text: a bad time must be seen, not lost.
+LEDGER = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("P_EMPRESA", T.StringType()),
+    T.StructField("P_CONTR", T.StringType()),
+    T.StructField("P_VERSION", T.StringType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("retries", T.IntegerType()),
+    T.StructField("registered_at", T.StringType()),
+    T.StructField("started_at", T.StringType()),
+    T.StructField("reset_at", T.StringType()),
+    T.StructField("last_updated", T.StringType()),
+    T.StructField("preprocessed_at", T.StringType()),
+    T.StructField("jobs_started_at", T.StringType()),
+    T.StructField("jobs_completed_at", T.StringType()),
+    T.StructField("last_checked", T.StringType()),
+    T.StructField("reset_reason", T.StringType()),
+    T.StructField("error", T.StringType()),
+    T.StructField("message", T.StringType()),
+    T.StructField("execution_arn", T.StringType()),
+    T.StructField("execution_id", T.StringType()),
+    T.StructField("temp_dir", T.StringType()),
+    T.StructField("macro_job_id", T.StringType()),
+    T.StructField("macro_stops_job_id", T.StringType()),
+    T.StructField("macro_status", T.StringType()),
+    T.StructField("macro_stops_status", T.StringType()),
+])
 
 # Status words.
 STATUSES = ("pending", "preprocessing", "processing", "completed", "failed")
 FILE_STATUSES = ("preprocessed", "processing_macro", "processing_macro_stops")
 ALL_STATUSES = STATUSES + FILE_STATUSES
 
+# Fields of a run request.
 REQUEST_FIELDS = (
     "NOMBRE_EMPRESA", "P_EMPRESA", "P_CONTR", "P_CONTR_FLAG", "P_FECHAD", "P_FECHAH",
     "P_VERSION", "V_GTFS", "P_ENV", "P_FECHAEX", "P_LINE",

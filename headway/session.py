@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     # Runtime re-planning: broadcast by measured size, split skewed join partitions, coalesce.
@@ -33,24 +32,7 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared folder (``spark.checkpoint.dir``).
-
-    A machine-local folder is used only where the setting is absent and Spark runs in local mode.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="headway-")
+    """A new folder every executor can reach: below ``spark.checkpoint.dir``, or below the warehouse
+    where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def shared_table(df: DataFrame, name: str) -> DataFrame:
-    """The frame written below the shared folder and read back.
-
-    For small frames many parts of a plan need: they are computed once, losing an executor loses
-    nothing, and Spark plans the joins on them by their size on storage.
-    """
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -22,8 +22,6 @@ NULL_WORDS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
-# Tables with free text, where a quoted value may hold a line break.  The others can be split.
-MULTI_LINE = ("agency", "routes", "trips", "stops")
 
 
 def table_root(root: str, name: str) -> str:
@@ -62,19 +60,22 @@ def read_table(
     name: str,
     schema: T.StructType | None = None,
     null_words: Sequence[str] = NULL_WORDS,
-    multi_line: bool | None = None,
+    multi_line: bool = True,
     mixed_headers: bool = True,
 ) -> DataFrame:
     """A source table of all feeds: the feed columns and the columns of ``schema``.
 
     All columns are read as text, picked by name and then cast; a value that does not fit its
-    type is null.  One file per feed folder tells the header of its folder; without
+    type is null.  A row with more or fewer fields than the header fails the job, so no row is lost or
+    cut unseen.  A quoted value may hold line breaks, in every table; ``multi_line=False`` lets Spark
+    split large files that are known to have none, and a row broken by one then fails the job.
+
+    One file per feed folder tells the header of its folder; without
     ``mixed_headers`` one file tells it for all, which saves these looks.  Spark fails the job when
     a file has another header than it was taken to have.
     """
     schema = schema or SOURCES[name]
     base = table_root(root, name)
-    multi_line = name in MULTI_LINE if multi_line is None else multi_line
     if mixed_headers:
         # Two paths per feed: less than what Spark keeps on the driver to plan a scan.
         folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
@@ -89,6 +90,7 @@ def read_table(
             spark.read.schema(_all_text([*header, *FEED]))
             .option("header", "true")
             .option("enforceSchema", "false")
+            .option("mode", "FAILFAST")
             .option("multiLine", multi_line)
             .option("escape", '"')
             .option("basePath", base)

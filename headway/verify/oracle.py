@@ -166,7 +166,10 @@ COMBOS = f"""{with_views("routes", "trips", "stop_times")},
     members AS (SELECT * FROM running WHERE route_id IS NOT NULL AND trip_headsign IS NOT NULL),
     crows AS (SELECT {F}, route_id, trip_id, service_id, shape_id, trip_headsign,
                      count(*) AS copies FROM members GROUP BY ALL)"""
-_DOC_COLOR = f"""(SELECT {F}, route_id, {combo_blue("route_color")} AS route_color FROM routes)"""
+_DOC_COLOR = f"""(SELECT {F}, route_id, {combo_blue("route_color")} AS route_color FROM
+    (SELECT *, row_number() OVER (PARTITION BY {F}, route_id
+        ORDER BY route_short_name NULLS FIRST, route_color NULLS FIRST) AS nth FROM routes)
+    WHERE nth = 1)"""
 
 
 def colored(select: str, source: str) -> str:
@@ -191,7 +194,8 @@ def _in(words) -> str:
 LEDGER = with_views("ledger")
 _NOW = f"TIMESTAMP '{AS_OF.replace('T', ' ')}'"
 _TIME = "CASE WHEN {0} = 'bad' THEN NULL ELSE CAST(replace({0}, 'Z', '') AS TIMESTAMP) END"
-_FLYING = "coalesce(status IN ('preprocessing', 'processing'), FALSE)"
+_FLYING = """coalesce(status IN ('preprocessing', 'processing', 'preprocessed', 'processing_macro',
+    'processing_macro_stops'), FALSE)"""
 _REASON = f"""CASE
     WHEN coalesce(P_EMPRESA, '') = '' THEN 'Falta campo P_EMPRESA'
     WHEN coalesce(P_CONTR, '') = '' THEN 'Falta campo P_CONTR'
@@ -204,7 +208,7 @@ _REASON = f"""CASE
     WHEN status NOT IN {_in(ALL_STATUSES)} THEN 'Estado desconocido: ' || status END"""
 _JUDGED = f"{LEDGER}, judged AS (SELECT *, {_REASON} AS reason, {_FLYING} AS flying FROM ledger)"
 
-_SETTLED = _in([s for s in ALL_STATUSES if s not in ("preprocessing", "failed")])
+_SETTLED = "('pending', 'processing', 'completed')"
 _REG = f"""{with_views("manifest", "ledger")},
     entries AS (SELECT {RUN}, count(*) AS copies,
         CASE WHEN P_EMPRESA IS NULL THEN 'Campo requerido P_EMPRESA no encontrado'
@@ -227,8 +231,10 @@ _REG = f"""{with_views("manifest", "ledger")},
         copies - 1 AS repeats FROM held)"""
 
 _FOLD = f"""{with_views("job_states", "ledger")},
+    latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY P_EMPRESA, P_CONTR, P_VERSION
+        ORDER BY macro DESC, macro_stops DESC) AS nth FROM job_states) WHERE nth = 1),
     seen AS (SELECT l.*, coalesce(j.macro, 'UNKNOWN') AS a, coalesce(j.macro_stops, 'UNKNOWN') AS b
-        FROM ledger l LEFT JOIN job_states j ON l.P_EMPRESA = j.P_EMPRESA
+        FROM ledger l LEFT JOIN latest j ON l.P_EMPRESA = j.P_EMPRESA
              AND l.P_CONTR = j.P_CONTR AND l.P_VERSION = j.P_VERSION),
     folded AS (SELECT *, coalesce(status = 'processing', FALSE) AS busy,
         a NOT IN ('RUNNING', 'UNKNOWN') AND b NOT IN ('RUNNING', 'UNKNOWN') AS done,
@@ -300,10 +306,8 @@ ORACLE: dict[str, str] = {
     "combo_rows": f"{COMBOS} SELECT * FROM crows",
     "combo_shapes": f"""{COMBOS} SELECT DISTINCT {_COMBO}, shape_id FROM members
         WHERE coalesce(shape_id, '') <> ''""",
-    "combo_documents": f"""{COMBOS}, sized AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY {_COMBO})
-            / 20.0) AS BIGINT) AS n_parts FROM crows),
-        parted AS (SELECT *, {_part()} % n_parts AS part FROM sized),
-        nested AS (SELECT {_COMBO}, part, n_parts,
+    "combo_documents": f"""{COMBOS}, parted AS (SELECT *, {_part()} % 4 AS part FROM crows),
+        nested AS (SELECT {_COMBO}, part,
             coalesce(array_to_string(list_sort(list(DISTINCT nullif(shape_id, ''))
                 FILTER (coalesce(shape_id, '') <> '')), '|'), '') AS unique_shape_ids,
             array_to_string(list_sort(list(DISTINCT trip_id)), '|') AS trip_ids,
@@ -312,7 +316,7 @@ ORACLE: dict[str, str] = {
             string_agg(coalesce(shape_id, '-'), '|' ORDER BY trip_id, service_id NULLS FIRST,
                        shape_id NULLS FIRST) AS shapes,
             CAST(sum(copies) AS BIGINT) AS n_rows
-            FROM parted GROUP BY {_COMBO}, part, n_parts)
+            FROM parted GROUP BY {_COMBO}, part)
         {colored("g.*, TRUE AS has_stops, 'route_id|trip_id|service_id|shape_id|trip_headsign' AS group_columns", "nested")}""",
     "valid_routes": f"{COMBOS} SELECT DISTINCT {F}, route_id FROM members",
     "dropped_trips": f"""{COMBOS} SELECT {F}, count(*) AS n_dropped FROM running
@@ -354,12 +358,13 @@ ORACLE: dict[str, str] = {
     "stop_labels": f"""{with_views("stops")} SELECT {F}, stop_id, 'Id: ' || stop_id AS stop_id_2,
         ' Nombre: ' || stop_name AS stop_name_2, stop_id || coalesce(stop_name, '') AS pair
         FROM stops""",
-    "feed_paths": f"""{LEDGER} SELECT id, P_EMPRESA || '_' || P_CONTR || '_' || P_VERSION AS label,
+    "feed_paths": f"""{LEDGER} SELECT id, concat_ws('_', {RUN}) AS label,
         'GTFS/STOP_TIMES/' || folder || '/stop_times.txt' AS path,
         'MAPS/MACRO_STOPS/' || folder || '/' || P_VERSION || '_macro_stops' AS product,
-        P_EMPRESA AS explotation, P_CONTR AS contract, P_VERSION AS version
-        FROM (SELECT *, 'explotation=' || P_EMPRESA || '/contract=' || P_CONTR || '/version='
-              || P_VERSION AS folder FROM ledger) WHERE P_CONTR IS NOT NULL""",
+        P_EMPRESA AS explotation,
+        coalesce(P_CONTR, '') AS contract, P_VERSION AS version
+        FROM (SELECT *, concat_ws('/', 'explotation=' || P_EMPRESA, 'contract=' || P_CONTR,
+              'version=' || P_VERSION) AS folder FROM ledger)""",
     "row_maps": _view("routes", f"{F}, route_id, route_short_name AS short_name"),
     # Columns and sets
     "conform_schema": f"""{with_views("routes")}
@@ -394,10 +399,12 @@ ORACLE: dict[str, str] = {
         WHERE EXISTS (SELECT 1 FROM stop_times s WHERE {on("s", "t", "trip_id")})""",
     "repeated_routes": _view("routes", f"{F}, route_id, count(*) AS n_rows")
     + f" GROUP BY {F}, route_id HAVING count(*) > 1",
-    "route_attributes": f"""{with_views("routes", "trips")}
+    "route_attributes": f"""{with_views("routes", "trips")}, one AS (SELECT * FROM (SELECT *, row_number()
+            OVER (PARTITION BY {F}, route_id ORDER BY route_short_name NULLS FIRST,
+            route_color NULLS FIRST) AS nth FROM routes) WHERE nth = 1)
         SELECT {feed("t")}, t.trip_id, t.route_id, r.route_short_name,
                {combo_blue("r.route_color")} AS route_color
-        FROM trips t LEFT JOIN routes r ON {on("t", "r", "route_id")}""",
+        FROM trips t LEFT JOIN one r ON {on("t", "r", "route_id")}""",
     "unmatched_routes": f"""{with_views("routes", "trips")}
         SELECT DISTINCT {F}, route_id FROM trips t WHERE route_id IS NOT NULL
         AND NOT EXISTS (SELECT 1 FROM routes r WHERE {on("r", "t", "route_id")})""",
@@ -443,8 +450,7 @@ ORACLE: dict[str, str] = {
             'v_' || CAST(event_id AS VARCHAR) AS P_VERSION, CAST(NULL AS VARCHAR) AS P_LINE
         FROM (SELECT event_id, user_id, unnest(CASE WHEN event_id % 4 = 1 THEN [0, 1] ELSE [0] END)
               AS turn FROM events)""",
-    "requests_round_trip": f"""{with_views("manifest")} SELECT {RUN}, 200 AS status_code FROM manifest
-        WHERE P_EMPRESA IS NOT NULL AND P_CONTR IS NOT NULL AND P_VERSION IS NOT NULL""",
+    "requests_round_trip": f"""{with_views("manifest")} SELECT {RUN}, 200 AS status_code FROM manifest""",
     "required_fields": f"""{with_views("manifest")} SELECT {RUN},
         CASE WHEN P_CONTR IS NULL THEN 'Campo requerido P_CONTR no encontrado'
              WHEN P_CONTR = '' THEN 'Campo P_CONTR está vacío' ELSE '' END AS message,
@@ -471,7 +477,7 @@ ORACLE: dict[str, str] = {
     "ledger_merge": f"""{with_views("manifest", "ledger")}
         SELECT id, {RUN}, status, retries FROM ledger UNION ALL
         SELECT concat_ws('_', {RUN}), {RUN}, 'pending', 0 FROM (SELECT DISTINCT {RUN} FROM manifest m
-            WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.P_EMPRESA = m.P_EMPRESA
+            WHERE P_EMPRESA <> '' AND P_CONTR <> '' AND P_VERSION <> '' AND NOT EXISTS (SELECT 1 FROM ledger l WHERE l.P_EMPRESA = m.P_EMPRESA
                 AND l.P_CONTR = m.P_CONTR AND l.P_VERSION = m.P_VERSION))""",
     "ledger_repair": f"""{_JUDGED} SELECT id,
         CASE WHEN reason IS NOT NULL THEN 'pending' ELSE status END AS status,
@@ -488,8 +494,8 @@ ORACLE: dict[str, str] = {
         CASE WHEN again THEN '{AS_OF}' ELSE last_updated END AS last_updated,
         CASE WHEN NOT again THEN message END AS message,
         CASE WHEN NOT again THEN error END AS error FROM f""",
-    "ledger_expire": f"""{LEDGER}, f AS (SELECT *, coalesce(status = 'processing' AND
-            CAST(jobs_started_at AS TIMESTAMP) < {_NOW} - INTERVAL 4 HOUR, FALSE) AS late FROM ledger)
+    "ledger_expire": f"""{LEDGER}, f AS (SELECT *, coalesce(status IN ('processing',
+            'processing_macro', 'processing_macro_stops') AND CAST(jobs_started_at AS TIMESTAMP) < {_NOW} - INTERVAL 4 HOUR, FALSE) AS late FROM ledger)
         SELECT id, CASE WHEN late THEN 'failed' ELSE status END AS status,
         CASE WHEN late THEN 'Timeout después de 4 horas de ejecución' ELSE message END AS message,
         CASE WHEN late THEN '{AS_OF}' ELSE last_updated END AS last_updated FROM f""",
@@ -504,7 +510,7 @@ ORACLE: dict[str, str] = {
         CASE WHEN busy AND done THEN '{AS_OF}' ELSE last_updated END AS last_updated FROM folded""",
     "ledger_updates": f"""{with_views("updates", "ledger")},
         last AS (SELECT * FROM (SELECT *, row_number() OVER
-            (PARTITION BY {RUN} ORDER BY updated_at DESC) AS nth FROM updates) WHERE nth = 1)
+            (PARTITION BY {RUN} ORDER BY CAST(updated_at AS TIMESTAMPTZ) DESC) AS nth FROM updates) WHERE nth = 1)
         SELECT l.id, coalesce(u.status, l.status) AS status,
             coalesce(nullif(u.message, ''), l.message) AS message,
             coalesce(nullif(u.error, ''), l.error) AS error,
@@ -512,9 +518,9 @@ ORACLE: dict[str, str] = {
         FROM ledger l LEFT JOIN last u ON l.P_EMPRESA = u.P_EMPRESA AND l.P_CONTR = u.P_CONTR
             AND l.P_VERSION = u.P_VERSION""",
     "next_pending": f"""{LEDGER} SELECT id, status, registered_at FROM ledger
-        WHERE status = 'pending' ORDER BY registered_at NULLS FIRST, id LIMIT 20""",
+        WHERE status = 'pending' AND P_EMPRESA <> '' AND P_CONTR <> '' AND P_VERSION <> '' ORDER BY registered_at NULLS FIRST, id LIMIT 20""",
     "ledger_claim": f"""{LEDGER}, chosen AS (SELECT id FROM ledger WHERE status = 'pending'
-            AND P_CONTR IS NOT NULL ORDER BY registered_at NULLS FIRST, id LIMIT 7)
+            AND P_EMPRESA <> '' AND P_CONTR <> '' AND P_VERSION <> '' ORDER BY registered_at NULLS FIRST, id LIMIT 7)
         SELECT id, CASE WHEN id IN (SELECT id FROM chosen) THEN 'processing' ELSE status END AS status,
         CASE WHEN id IN (SELECT id FROM chosen) THEN '{AS_OF}' ELSE started_at END AS started_at,
         CASE WHEN id IN (SELECT id FROM chosen) THEN 'run-' || id || '-20240130200000' END
@@ -529,7 +535,10 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (status = 'preprocessing') AS preprocessing,
         count(*) FILTER (status = 'processing') AS processing,
         count(*) FILTER (status = 'completed') AS completed,
-        count(*) FILTER (status = 'failed') AS failed FROM ledger""",
+        count(*) FILTER (status = 'failed') AS failed,
+        count(*) FILTER (status = 'preprocessed') AS preprocessed,
+        count(*) FILTER (status = 'processing_macro') AS processing_macro,
+        count(*) FILTER (status = 'processing_macro_stops') AS processing_macro_stops FROM ledger""",
     "enterprise_summary": f"""{LEDGER} SELECT P_EMPRESA, count(*) AS total,
         count(*) FILTER (status = 'completed') AS completed,
         count(*) FILTER (status = 'failed') AS failed,

@@ -180,7 +180,6 @@ def _document_texts(nested):
     return nested.select(
         *cmb.COMBO,
         "part",
-        "n_parts",
         joined("unique_shape_ids"),
         joined("trip_ids"),
         "route_color",
@@ -195,13 +194,13 @@ def _document_texts(nested):
 @query
 def combo_documents(spark, sf_dir):
     rows, routes, *_ = _combo_rows(spark, sf_dir)
-    return _document_texts(cmb.combo_documents(rows, routes, part_rows=20))
+    return _document_texts(cmb.combo_documents(rows, routes, parts=4))
 
 
 @query
 def combo_json_round_trip(spark, sf_dir):
     rows, routes, *_ = _combo_rows(spark, sf_dir)
-    nested = cmb.combo_documents(rows, routes, part_rows=20)
+    nested = cmb.combo_documents(rows, routes, parts=4)
     path = shared_dir(spark, "combos")
     write_feed_table(nested, path, fmt="json")
     return _document_texts(spark.read.schema(nested.schema).json(path))
@@ -302,7 +301,7 @@ def stop_labels(spark, sf_dir):
 def feed_paths(spark, sf_dir):
     run = table(spark, sf_dir, "ledger").select("id", *[F.col(k).alias(f) for f, k in zip(FEED, LEDGER_KEY)])
     path = fn.feed_path(F.lit("STOP_TIMES"), *FEED)
-    return run.where(F.col("contract").isNotNull()).select(
+    return run.select(
         "id",
         fn.feed_id(*FEED).alias("label"),
         path.alias("path"),
@@ -489,7 +488,7 @@ def requests_decode(spark, sf_dir):
 
 @query
 def requests_round_trip(spark, sf_dir):
-    runs = format_requests(table(spark, sf_dir, "manifest").na.drop()).select("request")
+    runs = format_requests(table(spark, sf_dir, "manifest")).select("request")
     return parse_requests(runs, "request").select(*LEDGER_KEY, "status_code")
 
 

@@ -3,9 +3,11 @@
 A view is a source and some layers of named SQL expressions.  ``tables`` makes them DataFrames and
 ``sql`` makes them SQL text, so both engines see the same rows.
 
-There are six feeds, ``explotation`` 0 to 5, that differ in how trips and routes spell the route
-id: equal, by case and space, by zero padding, by leading zeros, by both, and not to be matched.
-Feed 3 has no shapes and one repeated route; the nations 15 to 19 use shapes without points.
+There are six feeds, 0 to 5, that differ in how trips and routes spell the route id: equal, by case
+and space, by zero padding, by leading zeros, by both, and not to be matched.  They share two
+explotations, two contracts and two versions, one with a sign that folder names escape, and most of
+their ids, so a join that forgets a feed column goes wrong.  Feed 3 has no shapes; the feeds 0 and 3
+have a repeated route; the nations 15 to 19 use shapes without points.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ def _text(number: str) -> str:
 
 def _route_id(side: int, number: str) -> str:
     cases = [f"WHEN '{f}' THEN {SPELLINGS[f][side].format(n=_text(number))}" for f in FEEDS]
-    return f"CASE explotation {' '.join(cases)} END"
+    return f"CASE feed {' '.join(cases)} END"
 
 
 # Columns of the test tables that are read.
@@ -55,7 +57,11 @@ class View(NamedTuple):
     join: tuple[str, str] | None = None
 
 
-_FEED = {"explotation": "explotation", "contract": "'1'", "version": "'20250301_20250331'"}
+_FEED = {
+    "explotation": "CASE WHEN feed IN ('0', '1', '2', '3') THEN '1' ELSE '2' END",
+    "contract": "CASE WHEN feed IN ('0', '2', '4') THEN '1' ELSE '2' END",
+    "version": "CASE WHEN feed IN ('0', '1', '4') THEN '20250301_20250331' ELSE '2025:04' END",
+}
 _CLOCK = (
     "lpad(CAST(4 + l_linenumber * 4 AS VARCHAR(10)), 2, '0') || ':' "
     "|| lpad(CAST(day(l_shipdate) AS VARCHAR(10)), 2, '0') || ':"
@@ -68,24 +74,24 @@ VIEWS: dict[str, View] = {
     "routes": View(
         "nation",
         [
-            {**_KEEP, "explotation": "{feeds}"},
+            {**_KEEP, "feed": "{feeds}"},
             {**_KEEP, "copy": "{copies}"},
             {
                 **_FEED,
                 "route_id": _route_id(1, "n_nationkey"),
                 "route_short_name": "CASE WHEN copy = 1 THEN n_name || ' bis' "
                 "WHEN n_nationkey % 7 <> 3 THEN n_name END",
-                "route_color": "CASE n_nationkey % 6 WHEN 1 THEN 'FA3' "
+                "route_color": "CASE WHEN copy = 1 THEN 'AB12CD' ELSE CASE n_nationkey % 6 WHEN 1 THEN 'FA3' "
                 "WHEN 2 THEN upper(substr(md5(n_name), 1, 6)) "
                 "WHEN 3 THEN '#' || substr(md5(n_name), 1, 6) WHEN 4 THEN 'gggggg' "
-                "WHEN 5 THEN ' ' || substr(md5(n_name), 1, 6) || ' ' END",
+                "WHEN 5 THEN ' ' || substr(md5(n_name), 1, 6) || ' ' END END",
             },
         ],
     ),
     "trips": View(
         "orders",
         [
-            {**_KEEP, "explotation": _text("o_orderkey % 6")},
+            {**_KEEP, "feed": _text("o_orderkey % 6")},
             {
                 **_FEED,
                 "route_id": f"CASE WHEN o_orderkey % 29 <> 0 THEN {_route_id(0, 'c_nationkey')} END",
@@ -102,9 +108,9 @@ VIEWS: dict[str, View] = {
     "stop_times": View(
         "lineitem",
         [
+            {**_KEEP, "feed": _text("l_orderkey % 6")},
             {
                 **_FEED,
-                "explotation": _text("l_orderkey % 6"),
                 "trip_id": f"{_text('l_orderkey')} || CASE WHEN l_linenumber = 7 THEN '  ' ELSE '' END",
                 "stop_id": "CASE WHEN l_orderkey % 31 = 0 AND l_linenumber = 6 THEN 'X' ELSE '' END "
                 f"|| {_text('l_suppkey')}",
@@ -117,10 +123,10 @@ VIEWS: dict[str, View] = {
     "stops": View(
         "supplier",
         [
-            {**_KEEP, "explotation": "{feeds}"},
+            {**_KEEP, "feed": "{feeds}"},
             {
                 **_FEED,
-                "stop_id": f"CASE WHEN explotation = '1' THEN ' ' ELSE '' END || {_text('s_suppkey')}",
+                "stop_id": f"CASE WHEN feed = '1' THEN ' ' ELSE '' END || {_text('s_suppkey')}",
                 "stop_name": "CASE s_suppkey % 10 WHEN 0 THEN NULL "
                 "WHEN 1 THEN 'Café, \"' || s_name || '\"' || chr(10) || 'B' ELSE s_name END",
                 "stop_lat": "CAST(40 AS DOUBLE) + s_acctbal / CAST(10000 AS DOUBLE)",
@@ -131,7 +137,7 @@ VIEWS: dict[str, View] = {
     "shapes": View(
         "part",
         [
-            {**_KEEP, "explotation": "{drawn}"},
+            {**_KEEP, "feed": "{drawn}"},
             {
                 **_FEED,
                 "shape_id": _text("p_partkey % 30"),
@@ -153,7 +159,8 @@ VIEWS: dict[str, View] = {
                 f"ELSE {_text('event_id % 7')} END",
                 "P_VERSION": f"'v_' || {_text('event_id')}",
                 "status": "CASE WHEN event_id % 97 = 0 THEN 'zombie' "
-                "WHEN event_id % 89 = 0 THEN 'preprocessed' WHEN event_id % 101 = 0 THEN '' "
+                "WHEN event_id % 89 = 0 THEN 'preprocessed' WHEN event_id % 83 = 0 THEN 'processing_macro' "
+                "WHEN event_id % 79 = 0 THEN 'processing_macro_stops' WHEN event_id % 101 = 0 THEN '' "
                 "WHEN event_id % 103 = 0 THEN NULL WHEN event_type = 'view' THEN 'pending' "
                 "WHEN event_type = 'signup' THEN 'preprocessing' "
                 "WHEN event_type = 'click' THEN 'processing' "
@@ -184,10 +191,13 @@ VIEWS: dict[str, View] = {
             }
         ],
     ),
+    # Two rows for some runs.
     "job_states": View(
         "ledger",
         [
-            {**_RUN, "n": "CAST(substr(id, 5) AS BIGINT)"},
+            {**_RUN, "k": "CAST(substr(id, 5) AS BIGINT)"},
+            {**_KEEP, "turn": "{turns}"},
+            {**_RUN, "n": "CASE WHEN k % 10 = 0 THEN k + turn ELSE k END"},
             {
                 **_RUN,
                 "macro": "CASE n % 5 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'RUNNING' "
@@ -197,7 +207,7 @@ VIEWS: dict[str, View] = {
             },
         ],
     ),
-    # Two updates of each run; the second one is later for every other run.
+    # Two updates of each run; which one is later shows in the offset and not in the text.
     "updates": View(
         "ledger",
         [
@@ -208,7 +218,7 @@ VIEWS: dict[str, View] = {
                 "status": "CASE turn WHEN 0 THEN 'completed' ELSE 'failed' END",
                 "message": f"CASE n % 3 WHEN 0 THEN '' ELSE 'msg ' || {_text('n + turn')} END",
                 "error": "CASE n % 4 WHEN 0 THEN 'err' WHEN 1 THEN '' END",
-                "updated_at": "last_updated || CAST((n + turn) % 2 AS VARCHAR(10))",
+                "updated_at": "last_updated || CASE (n + turn) % 2 WHEN 0 THEN 'Z' ELSE '-05:00' END",
             },
         ],
     ),
@@ -275,7 +285,7 @@ VIEWS: dict[str, View] = {
     ),
 }
 
-_REPEATED = "explotation = '3' AND n_nationkey = 9"
+_REPEATED = "feed IN ('0', '3') AND n_nationkey = 9"
 _LISTS = {"feeds": list(FEEDS), "drawn": [f for f in FEEDS if f != "3"], "turns": [0, 1]}
 _SPARK = {
     **{name: f"explode(array({str(items)[1:-1]}))" for name, items in _LISTS.items()},

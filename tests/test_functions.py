@@ -138,3 +138,10 @@ def test_paths(spark):
     assert row.path == "GTFS/STOP_TIMES/explotation=60/contract=1/version=2025_03/stop_times.txt"
     assert row["product"] == "MAPS/MACRO/explotation=60/contract=1/version=2025_03/2025_03_macro"
     assert (row.id, row.version, row.no_number) == ("60_1_2025_03", "2025_03", "")
+
+
+def test_path_parts_are_unescaped(spark):
+    path = F.lit("GTFS/TRIPS/explotation=1/contract=2/version=2025%3A01+a%zz/trips.txt")
+    plain = F.lit("GTFS/TRIPS/explotation=1/contract=2/version=2025%3A01+a/trips.txt")
+    row = spark.range(1).select(fn.path_part(path, "version").alias("odd"), fn.path_part(plain, "version").alias("version")).first()
+    assert row.version == "2025:01+a" and row.odd == "2025%3A01+a%zz"

@@ -8,6 +8,7 @@ from headway.operators.columns import conform
 from headway.schemas import LEDGER, LEDGER_KEY
 
 import pytest
+from pyspark.sql import functions as F
 
 AS_OF = "2024-01-30T20:00:00"
 COLUMNS = "id string, P_EMPRESA string, P_CONTR string, P_VERSION string, status string, retries int, started_at string, message string, error string"
@@ -49,7 +50,7 @@ def test_register(spark):
         "broken": ("reset", 0),
         "odd": ("reset", 0),
         "early": ("reset", 0),
-        "half": ("skipped", 0),
+        "half": ("reset", 0),
         "fresh": ("registered", 1),
         "": ("error", 0),
         None: ("error", 0),
@@ -61,7 +62,7 @@ def test_register(spark):
     assert found["fresh"] == ("pending", 0, None)
     assert found["stuck"] == ("processing", 1, "e")
     tally = led.outcome_tally(outcomes).first().asDict()
-    assert tally == {"registered": 1, "reset": 3, "skipped": 3, "errors": 2}
+    assert tally == {"registered": 1, "reset": 4, "skipped": 2, "errors": 2}
 
 
 def test_registering_twice_skips_all(spark):
@@ -79,6 +80,7 @@ def test_repair(spark):
         "stuck": ("reset", "Estado processing por más de 8h"),
         "bad": ("reset", "Timestamp started_at inválido"),
         "timeless": ("reset", "Estado preprocessing sin timestamp"),
+        "half": ("reset", "Estado preprocessed sin timestamp"),
         "odd": ("deleted", "Estado desconocido: zombie"),
         "": ("reset", "Falta campo P_EMPRESA"),
         None: ("deleted", "Falta campo P_EMPRESA"),
@@ -181,3 +183,54 @@ def test_required_fields(spark):
 def test_require_nonempty(spark):
     with pytest.raises(ValueError, match="nothing"):
         require_nonempty(ledger(spark, []), "nothing")
+
+
+def test_file_states_are_in_flight(spark):
+    old = "2020-01-01T00:00:00"
+    before = ledger(spark, [(s, s, 0, old, None, None) for s in ("preprocessed", "processing_macro", "processing_macro_stops")])
+    after, actions = led.repair(before, AS_OF)
+    assert {r.status for r in after.collect()} == {"pending"} and actions.count() == 3
+    entries = manifest(spark, "preprocessed", "processing_macro", "processing_macro_stops")
+    assert {r.result for r in led.register(entries, before, AS_OF)[1].collect()} == {"reset"}
+    late = states(led.expire(before, AS_OF, since="started_at"), "status")
+    assert late["processing_macro"] == ("failed",) and late["preprocessed"] == ("preprocessed",)
+
+
+def test_merge_twice_is_merge_once(spark):
+    entries = manifest(spark, "new", "fresh", "", None)
+    once = led.merge_manifest(entries, ledger(spark, ROWS))
+    assert once.count() == led.merge_manifest(entries, once).count()
+
+
+def test_runs_without_a_key_do_not_block_the_queue(spark):
+    rows = ledger(spark, [(None, "pending", 0, None, None, None), ("good", "pending", 0, None, None, None)])
+    rows = rows.withColumn("registered_at", F.when(F.col("P_EMPRESA").isNotNull(), "2024-01-01"))
+    found = states(led.claim(rows, 1, AS_OF), "status")
+    assert found == {None: ("pending",), "good": ("processing",)}
+
+
+def test_updates_are_ordered_by_time(spark):
+    updates = spark.createDataFrame(
+        [("new", "1", "v_1", "failed", "late", None, "2024-01-01T10:00:00Z"), ("new", "1", "v_1", "completed", "early", None, "2024-01-01T11:00:00+05:00")],
+        "P_EMPRESA string, P_CONTR string, P_VERSION string, status string, message string, error string, updated_at string",
+    )
+    assert states(led.apply_updates(ledger(spark, ROWS), updates), "message")["new"] == ("late",)
+
+
+def test_two_states_of_a_run_give_one_row(spark):
+    jobs = spark.createDataFrame(
+        [("stuck", "1", "v_1", "RUNNING", "RUNNING"), ("stuck", "1", "v_1", "SUCCEEDED", "SUCCEEDED")],
+        "P_EMPRESA string, P_CONTR string, P_VERSION string, macro string, macro_stops string",
+    )
+    before = ledger(spark, ROWS)
+    after = led.apply_job_states(before, jobs, AS_OF)
+    assert after.count() == before.count() and states(after, "status")["stuck"] == ("completed",)
+
+
+def test_reports_are_in_order(spark):
+    rows = ledger(spark, [(f"r{i}", "failed", 0, f"2024-01-0{1 + i % 5}T00:00:00", f"m{i % 3}", None) for i in range(9)])
+    rows = rows.withColumn("last_updated", F.col("started_at"))
+    started = [r.started_at for r in reports.recent_runs(rows).collect()]
+    assert started == sorted(started, reverse=True)
+    failed = [r.last_updated for r in reports.failed_runs(rows).collect()]
+    assert failed == sorted(failed, reverse=True)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from headway.plans.combos import combo_documents, combo_rows, combos
 from headway.plans.preprocess import preprocess, row_totals
-from headway.plans.products import macro, macro_stops, route_lookup
+from headway.operators.joins import route_attributes
+from headway.plans.products import macro, macro_stops
 from headway.schemas import FEED, MACRO, MACRO_STOPS, SOURCES
 
 FEEDS = {
@@ -140,34 +141,23 @@ def test_result_does_not_depend_on_partitions(spark, build):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
-def test_lookup_is_computed_once(spark, tmp_path):
-    """The final plans read the kept lookup, not the route ids of the trips again."""
-    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+def test_no_job_runs_while_a_product_is_built(spark):
     t = tables(spark, "drawn", "bare")
-    for name, df in t.items():
-        df.write.parquet(f"{tmp_path}/{name}")
-    t = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in t}
-    for build, names in ((macro_of, {"trips": 2, "shapes": 1, "routes": 0}), (stops_of, {"trips": 2, "stop_times": 2, "routes": 0})):
-        plan = build(t)._jdf.queryExecution().executedPlan().toString()
-        for name, n in names.items():
-            assert plan.count(f"{tmp_path}/{name}]") == n, (name, plan)
-
-
-def test_lookup_is_broadcast_by_its_size(spark):
-    t = tables(spark, "drawn")
-    lookup = route_lookup(t["trips"], t["routes"])
-    keys = [*FEED, "route_id"]
-
-    def plan():
-        df = t["trips"].repartition(4).join(lookup, keys)
-        return df._jdf.queryExecution().executedPlan().toString()
-
-    assert "BroadcastHashJoin" in plan()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    context = spark.sparkContext
+    context.setJobGroup("building", "products")
     try:
-        assert "SortMergeJoin" in plan()
+        built = [macro_of(t), stops_of(t), macro(t["trips"], t["routes"])]
+        assert not list(context.statusTracker().getJobIdsForGroup("building"))
+        assert all(df.columns for df in built)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_repeated_route_gives_one_row(spark):
+    routes = spark.createDataFrame([("a", "1", "v", "r", "B", "00FF00"), ("a", "1", "v", "r", "A", "FF0000"), ("a", "2", "v", "r", "Z", None)], "explotation string, contract string, version string, route_id string, route_short_name string, route_color string")
+    rows = routes.select(*FEED, "route_id").distinct()
+    found = {(r.contract, r.route_short_name, r.route_color) for r in route_attributes(rows, routes).collect()}
+    assert found == {("1", "A", "#FF0000"), ("2", "Z", "#1f77b4")}
 
 
 def test_row_totals_name_feeds_without_output(spark):
@@ -192,8 +182,8 @@ def test_combos(spark):
 
 def test_combo_documents_count_copies(spark):
     t = tables(spark, "bare")
-    row = combo_documents(combo_rows(t["trips"], t["stop_times"]), t["routes"]).first()
-    assert (row.n_parts, row.part, row.unique_shape_ids, row.trip_ids, row.group_copies) == (1, 0, ["a"], ["t1"], [2])
+    row = combo_documents(combo_rows(t["trips"], t["stop_times"]), t["routes"], parts=1).first()
+    assert (row.part, row.unique_shape_ids, row.trip_ids, row.group_copies) == (0, ["a"], ["t1"], [2])
     assert row.group_data == [dict(route_id="7", trip_id="t1", service_id="s", shape_id="a", trip_headsign="North")]
 
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pytest
-
 from headway.operators.logs import write_logs
-from headway.session import shared_dir, shared_table
+from headway.session import shared_dir
 
 
 class Conf(dict):
@@ -22,18 +20,8 @@ def test_the_shared_folder_is_that_of_the_cluster():
     assert first.startswith("s3a://bucket/tmp/x-") and first != second
 
 
-def test_a_cluster_needs_a_shared_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(Conf({"spark.master": "spark://host:7077"}), "x")
-
-
-def test_shared_table_reads_what_was_written(spark):
-    df = spark.createDataFrame([(1, None), (2, "b")], "n int, t string")
-    kept = shared_table(df, "pairs")
-    assert sorted(map(str, kept.collect())) == sorted(map(str, df.collect()))
-    assert "FileScan" in kept._jdf.queryExecution().executedPlan().toString()
-    empty = shared_table(df.where("n > 5"), "none")
-    assert empty.schema == df.schema and empty.isEmpty()
+def test_without_it_the_warehouse_is_shared():
+    assert shared_dir(Conf({"spark.sql.warehouse.dir": "hdfs://warehouse"}), "x").startswith("hdfs://warehouse/x-")
 
 
 def test_logs_are_written_by_class(spark, tmp_path):

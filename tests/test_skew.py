@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from headway.operators.joins import trips_with_stops
 from headway.operators.keys import key_overlap
-from headway.plans.combos import combo_documents, combo_parts, combo_rows, combos
+from headway.plans.combos import combo_documents, combo_rows, combos
 from headway.plans.products import macro, macro_stops, stop_lines
 from headway.schemas import FEED
 
@@ -150,30 +150,14 @@ def test_lines_drop_repeats_before_the_shuffle(spark, skewed):
 
 def test_combo_documents_are_cut_into_bounded_parts(spark, skewed):
     rows = combo_rows(skewed["trips"], skewed["stop_times"])
-    parts = combo_documents(rows, skewed["routes"], part_rows=100)
-    sizes = parts.select("n_parts", F.size("group_data").alias("n"), "route_id").collect()
-    assert max(r.n for r in sizes) < 200
+    parts = combo_documents(rows, skewed["routes"], parts=16)
+    sizes = parts.select("part", F.size("group_data").alias("n"), "route_id").collect()
     assert sum(r.n for r in sizes) == rows.count()
-    hot = [r for r in sizes if r.route_id == "r0"]
-    assert len(hot) > 10
+    assert {r.part for r in sizes} <= set(range(16))
     whole = {r.route_id: r.n_trips for r in combos(rows, skewed["routes"]).collect()}
+    hot = [r for r in sizes if r.route_id == "r0"]
     assert whole["r0"] == sum(r.n for r in hot)
-
-
-def test_combo_parts_join_can_be_split(spark, skewed):
-    rows = spark.range(0, 60_000, 1, 16).select(
-        *feed_literals(),
-        F.when(F.col("id") % 3 > 0, "r0").otherwise(F.concat(F.lit("r"), (F.col("id") % 99).cast("string"))).alias("route_id"),
-        F.md5(F.col("id").cast("string")).alias("trip_id"),
-        F.lit("x").alias("service_id"),
-        F.lit("y").alias("shape_id"),
-        F.lit("north").alias("trip_headsign"),
-        F.lit(1).alias("copies"),
-    )
-    with small_partitions(spark):
-        numbered, plan = final_plan(combo_parts(rows, part_rows=100))
-    assert "skew=true" in plan
-    assert len(numbered) == 60_000
+    assert len(hot) == 16 and max(r.n for r in hot) < whole["r0"] / 8
 
 
 def test_key_samples_are_cut_before_the_shuffle(spark, skewed):
