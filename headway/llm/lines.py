@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from headway.llm.shared import written
 
@@ -10,8 +10,9 @@ from headway.llm.shared import written
 WIDTH, PERCENT = 5, 75
 #: Counts from which the rarity of a shingle is read; a fixed number, whatever the input.
 BUCKETS = 1 << 14
+#: Level (four to a doubling) from which a bucket's shingles are taken to be shared, and dealt out over many tasks.
+HOT, SALTS = 80, 1024
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PLACE = ("key", "line")
 
 
@@ -19,25 +20,24 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _shingles(line: Column) -> Column:
-    """Distinct codes of a line's runs of five words; fewer words are one run, no words none."""
-    words = F.filter(F.split(F.translate(line, _UPPER, _LOWER), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return words, lambda w: F.array_distinct(
-        F.when(F.size(w) >= WIDTH, F.transform(F.sequence(F.lit(0), F.size(w) - WIDTH), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(WIDTH)])))
-        .when(F.size(w) > 0, F.array(F.xxhash64(w)))
-        .otherwise(F.array().cast("array<bigint>"))
-    )
-
-
-def _with_shingles(lines: DataFrame) -> DataFrame:
-    """Lines (key, line, text) with their shingle set.
+def _with_shingles(lines: DataFrame, rarity: Column | None = None) -> DataFrame:
+    """Lines (key, line, text) with their set of shingle codes, by rarity where that is given.
 
-    No filter may stand on the set: Spark would push it below and work the words out once per use.
-    For the same reason sets are exploded with ``explode_outer`` and nulls dropped behind it.
+    A code holds the level of the shingle's rarity and 56 bits of its hash, so the natural order
+    of the codes is the order by rarity.  No filter may stand on the set: Spark would push it below
+    and work the words out once per use.  For the same reason sets are exploded with
+    ``explode_outer`` and nulls dropped behind it.
     """
-    words, shingles = _shingles(F.col("text"))
-    split = lines.select(*_PLACE, words.alias("words"))
-    return split.select(*_PLACE, shingles(F.col("words")).alias("set"))
+    words = F.array_remove(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), "")
+    hashes = lines.select(*_PLACE, F.transform(words, lambda w: F.xxhash64(w)).alias("words"))
+    n = F.size("words")
+    runs = F.transform(F.sequence(F.lit(0), n - WIDTH), lambda i: F.xxhash64(*[F.get("words", i + j) for j in range(WIDTH)]))
+    shingles = F.when(n >= WIDTH, runs).when(n > 0, F.array(F.xxhash64("words"))).otherwise(F.array().cast("array<bigint>"))
+    if rarity is None:
+        return hashes.select(*_PLACE, F.array_distinct(shingles).alias("set"))
+    level = lambda x: F.coalesce(F.get(rarity, F.pmod(x, F.lit(BUCKETS)).cast("int")), F.lit(0)).cast("bigint")
+    coded = F.transform(F.array_distinct(shingles), lambda x: F.shiftleft(level(x), 56) + F.shiftrightunsigned(x, 8))
+    return hashes.select(*_PLACE, F.sort_array(coded).alias("set"))
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -61,16 +61,10 @@ def _rarity(sets: DataFrame) -> Column:
     """Level of how often shingles of a bucket occur: a bounded table, held as one literal."""
     bucket = F.pmod("shingle", F.lit(BUCKETS))
     counts = sets.select(F.explode_outer("set").alias("shingle")).where("shingle is not null").groupBy(bucket.cast("int").alias("bucket")).agg(F.count("*").alias("n"))
-    levels = dict(counts.select("bucket", F.floor(F.log2("n") * 16).alias("level")).collect())
+    levels = dict(counts.select("bucket", F.least(F.floor(F.log2("n") * 4), F.lit(127)).alias("level")).collect())
     return F.expr(f"array({','.join(str(levels.get(i, 0)) for i in range(BUCKETS))})")
 
 
-def _by_rarity(shingles: Column, rarity: Column) -> Column:
-    """Shingles with the rarest first, equal ones by code: one order for all lines."""
-    rank = lambda x: F.struct(F.get(rarity, F.pmod(x, F.lit(BUCKETS)).cast("int")).alias("level"), x.alias("shingle"))
-    return F.transform(F.array_sort(F.transform(shingles, rank)), lambda x: x["shingle"])
-
-
 def _prefix_size(n: Column) -> Column:
     """Shingles from the rarest on of which a similar line must share one."""
     return n - F.ceil(n * PERCENT / 100).cast("int") + 1
@@ -114,18 +108,21 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
        the whole sets.
     """
     split = docs.select("key", F.posexplode(_lines(F.col("text"))).alias("line", "text"))
-    sets = _with_shingles(split)
-    rarity = _rarity(sets)
-    ordered = sets.select(*_PLACE, _by_rarity(F.col("set"), rarity).alias("set"))
-    prefix = ordered.select(*_PLACE, F.explode_outer(F.slice("set", F.lit(1), _prefix_size(F.size("set")))).alias("shingle")).where("shingle is not null")
-    met = prefix.groupBy("shingle").agg(F.count("*").alias("lines")).where("lines > 1").select("shingle")
-    shared = written(prefix.join(met, "shingle"), "shared_shingles")
+    rarity = _rarity(_with_shingles(split))
+    sets = _with_shingles(split, rarity)
+    prefix = sets.select(*_PLACE, F.explode_outer(F.slice("set", F.lit(1), _prefix_size(F.size("set")))).alias("shingle")).where("shingle is not null")
+    # What is too frequent to gather is known from the counts: it is shared, and goes to many tasks.
+    hot = F.shiftright("shingle", 56) >= HOT
+    salt = F.when(hot, F.pmod(F.xxhash64(*_PLACE), F.lit(SALTS))).otherwise(F.lit(0))
+    met = F.count("*").over(Window.partitionBy("shingle", "salt"))
+    shared = prefix.withColumn("salt", salt).withColumn("lines", met).where(hot | (F.col("lines") > 1))
+    shared = written(shared.select(*_PLACE, "shingle"), "shared_shingles")
 
     # The whole sets of the lines that share a shingle, from their texts.
     needed = shared.groupBy("key").agg(F.collect_set("line").alias("lines"))
     texts = docs.join(needed.hint("merge"), "key")
     some = texts.select("key", F.col("lines"), F.posexplode(_lines(F.col("text"))).alias("line", "text")).where(F.array_contains("lines", F.col("line")))
-    whole = _with_shingles(some).select(*_PLACE, _by_rarity(F.col("set"), rarity).alias("set"))
+    whole = _with_shingles(some, rarity)
     whole = written(whole.withColumn("h1", F.xxhash64("set")).withColumn("h2", F.xxhash64(F.lit(1), "set")), "line_sets")
 
     first = whole.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"))
@@ -156,7 +153,7 @@ def line_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A line is removed if an earlier one has a similar set of shingles: 100 * common >= 75 * all.
     Earlier is a smaller doc_id, or the same document and a smaller number.  A shingle is five
-    consecutive words, A-Z in lower case, parted by ASCII white space; a line of fewer words is
+    consecutive words in lower case, parted by ASCII white space; a line of fewer words is
     one shingle.  Lines without words stay.  Null text is the empty text with one empty line.
     Rows without doc_id, and rows that share one, come before all others in the order of a hash of
     id and text; rows alike in both are one document.  Other columns are ignored.

@@ -135,8 +135,8 @@ ORACLE: dict[str, str] = {
     """,
     "op8_lines": rf"""
         with l as (
-            select doc_id, generate_subscripts(string_split({_LOWER}, chr(10)), 1) - 1 as line,
-                   unnest(string_split({_LOWER}, chr(10))) as s
+            select doc_id, generate_subscripts(string_split(lower(coalesce(text, '')), chr(10)), 1) - 1 as line,
+                   unnest(string_split(lower(coalesce(text, '')), chr(10))) as s
             from documents
         ),
         w as (
