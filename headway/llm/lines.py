@@ -118,22 +118,27 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     shared = prefix.withColumn("salt", salt).withColumn("lines", met).where(hot | (F.col("lines") > 1))
     shared = written(shared.select(*_PLACE, "shingle"), "shared_shingles")
 
-    # The whole sets of the lines that share a shingle, from their texts.
-    needed = shared.groupBy("key").agg(F.collect_set("line").alias("lines"))
-    texts = docs.join(needed.hint("merge"), "key")
-    some = texts.select("key", F.col("lines"), F.posexplode(_lines(F.col("text"))).alias("line", "text")).where(F.array_contains("lines", F.col("line")))
-    whole = _with_shingles(some, rarity)
-    whole = written(whole.withColumn("h1", F.xxhash64("set")).withColumn("h2", F.xxhash64(F.lit(1), "set")), "line_sets")
-
-    first = whole.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"))
-    classed = whole.join(first, ["h1", "h2"])
-    is_first = F.struct(*_PLACE) == F.col("first")
-    copies = classed.where(~is_first).select(*_PLACE)
-    classes = written(classed.where(is_first).dropDuplicates(list(_PLACE)).select(*_PLACE, "set"), "line_classes")
-
+    def sets_of(places: DataFrame) -> DataFrame:
+        """The whole sets of some lines, from their texts."""
+        needed = places.groupBy("key").agg(F.collect_set("line").alias("lines"))
+        # The same plan at every size: the places grow with the documents, so they are not broadcast.
+        texts = docs.join(needed.hint("merge"), "key")
+        some = texts.select("key", F.col("lines"), F.posexplode(_lines(F.col("text"))).alias("line", "text")).where(F.array_contains("lines", F.col("line")))
+        return _with_shingles(some, rarity)
+
+    # Only hashes of the sets are kept of the many lines that are plain copies.
+    hashed = sets_of(shared).select(*_PLACE, F.xxhash64("set").alias("h1"), F.xxhash64(F.lit(1), "set").alias("h2"))
+    hashed = written(hashed.distinct(), "line_hashes")
+    first = hashed.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"))
+    classed = written(hashed.join(first, ["h1", "h2"]).select(*_PLACE, (F.struct(*_PLACE) == F.col("first")).alias("is_first")), "line_classes")
+    copies = classed.where("not is_first").select(*_PLACE)
+
+    own = shared.distinct().join(classed.where("is_first").select(*_PLACE), list(_PLACE))
+    several = own.groupBy("shingle").agg(F.count("*").alias("lines")).where("lines > 1").select("shingle")
+    places = written(own.join(several, "shingle"), "line_places")
+    classes = written(sets_of(places).dropDuplicates(list(_PLACE)), "line_sets")
     at = (F.array_position("set", F.col("shingle")) - 1).alias("at")
-    bucket = shared.distinct().join(classes, list(_PLACE)).select("shingle", *_PLACE, F.size("set").alias("n"), at)
-    bucket = written(bucket, "line_buckets")
+    bucket = written(places.join(classes, list(_PLACE)).select("shingle", *_PLACE, F.size("set").alias("n"), at), "line_buckets")
     lead = bucket.groupBy("shingle").agg(F.min(F.struct("key", "line", "n", "at")).alias("y"), F.count("*").alias("lines")).where("lines > 1").select("shingle", "y.*")
     near = written(_verified(_candidates(bucket, _other(lead)), classes), "near_lines")
     apart = bucket.join(near, list(_PLACE), "left_anti")
