@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def set_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
-    """Rows handed to Python at once; texts are long, so Spark's 10,000 would need much memory."""
+    """Rows handed to Python at once; texts are long, so Spark's 10,000 would need much memory.
+
+    Python workers also look for this package in the place where the driver has it.
+    """
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if here not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([here, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return spark
 
