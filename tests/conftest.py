@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -25,6 +26,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="headway-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
