@@ -83,12 +83,30 @@ def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, (F.col("shingle") == F.col("y_shingle")) & earlier & sized & enough).select("key", "line", "y_key", "y_line").distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Places whose whole set is similar enough to that of the earlier place of a pair."""
+def _with_bits(sets: DataFrame) -> DataFrame:
+    """Per set its size and four words of bits, one bit set for each of its shingles."""
+    word = lambda j: F.aggregate(
+        F.filter("set", lambda x: F.pmod(F.shiftright(x, 6), F.lit(4)) == j),
+        F.lit(0).cast("bigint"),
+        lambda bits, x: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(x, F.lit(64)).cast("int"))),
+    )
+    return sets.select(*_PLACE, F.size("set").alias("n"), *[word(j).alias(f"b{j}") for j in range(4)])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, bits: DataFrame) -> DataFrame:
+    """Places whose whole set is similar enough to that of the earlier place of a pair.
+
+    A bit that only one of two sets has stands for a shingle that only that set has, so the bits
+    bound what the sets share.  Only pairs within the bound bring their whole sets together.
+    """
+    apart = sum(F.bit_count(F.col(f"b{j}").bitwiseXOR(F.col(f"y_b{j}"))) for j in range(4))
+    size = F.col("n") + F.col("y_n")
+    near = pairs.join(bits, list(_PLACE)).join(_other(bits), ["y_key", "y_line"]).where((size - apart) * (100 + PERCENT) >= size * 2 * PERCENT)
+    near = near.select("key", "line", "y_key", "y_line")
     own = sets.select("key", "line", F.col("set").alias("x"))
     other = sets.select(F.col("key").alias("y_key"), F.col("line").alias("y_line"), F.col("set").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    joined = pairs.join(own, list(_PLACE)).join(other, ["y_key", "y_line"]).select("key", "line", "x", "y", both.alias("both"))
+    joined = near.join(own, list(_PLACE)).join(other, ["y_key", "y_line"]).select("key", "line", "x", "y", both.alias("both"))
     return joined.where(F.col("both") * 100 >= (F.size("x") + F.size("y") - F.col("both")) * PERCENT).select(*_PLACE).distinct()
 
 
@@ -104,8 +122,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
        shingles that two prefixes share are kept; the rest of the join sees few lines.
     3. Lines with equal sets become one class; all but its first line are repeats.
     4. A class is held against the first of those it shares a shingle with, and where that one
-       isn't similar, against every earlier one, after the length and positional filters and on
-       the whole sets.
+       isn't similar, against every earlier one, after the length, positional and bit filters and
+       on the whole sets.
     """
     split = docs.select("key", F.posexplode(_lines(F.col("text"))).alias("line", "text"))
     rarity = _rarity(_with_shingles(split))
@@ -137,12 +155,13 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     several = own.groupBy("shingle").agg(F.count("*").alias("lines")).where("lines > 1").select("shingle")
     places = written(own.join(several, "shingle"), "line_places")
     classes = written(sets_of(places).dropDuplicates(list(_PLACE)), "line_sets")
+    bits = written(_with_bits(classes), "line_bits")
     at = (F.array_position("set", F.col("shingle")) - 1).alias("at")
     bucket = written(places.join(classes, list(_PLACE)).select("shingle", *_PLACE, F.size("set").alias("n"), at), "line_buckets")
     lead = bucket.groupBy("shingle").agg(F.min(F.struct("key", "line", "n", "at")).alias("y"), F.count("*").alias("lines")).where("lines > 1").select("shingle", "y.*")
-    near = written(_verified(_candidates(bucket, _other(lead)), classes), "near_lines")
+    near = written(_verified(_candidates(bucket, _other(lead)), classes, bits), "near_lines")
     apart = bucket.join(near, list(_PLACE), "left_anti")
-    more = _verified(_candidates(apart, _other(bucket)), classes)
+    more = _verified(_candidates(apart, _other(bucket)), classes, bits)
     return copies.unionAll(near).unionAll(more).distinct()
 
 
