@@ -146,3 +146,17 @@ def test_passages_of_odd_rows(odd_docs, no_docs):
     assert (6, 5) in {(r["doc_id"], r["class_doc_id"]) for r in rows}
     assert all(r["doc_id"] is not None for r in rows)
     assert near_passages(no_docs).count() == 0
+
+
+def test_passages_with_inserted_words(llm):
+    rng = np.random.default_rng(4)
+    fresh = lambda n: [f"f{x}" for x in rng.integers(0, 10**12, n)]
+    docs, pairs = [], set()
+    for i in range(8):  # 76 of 96 shingles in common, either side being the longer one
+        short = fresh(84)
+        two = [short, short[:42] + fresh(12) + short[42:]]
+        docs += [(2 * i, fresh(70) + two[i % 2]), (2 * i + 1, two[1 - i % 2] + fresh(70))]
+        pairs.add((2 * i + 1, 2 * i))
+    rows = near_passages(llm.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["class_doc_id"]) for r in rows} == pairs
+    assert all(abs(r["similarity"] - 76 / 96) < 1e-9 for r in rows)
