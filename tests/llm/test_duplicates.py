@@ -3,11 +3,13 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from headway.llm.minhash import band_keys, circulant_signatures, near_duplicates
 from headway.llm.passages import compact_windows, near_passages
 from headway.llm.shared import components
+from headway.llm.words import mix64, shingles, word_codes
 
 
 def _words(text):
@@ -160,3 +162,24 @@ def test_passages_with_inserted_words(llm):
     rows = near_passages(llm.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id bigint, text string")).collect()
     assert {(r["doc_id"], r["class_doc_id"]) for r in rows} == pairs
     assert all(abs(r["similarity"] - 76 / 96) < 1e-9 for r in rows)
+
+
+def test_passages_behind_other_documents_of_their_buckets(llm):
+    """Each least shingle of a passage also lies in another number of earlier documents."""
+    rng = np.random.default_rng(8)
+    fresh = lambda n: [f"f{x}" for x in rng.integers(0, 10**12, n)]
+    salts = mix64(np.arange(1, 6, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    least = lambda words: [int(np.argmin(mix64(shingles(*word_codes(pa.array([" ".join(words)])), 5)[0] ^ s))) for s in salts]
+    passage = fresh(50)
+    while len(set(least(passage))) < 5:
+        passage = fresh(50)
+    docs = []
+    for f, at in enumerate(least(passage)):
+        for _ in range(f):
+            text = []
+            while not text or least(text)[f] != 20:
+                text = fresh(20) + passage[at : at + 5] + fresh(25)
+            docs.append(text)
+    docs += [fresh(60) + passage, passage + fresh(60)]
+    rows = near_passages(llm.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id bigint, text string")).collect()
+    assert [(r["doc_id"], r["class_doc_id"], r["start"], r["end"], r["similarity"]) for r in rows] == [(11, 10, 0, 50, 1.0)]
