@@ -183,3 +183,18 @@ def test_passages_behind_other_documents_of_their_buckets(llm):
     docs += [fresh(60) + passage, passage + fresh(60)]
     rows = near_passages(llm.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id bigint, text string")).collect()
     assert [(r["doc_id"], r["class_doc_id"], r["start"], r["end"], r["similarity"]) for r in rows] == [(11, 10, 0, 50, 1.0)]
+
+
+def test_passages_near_a_member_only(llm):
+    """Chains of edited copies: the ends are too far apart, the middle is in a class by then."""
+    rng = np.random.default_rng(12)
+    docs, wanted = [], set()
+    for i in range(12):
+        base, fresh = ([f"f{x}" for x in rng.integers(0, 10**12, n)] for n in (100, 4))
+        edited = lambda *at: [fresh[at.index(j)] + str(j) if j in at else w for j, w in enumerate(base)]
+        first, middle, end = base, edited(20, 60), [f"e{j}" if j in (40, 80) else w for j, w in enumerate(edited(20, 60))]
+        order = (first, middle, end) if i % 2 else (first, end, middle)
+        docs += [(3 * i + j, " ".join(w)) for j, w in enumerate(order)]
+        wanted |= {(3 * i + 1, 3 * i), (3 * i + 2, 3 * i + 1)} if i % 2 else {(3 * i + 2, 3 * i), (3 * i + 2, 3 * i + 1)}
+    rows = near_passages(llm.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["class_doc_id"]) for r in rows} == wanted
