@@ -117,7 +117,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(percent: int):
-    """Links of the probes in a block of a bucket to its members under other labels, on full sets.
+    """Links of a block of a bucket's probes to a block of its members under other labels, on full sets.
 
     Each probe's shingles are looked up in an index of the block, which counts what it shares with
     every member at once.  One link per probe and label is enough to join the groups.
@@ -198,12 +198,19 @@ def near_duplicates(
     known = in_shared.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("key", "doc_id", "members", F.coalesce("label", "doc_id").alias("label"))
     known = written(known, "labels")
     share = known.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = share.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
+    mixed = share.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("top"), (F.sum("n") - F.max("n")).alias("probes")).where("probes > 0")
     # A link between labels has an end outside the commonest one: only those ends are probes.
-    blocks = F.ceil(F.col("members") / MEMBERS)
-    rows_of = known.join(mixed, "key").withColumn("home", F.pmod(F.xxhash64("doc_id"), blocks)).withColumn("probe", F.col("label") != F.col("top"))
-    places = F.when(F.col("probe"), F.sequence(F.lit(0).cast("bigint"), blocks - 1)).otherwise(F.array("home"))
-    dealt = rows_of.select("key", "doc_id", "label", "probe", "home", F.explode(places).alias("block")).withColumn("here", F.col("home") == F.col("block"))
+    # Probes are dealt into blocks too, so a group holds a block of either, whatever the bucket.
+    blocks, probing = F.ceil(F.col("members") / MEMBERS), F.ceil(F.col("probes") / MEMBERS)
+    rows_of = known.join(mixed, "key").withColumn("home", F.pmod(F.xxhash64("doc_id"), blocks)).withColumn("turn", F.pmod(F.xxhash64("doc_id", F.lit(1)), probing))
+    rows_of = rows_of.withColumn("outside", F.col("label") != F.col("top"))
+    upto = lambda n: F.sequence(F.lit(0).cast("bigint"), n - 1)
+    at = lambda turn, home: F.struct(turn.alias("turn"), home.alias("home"))
+    as_member = F.transform(upto(probing), lambda i: at(i, F.col("home")))
+    as_probe = F.transform(upto(blocks), lambda i: at(F.col("turn"), i))
+    places = F.when(F.col("outside"), F.array_union(as_member, as_probe)).otherwise(as_member)
+    probe, here = F.expr("outside and turn = block.turn").alias("probe"), F.expr("home = block.home").alias("here")
+    dealt = rows_of.select("*", F.explode(places).alias("block")).select("key", "doc_id", "label", "block", probe, here)
     more = written(dealt.join(sets, "doc_id").groupBy("key", "block").applyInArrow(_across(percent), "a bigint, b bigint").distinct(), "more")
 
     groups = written(components(copies.unionAll(near).unionAll(more)), "groups")

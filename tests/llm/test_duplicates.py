@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from headway.llm import minhash
 from headway.llm.minhash import band_keys, circulant_signatures, near_duplicates
 from headway.llm.passages import compact_windows, near_passages
 from headway.llm.shared import components
@@ -75,6 +76,30 @@ def test_groups_equal_brute_force(copies):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+def test_blocks_of_probes_are_bounded(llm, monkeypatch):
+    """Different texts with one long passage in common share buckets, and nearly all are probes."""
+    rng = np.random.default_rng(7)
+    common, docs = [f"c{i}" for i in range(80)], {}
+    for i in range(0, 160, 2):
+        own = [f"f{x}" for x in rng.integers(0, 10**12, 24)]
+        docs |= {i: " ".join(own + common), 159 - i: " ".join([*own[:10], "other", *own[11:], *common])}
+    real = minhash._across
+
+    def across(percent):
+        work = real(percent)
+
+        def held(table):
+            assert table.num_rows <= 50
+            return work(table)
+
+        return held
+
+    monkeypatch.setattr(minhash, "MEMBERS", 10)
+    monkeypatch.setattr(minhash, "_across", across)
+    found = near_duplicates(llm.createDataFrame(list(docs.items()), "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == _groups(docs)
+
+
 def test_groups_on_a_whole_table(llm, sf_dir):
     docs = llm.read.parquet(f"{sf_dir}/documents.parquet")
     wanted = _groups({r["doc_id"]: r["text"] for r in docs.collect()})
