@@ -20,8 +20,8 @@ from headway.llm.words import U64, bounded, shingles, text_column, word_codes
 WINDOW, SHARD_TOKENS = 1024, 1 << 20
 #: Words whose ids a worker keeps; the store is emptied when it is full.
 KEPT_WORDS = 1_200_000
-#: Terms of the seed that are looked up, and the usual BM25 parameters.
-QUERY_TERMS, K1, B = 32, 1.2, 0.75
+#: The usual BM25 parameters, and the share of documents left at which the used ones are cleared out.
+K1, B, LEFT = 1.2, 0.75, 0.85
 
 # White space other than the space and the line break.
 _RARE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
@@ -106,15 +106,25 @@ class Index:
         weight = often * (K1 + 1) / (often + K1 * (1 - B + B * size[doc] / size.mean()))
         self.doc, self.weight = doc[order], (weight * self.idf[term])[order]
         self.begin = np.concatenate([[0], np.cumsum(df)])
-        self.terms = [u.astype(np.int64)[np.argsort(-self.idf[u], kind="stable")[:QUERY_TERMS]] for u, _ in own]
-        self.unused = np.ones(n, bool)
+        self.terms = [u.astype(np.int64) for u, _ in own]
+        self.unused, self.held = np.ones(n, bool), n
+
+    def _clear(self) -> None:
+        """Drop the postings of used documents; the weights of the others stay as they are."""
+        keep = self.unused[self.doc]
+        self.begin = np.concatenate([[0], np.cumsum(keep)])[self.begin]
+        self.doc, self.weight = self.doc[keep], self.weight[keep]
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """Unused documents, those that score best for the seed's rarest terms first."""
-        spans = [slice(self.begin[t], self.begin[t + 1]) for t in self.terms[seed]]
-        doc = np.concatenate([self.doc[s] for s in spans])
-        score = np.bincount(doc, np.concatenate([self.weight[s] for s in spans]), len(self.unused))
+        """Unused documents, those that score best for all of the seed's terms first."""
         free = np.flatnonzero(self.unused)
+        if len(free) < LEFT * self.held:
+            self.held = len(free)
+            self._clear()
+        begin = self.begin[self.terms[seed]]
+        size = self.begin[self.terms[seed] + 1] - begin
+        at = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+        score = np.bincount(self.doc[at], self.weight[at], len(self.unused))
         return free[np.argsort(-score[free], kind="stable")]
 
 

@@ -12,7 +12,7 @@ import corpus_pipeline
 from headway.llm import warc
 from headway.llm.decontaminate import WuManber, benchmark_hits
 from headway.llm.lines import drop_repeated_lines, line_repeats
-from headway.llm.packing import fill_windows, pack
+from headway.llm.packing import Index, fill_windows, pack
 from headway.llm.queries import packed
 from headway.llm.shared import shared_folder
 from headway.llm.words import SIGNS, word_codes
@@ -172,6 +172,17 @@ def test_neighbours_come_together():
     assert sum(mixed) <= 2 * len(rows)
 
 
+def test_neighbours_share_any_term():
+    """The seed's neighbour has only its commoner terms; the other documents none of them."""
+    seed = np.arange(100)
+    rows = [seed, np.arange(1000, 1100), np.arange(40, 140), *[np.arange(2000 + 100 * i, 2100 + 100 * i) for i in range(5)], np.arange(40, 80)]
+    index = Index([r.astype("<u4").tobytes() for r in rows])
+    index.unused[0] = False
+    assert index.neighbours(0)[:2].tolist() == [2, 8]
+    index.unused[3:8] = False  # the used are cleared out, the order of the others stays
+    assert index.neighbours(0).tolist() == [2, 8, 1] and len(index.doc) == 240
+
+
 def test_every_stage_keeps_the_columns(llm, sf_dir):
     docs = llm.read.parquet(f"{sf_dir}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "decontamination", "packing"]
