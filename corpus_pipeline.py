@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway.llm.cotraining import keep_quality
 from headway.llm.decontaminate import benchmark_hits
-from headway.llm.lines import drop_repeated_lines
+from headway.llm.lines import drop_repeated_lines, keyed
 from headway.llm.minhash import near_duplicates
 from headway.llm.queries import packed
 from headway.llm.shared import set_batches, written
@@ -28,19 +28,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group, and those without an id.
+    """One row of each near-duplicate group: the smallest id, after rows without an id of their own.
 
     Documents whose text is empty or blank link with nothing and stay.
     """
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    rows = keyed(docs)
+    gone = near_duplicates(rows, "key").where("not kept").select(F.col("doc_id").alias("key")).distinct()
+    kept = rows.join(gone.hint("merge"), "key", "left_anti")
+    again = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated_rows")
+    if not again.isEmpty():  # rows of the same id and text
+        many = kept.join(again.hint("merge"), "key", "left_semi")
+        blank = ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+        kept = kept.join(again.hint("merge"), "key", "left_anti").unionAll(many.where(blank)).unionAll(many.where(~blank).dropDuplicates(["key"]))
+    return kept.select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window."""
-    hits = benchmark_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = hits.where("contaminated").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a benchmark window; rows without an id of their own are judged by themselves."""
+    rows = keyed(docs)
+    hits = benchmark_hits(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "key")
+    gone = hits.where("contaminated").select(F.col("doc_id").alias("key")).distinct()
+    return rows.join(gone.hint("merge"), "key", "left_anti").select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

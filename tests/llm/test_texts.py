@@ -183,6 +183,17 @@ def test_neighbours_share_any_term():
     assert index.neighbours(0).tolist() == [2, 8, 1] and len(index.doc) == 240
 
 
+def test_rows_without_an_id_of_their_own(llm, sf_dir):
+    item = llm.read.parquet(f"{sf_dir}/benchmark.parquet").where("length(text) > 200").first()["text"]
+    clean, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "xy")
+    rows = [(None, item), (None, clean), (None, clean), (1, item), (1, clean), (2, other), (2, other), (3, other), (4, " "), (4, " "), (5, None)]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string")
+    left = lambda stage: sorted(((r["doc_id"], r["text"]) for r in stage(llm, docs, sf_dir).collect()), key=str)
+    assert left(corpus_pipeline.decontamination) == sorted([r for r in rows if r[1] != item], key=str)
+    kept = left(corpus_pipeline.near_dedup)
+    assert sorted(str(t) for _, t in kept) == sorted(map(str, [item, clean, other, " ", " ", None]))
+
+
 def test_every_stage_keeps_the_columns(llm, sf_dir):
     docs = llm.read.parquet(f"{sf_dir}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "decontamination", "packing"]
