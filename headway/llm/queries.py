@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from headway.llm import warc
+from headway.llm.alignment import align
 from headway.llm.backoff import backoff_scores
 from headway.llm.cotraining import score_quality
 from headway.llm.decontaminate import benchmark_hits
 from headway.llm.lines import line_repeats
 from headway.llm.minhash import near_duplicates
+from headway.llm.negatives import hard_negatives
 from headway.llm.order_minhash import order_fingerprints
 from headway.llm.packing import pack
 from headway.llm.passages import near_passages
+from headway.llm.rules import apply_rules
 from headway.llm.shared import set_batches, shared_folder
 from headway.llm.toxicity import score_toxicity
 
@@ -74,6 +77,21 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_cotraining": op2_cotraining,
@@ -85,6 +103,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lines": op8_lines,
     "op9_backoff": op9_backoff,
     "op10_order_minhash": op10_order_minhash,
+    "op11_alignment": op11_alignment,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -193,4 +214,29 @@ ORACLE: dict[str, str] = {
                round(total / nullif(len(w), 0), 7) as mean_log_score
         from d left join t on d.doc_id = t.doc_id
     """,
+    "op13_hard_negatives": """
+        with v as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        s as (
+            select a.vec_id as anchor, b.vec_id as id, a.label = b.label as same,
+                   cast(list_dot_product(a.q, b.q) as bigint) as score
+            from v as a join v as b on a.vec_id % 50 = 0
+        ),
+        p as (
+            select anchor, id, score from s where same and id != anchor
+            qualify row_number() over (partition by anchor order by score desc, id) <= 5
+        ),
+        n as (
+            select p.anchor, p.id as positive_id, p.score as positive_score, s.id, s.score,
+                   row_number() over (partition by p.anchor, p.id order by s.score desc, s.id) as rank
+            from p join s on s.anchor = p.anchor and not s.same and 100 * s.score between 50 * p.score and 95 * p.score
+        )
+        select anchor as anchor_id, positive_id, cast(rank as int) as rank, id as negative_id, positive_score, score as negative_score
+        from n where rank <= 3
+    """,
 }

@@ -15,7 +15,7 @@ def _rows(frame):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(llm, sf_dir, name):
     db = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "embeddings"):
         db.sql(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
     found = QUERIES[name](llm, sf_dir)
     columns = sorted(found.columns)
@@ -23,7 +23,12 @@ def test_query_equals_sql(llm, sf_dir, name):
     assert _rows(found.select(*columns).collect()) == _rows(wanted)
 
 
+def test_registered_sql_is_of_registered_queries():
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
 def test_all_are_registered():
     registered = __spark_entry__.queries()
-    assert {name.split("_")[0] for name in registered if name.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in registered if name.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in registered
