@@ -25,9 +25,9 @@ KEPT = 6_000_000
 #: A link as one number: B's id and A's id.
 HIGH = 1 << 32
 
-#: A space after any sign but white space.  A ends a token there, as its pattern begins one at a space;
+#: A space after any sign but white space, and before any.  A ends a token there, as its pattern begins one at a space;
 #: B does, as none of its pieces has a space after another sign.
-_CUT = re.compile(r"(?<=[^\s]) ")
+_CUT = re.compile(r"(?<=[^\s]) (?!\Z)")
 # White space other than the space and the line break.
 _RARE = re.compile(r"[^\S \n]")
 
@@ -122,7 +122,7 @@ class Pair:
     def units(self, text: str) -> list[str]:
         if not self.can_cut:
             return [text]
-        if text[:1] != " " and "  " not in text and "\n " not in text and not _RARE.search(text):
+        if text[:1] != " " and text[-1:] != " " and "  " not in text and "\n " not in text and not _RARE.search(text):
             return text.split(" ")
         return _CUT.split(text)
 
