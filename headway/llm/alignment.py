@@ -21,7 +21,7 @@ from headway.llm.words import bounded, text_column
 #: Characters from which a text is cut into byte ranges of about that size, and fragments composed at once.
 RANGE, FAN_IN = 1 << 15, 16
 #: Characters of the units whose tokens a worker keeps; the store is emptied when it is full.
-KEPT = 6_000_000
+KEPT = 2_500_000
 #: A link as one number: B's id and A's id.
 HIGH = 1 << 32
 
@@ -116,7 +116,7 @@ class Pair:
         self.number: dict[str, int] = {}
         self.groups: list[str] = []
         #: plain, n_a, n_b and n_groups of each unit; the links of all units in a row.
-        self.counts = np.zeros((0, 4), np.int64)
+        self.counts = np.zeros((0, 4), np.int32)
         self.links, self.begin = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def units(self, text: str) -> list[str]:
@@ -149,7 +149,7 @@ class Pair:
         return np.array(found, np.int64)
 
     def _learn(self, units: list[str]) -> None:
-        a_ids = [x.ids for x in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
+        a_ids = [x.ids for x in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
         b_ids = self.b.encode(units, num_threads=1)
         plain = np.ones(len(units), bool)
         flat = lambda ids: np.fromiter(itertools.chain.from_iterable(ids), np.int64)
@@ -180,9 +180,9 @@ class Pair:
             self.number[unit] = len(self.groups)
             self.groups.append(";".join(groups[at:end]))
             at = end
-        self.counts = np.concatenate([self.counts, np.column_stack([plain, n_a, n_b, np.diff(ends, prepend=0)])])
+        self.counts = np.concatenate([self.counts, np.column_stack([plain, n_a, n_b, np.diff(ends, prepend=0)]).astype(np.int32)])
         self.links = np.concatenate([self.links, links])
-        self.begin = np.cumsum(self.counts[:, 3]) - self.counts[:, 3]
+        self.begin = np.cumsum(self.counts[:, 3], dtype=np.int64) - self.counts[:, 3]
 
     def text_of(self, numbers: np.ndarray) -> str:
         """The groups of consecutive units; those of a unit that isn't spelled are empty."""
@@ -194,7 +194,7 @@ class Pair:
         row = np.repeat(np.arange(n), np.diff(bounds))
         key, often = np.unique(row * (len(self.groups) + 1) + numbers, return_counts=True)
         row, unit = key // (len(self.groups) + 1), key % (len(self.groups) + 1)
-        size = self.counts[unit, 3]
+        size = self.counts[unit, 3].astype(np.int64)
         begin = self.begin[unit]
         at = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
         known, place = np.unique(self.links[at], return_inverse=True)
@@ -243,7 +243,7 @@ def _ids(tokens: list[tuple[int, int]]) -> str:
 
 def _units_fragment(tokens: Pair, numbers: np.ndarray) -> Fragment:
     """The fragment of consecutive units."""
-    plain, n_a, n_b, cuts = (int(x) for x in (tokens.counts[numbers, 0].all(), *tokens.counts[numbers, 1:].sum(0)))
+    plain, n_a, n_b, cuts = (int(x) for x in (tokens.counts[numbers, 0].all(), *tokens.counts[numbers, 1:].sum(0, dtype=np.int64)))
     if not plain:
         return Fragment(False)
     head, _, body = tokens.text_of(numbers).partition(";")
@@ -334,7 +334,7 @@ def _whole_texts(tokens: Pair, ids: pa.Array, texts: list[str]) -> pa.RecordBatc
     split = [tokens.units(t) if t else [] for t in texts]
     bounds = np.concatenate([[0], np.cumsum([len(u) for u in split])]).astype(np.int64)
     numbers = tokens.numbers(list(itertools.chain.from_iterable(split)))
-    total = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(tokens.counts[numbers], 0)])
+    total = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(tokens.counts[numbers], 0, dtype=np.int64)])
     counts = total[bounds[1:]] - total[bounds[:-1]]
     plain = (counts[:, 0] == np.diff(bounds)) & (np.diff(bounds) > 0)
     digests = [_digest(tokens.text_of(numbers[i:j])) if good else "" for i, j, good in zip(bounds[:-1], bounds[1:], plain)]
