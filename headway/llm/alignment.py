@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from headway.llm.shared import written
@@ -21,7 +22,7 @@ from headway.llm.words import bounded, text_column
 #: Characters from which a text is cut into byte ranges of about that size, and fragments composed at once.
 RANGE, FAN_IN = 1 << 15, 16
 #: Characters of the units whose tokens a worker keeps; the store is emptied when it is full.
-KEPT = 2_500_000
+KEPT = 4_000_000
 #: A link as one number: B's id and A's id.
 HIGH = 1 << 32
 
@@ -104,7 +105,7 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_size, self.b_size = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
-        self.digits = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        self.digits = pa.array([str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))])
         # Texts may be cut at spaces only if neither kind of token crosses such a place.
         split = json.loads(self.a.to_str())["pre_tokenizer"]
         inner = any(not self.b.is_control(i) and "▁" in p.lstrip("▁") for i, p in enumerate(pieces))
@@ -167,19 +168,11 @@ class Pair:
         a_cut, b_cut = (np.flatnonzero(np.isin(x, y, assume_unique=True)) for x, y in ((a_end, b_end), (b_end, a_end)))
         # No token is empty, so each group has one link: its last tokens.
         links = b[b_cut] * HIGH + a[a_cut]
-        a_sign, b_sign = ([self.digits[i] for i in ids.tolist()] for ids in (a, b))
-        groups, i, j = [], 0, 0
-        for i_to, j_to in zip((a_cut + 1).tolist(), (b_cut + 1).tolist()):
-            x = a_sign[i] if i_to == i + 1 else ",".join(a_sign[i:i_to])
-            y = b_sign[j] if j_to == j + 1 else ",".join(b_sign[j:j_to])
-            groups.append(f"{x}|{y}")
-            i, j = i_to, j_to
+        joined = lambda parts, ends, mark: pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), parts), mark)
+        groups = pc.binary_join_element_wise(joined(self.digits.take(pa.array(a)), a_cut + 1, ","), joined(self.digits.take(pa.array(b)), b_cut + 1, ","), "|")
         ends = np.searchsorted(a_cut, np.cumsum(n_a))  # groups up to each unit's end
-        at = 0
-        for unit, end in zip(units, ends.tolist()):
-            self.number[unit] = len(self.groups)
-            self.groups.append(";".join(groups[at:end]))
-            at = end
+        self.number.update(zip(units, itertools.count(len(self.groups))))
+        self.groups.extend(joined(groups, ends, ";").to_pylist())
         self.counts = np.concatenate([self.counts, np.column_stack([plain, n_a, n_b, np.diff(ends, prepend=0)]).astype(np.int32)])
         self.links = np.concatenate([self.links, links])
         self.begin = np.cumsum(self.counts[:, 3], dtype=np.int64) - self.counts[:, 3]
