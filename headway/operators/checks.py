@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from headway.functions import feed_path, path_part
+from headway.functions import path_part
 from headway.schemas import FEED, LEDGER_KEY, LISTED_TYPES, REQUIRED_TYPES
 
 
@@ -53,14 +53,21 @@ def filter_listing(
     """Text files of the listed types, of one feed or of all."""
     found = listing.where(F.col(path).endswith(".txt"))
     if feed is not None:
-        parts = "/".join(f"{name}={value}" for name, value in zip(FEED, feed))
-        found = found.where(F.col(path).contains(parts + "/"))
+        for name, value in zip(FEED, feed):
+            found = found.where(path_part(path, name) == value)
     if types:
         folders = "|".join(re.escape(kind) for kind in types)
         found = found.where(F.col(path).rlike(f"GTFS/({folders})/"))
     return found
 
 
+def feed_folders(listing: DataFrame, path: str = "path") -> DataFrame:
+    """Distinct (feed, type, folder): the folder as storage spells it, without the type before it."""
+    folder = "/".join(f"{name}=[^/]+" for name in FEED)
+    found = with_feed_columns(listing, path).withColumn("folder", F.regexp_extract(path, f"GTFS/[^/]+/({folder})/", 1))
+    return found.where("folder <> ''").select(*FEED, "gtfs_type", "folder").distinct()
+
+
 def count_by_folder(listing: DataFrame, path: str = "path") -> DataFrame:
     """Files per folder."""
     folder = F.regexp_replace(path, "/[^/]*$", "")
@@ -76,14 +83,17 @@ def feed_completeness(
     """Per feed the required types that are present and missing, and whether it is complete.
 
     Only feeds whose first required type is there are candidates.  With ``exact_names`` a type
-    counts when its file ``<type>.txt`` exists, else when its folder holds any file.  The state
-    per feed is one flag per type, so the size of a feed's listing does not matter.
+    counts when its file ``<type>.txt`` exists, else when its folder holds any file.  Keys are
+    compared as they are and not as folder names spell them.  The state per feed is one flag per
+    type, so the size of a feed's listing does not matter.
     """
     files = with_feed_columns(listing, path).where(
         " AND ".join(f"{name} <> ''" for name in FEED)
     )
     if exact_names:
-        files = files.where(F.col(path).endswith(feed_path("gtfs_type", *FEED)))
+        folder = "/".join(f"{name}=[^/]+" for name in FEED)
+        in_place = F.col(path).rlike(f"GTFS/[^/]+/{folder}/[^/]+$")
+        files = files.where(in_place & (F.substring_index(path, "/", -1) == F.concat(F.lower("gtfs_type"), F.lit(".txt"))))
     flags = files.groupBy(*FEED).agg(
         *[F.max(F.col("gtfs_type") == kind).alias(f"has_{kind}") for kind in required]
     )

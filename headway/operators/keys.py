@@ -63,6 +63,32 @@ def _sides(left: DataFrame, right: DataFrame, key: str, by: Sequence[str]) -> Da
     return both.groupBy(*by, key).agg(F.max("l").alias("l"), F.max("r").alias("r"))
 
 
+def distinct_keys(df: DataFrame, keys: Sequence[str], by: Sequence[str] = FEED) -> DataFrame:
+    """Exact number of distinct non-null values of each key per feed, one row per feed and key.
+
+    Each key is counted from its distinct values, so a feed with most of the rows is spread as well.
+    """
+    long = df.select(*by, F.explode(F.create_map(*[x for k in keys for x in (F.lit(k), F.col(k).cast("string"))])).alias("key", "value"))
+    found = long.where("value is not null").distinct().groupBy(*by, "key").agg(F.count("*").alias("n_distinct"))
+    return found
+
+
+def key_sketches(df: DataFrame, keys: Sequence[str], by: Sequence[str] = FEED, lg_nom: int = 12) -> DataFrame:
+    """A HyperLogLog sketch of each key per feed, one row per feed and key.
+
+    Sketches of parts can be stored and put together by ``merge_sketches``.  Their relative error is
+    about 1.04 / 2 ** (lg_nom / 2): 1.6 % by default, one standard deviation.
+    """
+    long = df.select(*by, F.explode(F.create_map(*[x for k in keys for x in (F.lit(k), F.col(k).cast("string"))])).alias("key", "value"))
+    return long.where("value is not null").groupBy(*by, "key").agg(F.hll_sketch_agg("value", lg_nom).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = (*FEED, "key")) -> DataFrame:
+    """One sketch for each value of ``by``, of fewer columns for wider groups, and its estimate."""
+    merged = sketches.groupBy(*by).agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.withColumn("estimate", F.hll_sketch_estimate("sketch"))
+
+
 def key_overlap(
     left: DataFrame,
     right: DataFrame,

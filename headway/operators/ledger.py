@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from headway.functions import bump, feed_id, fold_message, fold_states, iso_time, older_than
 from headway.operators.checks import required_error
@@ -285,18 +285,33 @@ def apply_updates(ledger: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def next_pending(ledger: DataFrame, n: int = 1) -> DataFrame:
-    """The next ``n`` pending runs, the longest registered first; those without a full key never run."""
-    order = [F.col("registered_at").asc_nulls_first(), F.col("id")]
+    """The next ``n`` pending runs, the longest registered first; those without a full key never run.
+
+    Times are compared as times; runs without a readable one come first.
+    """
+    order = [iso_time("registered_at").asc_nulls_first(), F.col("registered_at").asc_nulls_first(), F.col("id")]
     return with_status(ledger, "pending").where(required_error() == "").orderBy(*order).limit(n)
 
 
+def repeated_ids(ledger: DataFrame) -> DataFrame:
+    """Ids that more than one run has."""
+    return ledger.groupBy("id").agg(F.count("*").alias("n_rows")).where("n_rows > 1 AND id IS NOT NULL")
+
+
 def claim(ledger: DataFrame, n: int, as_of: str, prefix: str = "run") -> DataFrame:
-    """The next ``n`` pending runs start processing."""
-    chosen = next_pending(ledger, n).select(*_KEY, F.lit(True).alias("chosen"))
+    """The next ``n`` pending runs start processing, never more.
+
+    Runs are known by their id: one without an id, or with an id that occurs twice, is not started.
+    Of several pending runs of one feed the first in order starts alone.
+    """
+    single = ledger.join(repeated_ids(ledger).select("id"), "id", "left_anti").where("id IS NOT NULL")
+    order = [iso_time("registered_at").asc_nulls_first(), F.col("registered_at").asc_nulls_first(), F.col("id")]
+    waiting = with_status(single, "pending").withColumn("nth", F.row_number().over(Window.partitionBy(*_KEY).orderBy(*order)))
+    chosen = next_pending(waiting.where("nth = 1"), n).select("id", F.lit(True).alias("chosen"))
     stamp = F.date_format(F.lit(as_of).cast("timestamp"), "yyyyMMddHHmmss")
     name = F.concat_ws("-", F.lit(prefix), F.col("id"), stamp)
     return _change(
-        ledger.join(chosen, _KEY, "left"),
+        ledger.join(chosen, "id", "left").select(*[ledger[c] for c in ledger.columns], "chosen"),
         F.col("chosen") & (F.col("status") == "pending"),
         {"execution_id": name, "started_at": F.lit(as_of), "status": F.lit("processing")},
     ).drop("chosen")

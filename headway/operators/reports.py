@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from headway.functions import iso_time
 from headway.operators.ledger import with_status
 from headway.schemas import ALL_STATUSES, LEDGER_KEY
 
@@ -25,9 +26,14 @@ def by_status(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
 
 
+def counters(statuses: tuple[str, ...] = ALL_STATUSES) -> list[Column]:
+    """The total and the number of runs in each given status, as aggregates."""
+    return [F.count("*").alias("total"), *[_count(s).alias(s) for s in statuses]]
+
+
 def status_counts(ledger: DataFrame, statuses: tuple[str, ...] = ALL_STATUSES) -> DataFrame:
     """One row: the total and the number of runs in each given status, zero included."""
-    return ledger.agg(F.count("*").alias("total"), *[_count(s).alias(s) for s in statuses])
+    return ledger.agg(*counters(statuses))
 
 
 def enterprise_summary(ledger: DataFrame) -> DataFrame:
@@ -68,17 +74,33 @@ def retry_stats(ledger: DataFrame) -> DataFrame:
 
 
 def recent_runs(ledger: DataFrame, n: int = 5) -> DataFrame:
-    """The ``n`` runs started last."""
+    """The ``n`` runs started last, by time and not by text; times that cannot be read come last."""
     started = ledger.where(F.col("started_at").isNotNull() & (F.col("started_at") != ""))
-    return started.orderBy(F.col("started_at").desc(), F.col("id")).limit(n)
+    order = [iso_time("started_at").desc_nulls_last(), F.col("started_at").desc(), F.col("id")]
+    return started.orderBy(*order).limit(n)
 
 
 def failed_runs(ledger: DataFrame, n: int = 5) -> DataFrame:
-    """The ``n`` failed runs updated last."""
-    order = [F.col("last_updated").desc_nulls_last(), F.col("id")]
+    """The ``n`` failed runs updated last, by time and not by text."""
+    order = [iso_time("last_updated").desc_nulls_last(), F.col("last_updated").desc_nulls_last(), F.col("id")]
     return with_status(ledger, "failed").orderBy(*order).limit(n)
 
 
+def ranked(rows: DataFrame, *order: Column | str) -> DataFrame:
+    """Add each row's place from 1 in ``order``; for the few rows of a top-n report."""
+    return rows.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+
+
+def ranked_recent(ledger: DataFrame, n: int = 5) -> DataFrame:
+    """``recent_runs`` with their places."""
+    return ranked(recent_runs(ledger, n), iso_time("started_at").desc_nulls_last(), F.col("started_at").desc(), "id")
+
+
+def ranked_failed(ledger: DataFrame, n: int = 5) -> DataFrame:
+    """``failed_runs`` with their places."""
+    return ranked(failed_runs(ledger, n), iso_time("last_updated").desc_nulls_last(), F.col("last_updated").desc_nulls_last(), "id")
+
+
 def error_message() -> Column:
     return F.coalesce("message", "error", F.lit(UNKNOWN_ERROR))
 

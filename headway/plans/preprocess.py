@@ -14,6 +14,7 @@ from headway.schemas import FEED
 # Messages of feeds that cannot be used.
 NO_COMBOS = "No se encontraron combinaciones válidas."
 REPEATED_ROUTES = "DataFrame index must be unique for orient='index'."
+UNREADABLE = "Filas ilegibles en: "
 
 
 class Preprocessed(NamedTuple):
@@ -25,14 +26,19 @@ class Preprocessed(NamedTuple):
 
 
 def outcomes(
-    tables: dict[str, DataFrame], rows: DataFrame, execution_id: str | None = None
+    tables: dict[str, DataFrame], rows: DataFrame, execution_id: str | None = None, errors: DataFrame | None = None
 ) -> DataFrame:
-    """One row per feed that has trips or routes.
+    """One row per feed that has trips or routes, or read errors.
 
-    A feed with a repeated route id, or without any combo, is an error row and not an exception.
+    A feed with a repeated route id, without any combo, or with ``errors`` (those of
+    ``sources.tables.read_checked``) is an error row and not an exception.
     The routes themselves are in ``valid_routes``; here is their number.
     """
     feeds = tables["routes"].select(*FEED).union(tables["trips"].select(*FEED)).distinct()
+    unread = None
+    if errors is not None:
+        unread = errors.groupBy(*FEED).agg(F.concat_ws(", ", F.array_sort(F.collect_set("table"))).alias("unread"))
+        feeds = feeds.union(unread.select(*FEED)).distinct()
     repeated = repeated_routes(tables["routes"]).select(*FEED).distinct()
     usable = valid_routes(rows).groupBy(*FEED).agg(F.count("*").alias("n_routes"))
     joined = feeds.join(repeated.withColumn("repeated", F.lit(True)), list(FEED), "left").join(
@@ -44,7 +50,8 @@ def outcomes(
     else:
         joined = joined.withColumn("has_shapes", F.lit(False))
 
-    message = F.when(F.col("repeated"), F.lit(REPEATED_ROUTES)).when(
+    joined = joined.withColumn("unread", F.lit(None).cast("string")) if unread is None else joined.join(unread, list(FEED), "left")
+    message = F.when(F.col("unread").isNotNull(), F.concat(F.lit(UNREADABLE), F.col("unread"))).when(F.col("repeated"), F.lit(REPEATED_ROUTES)).when(
         F.col("n_routes").isNull(), F.lit(NO_COMBOS)
     )
     ok = F.col("message").isNull()
@@ -66,10 +73,12 @@ def outcomes(
     )
 
 
-def preprocess(tables: dict[str, DataFrame], execution_id: str | None = None) -> Preprocessed:
+def preprocess(
+    tables: dict[str, DataFrame], execution_id: str | None = None, errors: DataFrame | None = None
+) -> Preprocessed:
     """Tables, combo rows, combos, valid routes and outcomes of all feeds.
 
-    Feeds with repeated route ids have no combos.
+    Feeds with repeated route ids have no combos, nor have those with read ``errors``.
     """
     bad = repeated_routes(tables["routes"])
     rows = combo_rows(tables["trips"], tables["stop_times"])
@@ -79,7 +88,7 @@ def preprocess(tables: dict[str, DataFrame], execution_id: str | None = None) ->
         rows=good,
         combos=combos(good, tables["routes"]),
         valid_routes=valid_routes(good),
-        outcomes=outcomes(tables, rows, execution_id),
+        outcomes=outcomes(tables, rows, execution_id, errors),
     )
 
 

@@ -10,6 +10,7 @@ from headway.operators.checks import feed_completeness
 from headway.operators.ledger import outcome_tally, register
 from headway.plans.discover import discover_feeds, write_manifest
 from headway.schemas import LEDGER, REQUIRED_TYPES
+from headway.sources.commits import read_product
 from headway.sources.ledger_files import append_audit, read_ledger, read_status_document, write_ledger
 from headway.sources.listing import list_files
 from headway.sources.requests import parse_requests
@@ -137,9 +138,9 @@ def test_ingest_hands_on_new_feeds_only(spark, tmp_path):
     seen = []
     products = write_products(spark, root, target)
 
-    def handle(feeds):
+    def handle(feeds, batch_id):
         seen.append(sorted(r.explotation for r in feeds.collect()))
-        products(feeds)
+        products(feeds, batch_id)
 
     def run():
         ingest_new_feeds(spark, root, str(tmp_path / "checkpoint"), handle).awaitTermination()
@@ -151,7 +152,7 @@ def test_ingest_hands_on_new_feeds_only(spark, tmp_path):
     run()
     run()
     assert seen == [["1"], ["2"]]
-    calls = spark.read.parquet(f"{target}/MACRO_STOPS")
+    calls = read_product(spark, f"{target}/MACRO_STOPS")
     assert {(r.explotation, r.route_id, r.stop_id, r.final_color) for r in calls.collect()} == {
         ("1", "007", "0x", "#001122"),
         ("2", "007", "0x", "#001122"),
