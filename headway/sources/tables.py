@@ -73,9 +73,10 @@ def by_header(spark: SparkSession, files: DataFrame) -> dict[tuple[str, ...], li
                 F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.col("value").alias("header")
             )
             first = lines.mapInArrow(_first_rows, "path string, at bigint, header string").where("at = 0")
-            # The same file is written ``file:/a`` here and ``file:///a`` there, and with signs escaped.
-            name = lambda c: F.regexp_replace(F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c), "^([a-z0-9]+:)/+", "$1/")
-            headed = files.select(name(F.col("path")).alias("name"), "place").join(first.select(name(F.col("path")).alias("name"), "header"), "name")
+            # The same file is ``file:/a`` here, and ``file:///a`` there with its signs escaped once more.
+            name = lambda c: F.regexp_replace(c, "^([a-z0-9]+:)/+", "$1/")
+            plain = F.coalesce(F.try_url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "path")
+            headed = files.select(name("path").alias("name"), "place").join(first.select(name(plain).alias("name"), "header"), "name")
             groups = headed.groupBy("header").agg(F.collect_list("place").alias("places")).collect()
     finally:
         files.unpersist()

@@ -245,7 +245,7 @@ _COMPLETE = f"""{with_views("listing")},
     files AS (SELECT *, regexp_extract(path, 'GTFS/([^/]+)/', 1) AS gtfs_type,
         regexp_extract(path, 'explotation=(\\d+)/', 1) AS explotation,
         regexp_extract(path, 'contract=(\\d+)/', 1) AS contract,
-        regexp_extract(path, 'version=([^/]+)/', 1) AS version FROM listing),
+        replace(regexp_extract(path, 'version=([^/]+)/', 1), '%3A', ':') AS version FROM listing),
     found AS (SELECT {F}, list_sort(list(DISTINCT gtfs_type)) AS kinds FROM files
         WHERE explotation <> '' AND path LIKE '%.txt' AND gtfs_type IN {_in(_KINDS)}
         GROUP BY {F} HAVING list_contains(list(gtfs_type), 'AGENCY')),
@@ -254,6 +254,8 @@ _COMPLETE = f"""{with_views("listing")},
             AS missing_types,
         len(kinds) = {len(_KINDS)} AS is_complete FROM found)"""
 
+_STARTED = "try_cast(replace(started_at, 'Z', '') AS TIMESTAMP) DESC NULLS LAST, started_at DESC, id"
+_BROKEN = "explotation = '1' AND contract = '1' AND version = '2025:04'"
 _FAILED = "coalesce(message, error, 'Desconocido') AS error_type"
 
 
@@ -434,6 +436,9 @@ ORACLE: dict[str, str] = {
     "listing_of_feed": _view("listing")
     + """ WHERE path LIKE '%.txt' AND split_part(path, '/', 3) IN ('STOPS', 'TRIPS')
         AND contains(path, '/explotation=7/contract=1/version=v_2/')""",
+    "listing_of_escaped_feed": _view("listing")
+    + """ WHERE path LIKE '%.txt' AND split_part(path, '/', 3) IN ('STOPS', 'TRIPS')
+        AND contains(path, '/explotation=7/contract=1/version=v%3A4/')""",
     "listing_folders": f"""{with_views("listing")}
         SELECT left(path, length(path) - length(split_part(path, '/', -1)) - 1) AS folder,
                count(*) AS n_files FROM listing
@@ -517,7 +522,7 @@ ORACLE: dict[str, str] = {
             coalesce(u.updated_at, l.last_updated) AS last_updated
         FROM ledger l LEFT JOIN last u ON l.P_EMPRESA = u.P_EMPRESA AND l.P_CONTR = u.P_CONTR
             AND l.P_VERSION = u.P_VERSION""",
-    "next_pending": f"""{LEDGER} SELECT id, status, registered_at FROM ledger
+    "next_pending": f"""{LEDGER} SELECT id, status, registered_at, row_number() OVER (ORDER BY registered_at NULLS FIRST, id)::INT AS position FROM ledger
         WHERE status = 'pending' AND P_EMPRESA <> '' AND P_CONTR <> '' AND P_VERSION <> '' ORDER BY registered_at NULLS FIRST, id LIMIT 20""",
     "ledger_claim": f"""{LEDGER}, chosen AS (SELECT id FROM ledger WHERE status = 'pending'
             AND P_EMPRESA <> '' AND P_CONTR <> '' AND P_VERSION <> '' ORDER BY registered_at NULLS FIRST, id LIMIT 7)
@@ -555,10 +560,10 @@ ORACLE: dict[str, str] = {
         SELECT total, completed, round(completed * 100.0::DOUBLE / total, 2) AS completion_percentage,
                completed * 100 // total AS progress,
                completed * 100.0::DOUBLE / total AS progress_percentage FROM c""",
-    "recent_runs": f"""{LEDGER} SELECT id, status, started_at FROM ledger
-        WHERE coalesce(started_at, '') <> '' ORDER BY started_at DESC, id LIMIT 5""",
-    "failed_runs": f"""{LEDGER} SELECT id, last_updated, message FROM ledger
-        WHERE status = 'failed' ORDER BY last_updated DESC, id LIMIT 10""",
+    "recent_runs": f"""{LEDGER} SELECT id, status, started_at, row_number() OVER (ORDER BY {_STARTED})::INT AS position
+        FROM ledger WHERE coalesce(started_at, '') <> '' ORDER BY {_STARTED} LIMIT 5""",
+    "failed_runs": f"""{LEDGER} SELECT id, last_updated, message, row_number() OVER (ORDER BY last_updated DESC, id)::INT AS position
+        FROM ledger WHERE status = 'failed' ORDER BY last_updated DESC, id LIMIT 10""",
     "errors_by_message": f"""{LEDGER} SELECT {_FAILED}, count(*) AS n FROM ledger
         WHERE status = 'failed' GROUP BY 1""",
     "error_runs": f"{LEDGER} SELECT {_FAILED}, {RUN}, id FROM ledger WHERE status = 'failed'",
@@ -590,3 +595,32 @@ ORACLE["combo_json_round_trip"] = ORACLE["combo_documents"]
 ORACLE["registration_audit"] = (
     f"SELECT *, '{AS_OF}' AS timestamp, 'manifest' AS combinations_file FROM ({ORACLE['outcome_tally']})"
 )
+_REDELIVERED = "explotation = '1' AND contract = '2' AND trip_id LIKE '%1'"
+_KEYS = ("route_id", "trip_id", "shape_id")
+_DISTINCT = " UNION ALL ".join(f"SELECT {F}, '{k}' AS key, count(DISTINCT {k}) AS n_distinct FROM trips WHERE {k} IS NOT NULL GROUP BY {F}" for k in _KEYS)
+ORACLE |= {
+    "read_errors": """SELECT '1' AS explotation, '1' AS contract, '2025:04' AS version, 'routes' AS "table", count(*) AS n_rows,
+        min(CAST(n_nationkey AS VARCHAR) || ',' || n_name || ',AB12CD,extra') AS example FROM nation WHERE n_nationkey % 5 = 0""",
+    "checked_outcomes": f"""SELECT {F}, CASE WHEN {_BROKEN} THEN 'error' ELSE status END AS status,
+        CASE WHEN {_BROKEN} THEN 'Filas ilegibles en: routes' ELSE message END AS message,
+        CASE WHEN NOT ({_BROKEN}) THEN n_routes END AS n_routes FROM ({ORACLE["preprocess_outcomes"]})""",
+    "redelivered_product": _view("trips") + f" WHERE explotation = '2' OR ({_REDELIVERED})",
+    "product_manifest": f"""{with_views("trips")}
+        SELECT {F}, CAST(0 AS BIGINT) AS commit, count(*) AS n_rows FROM trips GROUP BY {F} UNION ALL
+        SELECT {F}, 1, count(*) FILTER ({_REDELIVERED}) FROM trips WHERE explotation = '1' GROUP BY {F}""",
+    "stored_feed": _view("trips") + f" WHERE {_BROKEN}",
+    "stored_feeds": _view("trips") + " WHERE contract = '2'",
+    "claimed_twice": f"""{LEDGER}, chosen AS (SELECT id FROM ledger WHERE status = 'pending'
+            AND P_EMPRESA <> '' AND P_CONTR <> '' AND P_VERSION <> '' ORDER BY registered_at NULLS FIRST, id LIMIT 14)
+        SELECT id, CASE WHEN id IN (SELECT id FROM chosen) THEN 'processing' ELSE status END AS status,
+        CASE WHEN id IN (SELECT id FROM chosen) THEN 'run-' || id || '-20240130200000' END
+            AS execution_id FROM ledger""",
+    "claimed_runs": f"""{LEDGER} SELECT id, P_EMPRESA, P_CONTR, P_VERSION, 'run-' || id || '-20240130200000' AS execution_id FROM ledger WHERE status = 'pending'
+            AND P_EMPRESA <> '' AND P_CONTR <> '' AND P_VERSION <> '' ORDER BY registered_at NULLS FIRST, id LIMIT 7 OFFSET 7""",
+    "ledger_document": ORACLE["ledger_round_trip"],
+    "document_counters": f"SELECT *, '{AS_OF}' AS last_updated FROM ({ORACLE['status_counts']})",
+    "written_manifest": f"SELECT id, P_EMPRESA, P_CONTR, P_VERSION, status, discovery_time, gtfs_types FROM ({ORACLE['manifest']})",
+    "written_reports": ORACLE["errors_by_message"],
+    "distinct_keys": f"{with_views('trips')} {_DISTINCT}",
+    "sketch_estimates": f"{with_views('trips')} SELECT *, TRUE AS within FROM ({_DISTINCT})",
+}

@@ -21,11 +21,16 @@ from headway.operators import (
 from headway.plans import combos as cmb, discover, preprocess as pre, products
 from headway.schemas import FEED, LEDGER, LEDGER_KEY, MACRO, SOURCES
 from headway.session import shared_dir, tune
-from headway.sources.ledger_files import append_audit, read_ledger, write_ledger
+from headway.sources.commits import commit_product, product_commits, read_product
+from headway.sources.ledger_files import append_audit, read_ledger, read_status_document, write_ledger
 from headway.sources.listing import list_files
 from headway.sources.requests import format_requests, parse_requests
+from headway.sources.snapshots import claim_runs, commit_snapshot, read_snapshot, write_status_document
 from headway.sources.tables import (
     empty_table,
+    of_feed,
+    of_feeds,
+    read_checked,
     read_feeds,
     read_table,
     write_feed_table,
@@ -457,6 +462,11 @@ def listing_of_feed(spark, sf_dir):
     return checks.filter_listing(table(spark, sf_dir, "listing"), ("7", "1", "v_2"), ("STOPS", "TRIPS"))
 
 
+@query
+def listing_of_escaped_feed(spark, sf_dir):
+    return checks.filter_listing(table(spark, sf_dir, "listing"), ("7", "1", "v:4"), ("STOPS", "TRIPS"))
+
+
 @query
 def listing_folders(spark, sf_dir):
     return checks.count_by_folder(checks.filter_listing(table(spark, sf_dir, "listing")))
@@ -569,7 +579,8 @@ def ledger_updates(spark, sf_dir):
 
 @query
 def next_pending(spark, sf_dir):
-    return led.next_pending(_ledger(spark, sf_dir), 20).select("id", "status", "registered_at")
+    found = led.next_pending(_ledger(spark, sf_dir), 20).select("id", "status", "registered_at")
+    return reports.ranked(found, F.col("registered_at").asc_nulls_first(), "id")
 
 
 @query
@@ -619,12 +630,12 @@ def completion_pct(spark, sf_dir):
 
 @query
 def recent_runs(spark, sf_dir):
-    return reports.recent_runs(_ledger(spark, sf_dir)).select("id", "status", "started_at")
+    return reports.ranked_recent(_ledger(spark, sf_dir)).select("id", "status", "started_at", "position")
 
 
 @query
 def failed_runs(spark, sf_dir):
-    return reports.failed_runs(_ledger(spark, sf_dir), 10).select("id", "last_updated", "message")
+    return reports.ranked_failed(_ledger(spark, sf_dir), 10).select("id", "last_updated", "message", "position")
 
 
 @query
@@ -701,7 +712,7 @@ def ingest_feeds(spark, sf_dir):
     handle = write_products(spark, root, target)
     stream = ingest_new_feeds(spark, root, shared_dir(spark, "stream"), handle, exact_names=False)
     stream.awaitTermination()
-    calls = spark.read.parquet(f"{target}/MACRO_STOPS")
+    calls = read_product(spark, f"{target}/MACRO_STOPS")
     return calls.select(*FEED, "trip_id", "stop_id", "stop_sequence", "lines_by_stop", "final_color")
 
 
@@ -727,3 +738,137 @@ def listed_files(spark, sf_dir):
     root = _store(spark, sf_dir, "routes")
     found = checks.with_feed_columns(list_files(spark, root))
     return found.select(*FEED, "gtfs_type").distinct()
+
+
+def _broken_store(spark, sf_dir):
+    """Feed tables of which one feed has a second routes file, some of whose rows have a field too many."""
+    root = _store(spark, sf_dir, "routes", "trips", "stop_times", "stops", "shapes")
+    extra = F.when(F.col("n_nationkey") % 5 == 0, ",extra").otherwise("")
+    nations = table(spark, sf_dir, "nation")
+    rows = nations.select(F.concat_ws(",", "n_nationkey", "n_name", F.concat(F.lit("AB12CD"), extra)).alias("value"), F.lit(1).alias("nth"))
+    header = nations.agg(F.lit("route_id,route_short_name,route_color").alias("value"), F.lit(0).alias("nth"))
+    one = rows.unionAll(header).coalesce(1).sortWithinPartitions("nth", "value")
+    path = f"{root}/GTFS/ROUTES/explotation=1/contract=1/version=2025%3A04"
+    one.select("value").write.mode("append").text(path)
+    return root
+
+
+@query
+def read_errors(spark, sf_dir):
+    return read_checked(spark, _broken_store(spark, sf_dir)).errors
+
+
+@query
+def checked_outcomes(spark, sf_dir):
+    found = read_checked(spark, _broken_store(spark, sf_dir))
+    done = pre.preprocess(found.tables, "run", found.errors).outcomes
+    return done.select(*FEED, "status", "message", "n_routes")
+
+
+def _redelivered(spark, sf_dir):
+    """Trips in two commits, the second one written twice: its feeds have fewer rows or none."""
+    path = shared_dir(spark, "product")
+    trips = table(spark, sf_dir, "trips")
+    commit_product(trips, trips, path, 0)
+    again = trips.where("explotation = '1'")
+    for _ in range(2):
+        commit_product(again.where("contract = '2' AND trip_id LIKE '%1'"), again, path, 1)
+    return path
+
+
+@query
+def redelivered_product(spark, sf_dir):
+    return read_product(spark, _redelivered(spark, sf_dir))
+
+
+@query
+def product_manifest(spark, sf_dir):
+    return product_commits(spark, _redelivered(spark, sf_dir)).select(*FEED, "commit", "n_rows")
+
+
+def _stored_trips(spark, sf_dir):
+    path = shared_dir(spark, "trips")
+    write_feed_table(table(spark, sf_dir, "trips"), path)
+    return spark.read.parquet(path)
+
+
+@query
+def stored_feed(spark, sf_dir):
+    return of_feed(_stored_trips(spark, sf_dir), "1", "1", "2025:04")
+
+
+@query
+def stored_feeds(spark, sf_dir):
+    feeds = table(spark, sf_dir, "routes").where("contract = '2'")
+    return of_feeds(_stored_trips(spark, sf_dir), feeds)
+
+
+def _claims(spark, sf_dir):
+    """A ledger of which two callers, one after the other, have claimed seven runs; and the second's."""
+    path = shared_dir(spark, "snapshots")
+    commit_snapshot(_ledger(spark, sf_dir), path, 0, AS_OF)
+    claim_runs(spark, path, 7, AS_OF)
+    return path, claim_runs(spark, path, 7, AS_OF)
+
+
+@query
+def claimed_twice(spark, sf_dir):
+    return read_snapshot(spark, _claims(spark, sf_dir)[0]).select("id", "status", "execution_id")
+
+
+@query
+def claimed_runs(spark, sf_dir):
+    return _claims(spark, sf_dir)[1].select("id", *LEDGER_KEY, "execution_id")
+
+
+def _document(spark, sf_dir):
+    path = shared_dir(spark, "document")
+    write_status_document(_ledger(spark, sf_dir), path, AS_OF)
+    return path
+
+
+@query
+def ledger_document(spark, sf_dir):
+    return read_status_document(spark, _document(spark, sf_dir)).select(
+        "id", *LEDGER_KEY, "status", "retries", "started_at", "message"
+    )
+
+
+@query
+def document_counters(spark, sf_dir):
+    return spark.read.json(_document(spark, sf_dir)).drop("combinations")
+
+
+@query
+def written_manifest(spark, sf_dir):
+    path = shared_dir(spark, "manifest")
+    discover.write_manifest(discover.manifest_of(table(spark, sf_dir, "listing"), AS_OF), path, AS_OF, "store")
+    entries = spark.read.schema("id string, P_EMPRESA string, P_CONTR string, P_VERSION string, status string, discovery_time string, gtfs_types array<string>").json(f"{path}/combinations")
+    return entries.withColumn("gtfs_types", joined("gtfs_types"))
+
+
+@query
+def written_reports(spark, sf_dir):
+    path = shared_dir(spark, "reports")
+    reports.write_reports(_ledger(spark, sf_dir), path)
+    return spark.read.json(f"{path}/errors/by_message")
+
+
+_COUNTED = ("route_id", "trip_id", "shape_id")
+
+
+@query
+def distinct_keys(spark, sf_dir):
+    return keys.distinct_keys(table(spark, sf_dir, "trips"), _COUNTED)
+
+
+@query
+def sketch_estimates(spark, sf_dir):
+    """Whether the estimate of sketches of two halves, put together, is within three of its errors."""
+    trips = table(spark, sf_dir, "trips")
+    odd = F.col("trip_id").rlike("[13579]$")
+    parts = [keys.key_sketches(trips.where(half), _COUNTED) for half in (odd, ~odd)]
+    merged = keys.merge_sketches(parts[0].unionAll(parts[1])).drop("sketch")
+    found = keys.distinct_keys(trips, _COUNTED).join(merged, [*FEED, "key"])
+    off = F.abs(F.col("estimate") - F.col("n_distinct"))
+    return found.select(*FEED, "key", "n_distinct", (off <= F.greatest(F.lit(1), F.col("n_distinct") * 0.05)).alias("within"))

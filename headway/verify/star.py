@@ -247,7 +247,7 @@ VIEWS: dict[str, View] = {
             },
         ],
     ),
-    # One file per event; not every feed gets every type.
+    # One file per event; not every feed gets every type, and one version has a sign that is escaped.
     "listing": View(
         "events",
         [
@@ -263,7 +263,7 @@ VIEWS: dict[str, View] = {
                 "path": "'store/GTFS/' || kind || '/explotation=' "
                 f"|| CASE WHEN event_id % 61 = 0 THEN 'x' ELSE '' END || {_text('user_id')} "
                 f"|| '/contract=' || {_text('event_id % 3')} "
-                f"|| '/version=v_' || {_text('event_id % 5')} || '/' || lower(kind) "
+                f"|| '/version=' || CASE WHEN event_id % 5 = 4 THEN 'v%3A4' ELSE 'v_' || {_text('event_id % 5')} END || '/' || lower(kind) "
                 "|| CASE WHEN event_id % 67 = 0 THEN '.bak' ELSE '.txt' END"
             },
         ],
