@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from headway.operators.joins import semi_filter
 from headway.schemas import FEED
-from headway.sources.tables import write_feed_table
+from headway.sources.tables import pruned_by, write_feed_table
 
 _MANIFEST = ", ".join([*[f"{name} string" for name in FEED], "n_rows bigint", "columns string", "commit bigint"])
 
@@ -62,4 +62,4 @@ def read_product(spark: SparkSession, path: str) -> DataFrame:
     columns = T.StructType.fromJson(json.loads(newest))
     schema = T.StructType([*columns.fields, T.StructField("commit", T.LongType())])
     rows = spark.read.schema(schema).parquet(f"{path.rstrip('/')}/data")
-    return rows.join(live_feeds(spark, path), [*FEED, "commit"], "left_semi").select(*columns.names)
+    return pruned_by(rows, live_feeds(spark, path), [*FEED, "commit"]).select(*columns.names)

@@ -29,6 +29,10 @@ NULL_WORDS = (
 )
 
 
+#: Feeds that may be broadcast to prune a scan.
+FEW_KEYS = 10_000
+
+
 def table_root(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/GTFS/{name.upper()}"
 
@@ -224,9 +228,19 @@ def of_feed(df: DataFrame, explotation: str, contract: str, version: str) -> Dat
 def of_feeds(df: DataFrame, feeds: DataFrame) -> DataFrame:
     """Rows of the feeds of a frame; on storage only their folders are read, which Spark finds out at
     run time from the frame."""
-    # Spark prunes by a side that is filtered; feeds without a full key match nothing.
-    named = feeds.select(*FEED).where(" AND ".join(f"{name} <> ''" for name in FEED)).distinct()
-    return df.join(named, list(FEED), "left_semi")
+    return pruned_by(df, feeds.select(*FEED), FEED)
+
+
+def pruned_by(df: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Rows whose folder columns ``names`` are among ``keys``.
+
+    Up to ``FEW_KEYS`` keys are broadcast, and Spark then reads their folders only: a folder name
+    has 255 bytes at most, so that is bounded.  More keys go through a shuffle.
+    """
+    # Spark prunes by a side that is filtered; a row without a full key matches nothing.
+    known = keys.select(*names).where(" AND ".join(f"length({name}) > 0" for name in names)).distinct()
+    few = known.limit(FEW_KEYS + 1).count() <= FEW_KEYS
+    return df.join(F.broadcast(known) if few else known, list(names), "left_semi")
 
 
 def write_feed_table(
