@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from headway.functions import run_id
 from headway.operators.joins import anti_filter, feed_key, repeated_routes
+from headway.operators.keys import LADDER, Ladder, key_choice
 from headway.plans.combos import combo_rows, combos, valid_routes
 from headway.schemas import FEED
 
@@ -73,6 +74,16 @@ def outcomes(
     )
 
 
+def with_rung(outcomes: DataFrame, tables: dict[str, DataFrame], ladder: Ladder = LADDER) -> DataFrame:
+    """Outcomes with the key spelling each feed's routes are matched by, and the ids common under it.
+
+    ``none`` where no spelling gives a common id; null for feeds without trips and routes.
+    """
+    choice = key_choice(tables["trips"], tables["routes"], "route_id", ladder)
+    named = choice.withColumnsRenamed({"rung": "key_rung", "n_common": "n_common_keys"})
+    return outcomes.join(named, list(FEED), "left")
+
+
 def preprocess(
     tables: dict[str, DataFrame], execution_id: str | None = None, errors: DataFrame | None = None
 ) -> Preprocessed:
@@ -88,7 +99,7 @@ def preprocess(
         rows=good,
         combos=combos(good, tables["routes"]),
         valid_routes=valid_routes(good),
-        outcomes=outcomes(tables, rows, execution_id, errors),
+        outcomes=with_rung(outcomes(tables, rows, execution_id, errors), tables),
     )
 
 

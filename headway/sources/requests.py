@@ -37,7 +37,7 @@ def parse_requests(df: DataFrame, column: str) -> DataFrame:
 
 
 def format_requests(df: DataFrame) -> DataFrame:
-    """The envelope text of each row's run, as a list of one."""
-    body = F.to_json(F.struct("P_EMPRESA", "P_VERSION", "P_CONTR"))
+    """The envelope text of each row's run, as a list of one, with all request fields the frame has."""
+    body = F.to_json(F.struct(*[name for name in REQUEST_FIELDS if name in df.columns]))
     envelope = F.struct(F.lit(200).alias("statusCode"), body.alias("body"))
     return df.withColumn("request", F.to_json(F.array(envelope)))

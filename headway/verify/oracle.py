@@ -455,7 +455,7 @@ ORACLE: dict[str, str] = {
             'v_' || CAST(event_id AS VARCHAR) AS P_VERSION, CAST(NULL AS VARCHAR) AS P_LINE
         FROM (SELECT event_id, user_id, unnest(CASE WHEN event_id % 4 = 1 THEN [0, 1] ELSE [0] END)
               AS turn FROM events)""",
-    "requests_round_trip": f"""{with_views("manifest")} SELECT {RUN}, 200 AS status_code FROM manifest""",
+    "requests_round_trip": f"""{with_views("manifest")} SELECT {RUN}, 'es' AS P_ENV, P_EMPRESA || '-' || P_VERSION AS NOMBRE_EMPRESA, 200 AS status_code FROM manifest""",
     "required_fields": f"""{with_views("manifest")} SELECT {RUN},
         CASE WHEN P_CONTR IS NULL THEN 'Campo requerido P_CONTR no encontrado'
              WHEN P_CONTR = '' THEN 'Campo P_CONTR está vacío' ELSE '' END AS message,
@@ -624,3 +624,4 @@ ORACLE |= {
     "distinct_keys": f"{with_views('trips')} {_DISTINCT}",
     "sketch_estimates": f"{with_views('trips')} SELECT *, TRUE AS within FROM ({_DISTINCT})",
 }
+ORACLE["outcome_rungs"] = f"SELECT {F}, rung AS key_rung, n_common AS n_common_keys FROM ({ORACLE['key_choice']})"

@@ -226,7 +226,12 @@ def dropped_trips(spark, sf_dir):
 def preprocess_outcomes(spark, sf_dir):
     _, _, trips, times = _combo_rows(spark, sf_dir)
     tables = {**feed_tables(spark, sf_dir), "trips": trips, "stop_times": times}
-    return pre.preprocess(tables, execution_id="exec-1").outcomes
+    return pre.preprocess(tables, execution_id="exec-1").outcomes.drop("key_rung", "n_common_keys")
+
+
+@query
+def outcome_rungs(spark, sf_dir):
+    return pre.preprocess(feed_tables(spark, sf_dir)).outcomes.select(*FEED, "key_rung", "n_common_keys")
 
 
 @query
@@ -498,8 +503,9 @@ def requests_decode(spark, sf_dir):
 
 @query
 def requests_round_trip(spark, sf_dir):
-    runs = format_requests(table(spark, sf_dir, "manifest")).select("request")
-    return parse_requests(runs, "request").select(*LEDGER_KEY, "status_code")
+    named = F.concat_ws("-", "P_EMPRESA", "P_VERSION").alias("NOMBRE_EMPRESA")
+    runs = format_requests(table(spark, sf_dir, "manifest").select("*", F.lit("es").alias("P_ENV"), named)).select("request")
+    return parse_requests(runs, "request").select(*LEDGER_KEY, "P_ENV", "NOMBRE_EMPRESA", "status_code")
 
 
 @query

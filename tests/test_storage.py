@@ -141,10 +141,10 @@ def test_feeds_are_pruned_at_run_time(spark, tmp_path, monkeypatch):
     feeds.write.parquet(path)
     found = of_feeds(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(path))
     assert [r.x for r in found.collect()] == [2]
-    assert "dynamicpruning" in found._jdf.queryExecution().toString().lower()
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString().lower()
     monkeypatch.setattr("headway.sources.tables.FEW_KEYS", 1)
     shuffled = of_feeds(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(path))
-    assert [r.x for r in shuffled.collect()] == [2] and "dynamicpruning" not in shuffled._jdf.queryExecution().toString().lower()
+    assert [r.x for r in shuffled.collect()] == [2] and "BroadcastHint" not in shuffled._jdf.queryExecution().analyzed().toString()
 
 
 FEED_SCHEMA = ", ".join(f"{name} string" for name in FEED)
