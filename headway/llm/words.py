@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,18 +26,8 @@ SIGNS = _table([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 _SMALL = np.arange(256, dtype=np.uint8)
 _SMALL[0x41:0x5B] += 32
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_BASE, _INVERSE)):
-            table = np.full(n, base, U64)
-            table[0] = 1
-            _powers[i] = np.cumprod(table)
-    return _powers
+#: Bytes of a run from which a library hash is taken.
+LONG = 64
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -60,7 +51,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def word_chunks(column: pa.Array, separators: np.ndarray) -> Iterator[tuple]:
     """The text in pieces that end where a word ends: where its words start and end in the bytes,
-    sums that give the code of any run of bytes, and the factors for them (see ``run_of_bytes``).
+    the piece's bytes with A-Z in lower case, and where it begins (see ``run_of_bytes``).
     """
     data, bounds = text_bytes(column)
     at, last = int(bounds[0]), int(bounds[-1])
@@ -86,17 +77,34 @@ def word_chunks(column: pa.Array, separators: np.ndarray) -> Iterator[tuple]:
         begin[1:] |= word[1:] & ~word[:-1]
         stop = word & first[1:]
         stop[:-1] |= word[:-1] & ~word[1:]
-        power, inverse = _power_tables(end - at + 1)
-        total = np.zeros(end - at + 1, U64)
-        np.cumsum((low.astype(U64) + U64(1)) * power[: end - at], out=total[1:])
-        yield np.flatnonzero(begin) + at, np.flatnonzero(stop) + 1 + at, total, inverse, at
+        yield np.flatnonzero(begin) + at, np.flatnonzero(stop) + 1 + at, low, at
         at = end
 
 
 def run_of_bytes(chunk, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Codes of the byte runs from ``starts`` to ``ends`` within a chunk."""
-    _, _, total, inverse, at = chunk
-    return mix64((total[ends - at] - total[starts - at]) * inverse[starts - at])
+    """64-bit codes of the byte runs from ``starts`` to ``ends`` within a chunk.
+
+    Blocks of 8 bytes are mixed in one after the other by a bijection, so runs of up to 8 bytes never
+    share a code with one of their length; long runs get a library hash.
+    """
+    low, at = chunk[2:]
+    size = ends - starts
+    # A 64-bit value at every byte; nothing is copied but what is looked up.
+    padded = np.concatenate([low, np.zeros(8, np.uint8)])
+    blocks = np.ndarray(len(low) + 1, "<u8", padded, strides=(1,))
+    out = mix64(size.astype(U64) * U64(0x9E3779B97F4A7C15))
+    short = np.flatnonzero(size <= LONG)
+    for begin in range(0, LONG, 8):
+        short = short[size[short] > begin]
+        if not len(short):
+            break
+        left = np.minimum(size[short] - begin, 8).astype(U64)
+        block = blocks[starts[short] - at + begin] & (U64(0xFFFFFFFFFFFFFFFF) >> (U64(64) - left * U64(8)))
+        out[short] = mix64((out[short] ^ block) * U64(0xD1342543DE82EF95) + U64(begin))
+    for i in np.flatnonzero(size > LONG).tolist():
+        run = low[starts[i] - at : ends[i] - at].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(run, digest_size=8).digest(), "little")
+    return out
 
 
 def word_codes(column: pa.Array, separators: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
