@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from headway.functions import (
@@ -83,14 +85,18 @@ def macro(
 
     The kind of each route follows from the distinct patterns of the trips and the distinct ids of
     the shapes.  The trips are then used only for routes without geometry, and the points go through
-    one join.
+    one join.  The shapes are read once for their ids and once for the points.
     """
     trips = clean_trips(trips)
     if shapes is None:
         return conform(routed_trips(trips, route_lookup(trips, routes, ladder)), MACRO, lead=FEED)
 
     patterns = trip_patterns(trips)
-    shape_keys = shapes.select(*FEED, clean_id("shape_id").alias("shape_id")).distinct()
+    # Both uses of the shapes need their counts, so they share one shuffle of ids; a distinct
+    # of ids would be folded into each use, and the shapes read for each.  No trip has the empty
+    # shape id that stands for null, and ids that can't be null get no filter of their own.
+    ids = shapes.select(*FEED, or_empty(clean_id("shape_id")).alias("shape_id"))
+    shape_keys = ids.groupBy(*feed_key("shape_id")).agg(F.count("*").alias("n_points")).where("n_points > 0")
     lookup = _lookup(patterns, routes, ladder)
     kinds = _with_kind(lookup, patterns, shape_keys)
 
@@ -139,6 +145,27 @@ def clean_stop_times(stop_times: DataFrame) -> DataFrame:
     )
 
 
+#: Text columns that travel with a stop time in one array, the stop first.
+CALL = ("stop_id", "stop_sequence", "arrival_time", "departure_time")
+
+
+def packed_calls(times: DataFrame) -> DataFrame:
+    """Stop times as (feed, trip_id, call), where ``call`` is an array of the texts of ``CALL``.
+
+    Two branches of a plan that join this with the trips ask for the same columns, whichever of
+    them they use later.  So Spark reads and shuffles the stop times once and gives the shuffle to
+    both.
+    """
+    return times.select(*feed_key("trip_id"), F.array(*map(as_text, CALL)).alias("call"))
+
+
+def unpacked(calls: DataFrame, columns: Sequence[str] = CALL) -> DataFrame:
+    """Columns of ``CALL`` in place of ``call``; as in clean stop times, no stop is null."""
+    cell = {name: F.col("call")[i] for i, name in enumerate(CALL)}
+    cell["stop_id"] = or_empty(cell["stop_id"])
+    return calls.select("*", *[cell[name].alias(name) for name in columns]).drop("call")
+
+
 def stop_lines(
     trips: DataFrame, routes: DataFrame, stop_times: DataFrame, ladder: Ladder = LADDER
 ) -> DataFrame:
@@ -146,12 +173,9 @@ def stop_lines(
 
     Only ids are read from the stop times here.
     """
-    return _stop_lines(named_trips(trips, routes, ladder), clean_stop_times(stop_times))
-
-
-def _stop_lines(named: DataFrame, times: DataFrame) -> DataFrame:
-    names = named.select(*feed_key("trip_id", "route_short_name"))
-    return lines_by_stop(times.select(*feed_key("trip_id", "stop_id")).join(names, feed_key("trip_id")))
+    names = named_trips(trips, routes, ladder).select(*feed_key("trip_id", "route_short_name"))
+    times = clean_stop_times(stop_times).select(*feed_key("trip_id", "stop_id"))
+    return lines_by_stop(trip_calls(names, times))
 
 
 def macro_stops(
@@ -165,17 +189,19 @@ def macro_stops(
     """Every scheduled stop of all feeds with trip, stop, route, labels and lines.
 
     The lines are joined to the stops and not to the calls, so the stop times go through one
-    join on the trip and one on the stop.  ``strict`` casts to the declared types; by default
-    ``stop_id`` and ``stop_sequence`` stay text.
+    join on the trip and one on the stop.  The lines come from the same shuffle of the stop times
+    as the calls.  ``strict`` casts to the declared types; by default the columns of the stop times
+    are text.
     """
     named = named_trips(trips, routes, ladder)
-    times = clean_stop_times(stop_times)
-    lines = _stop_lines(named, times)
+    packed = packed_calls(clean_stop_times(stop_times))
+    names = named.select(*feed_key("trip_id", "route_short_name"))
+    lines = lines_by_stop(unpacked(trip_calls(names, packed), ["stop_id"]))
     places = stops.select(
         *FEED, clean_id("stop_id").alias("stop_id"), "stop_name", "stop_lat", "stop_lon"
     ).join(lines, feed_key("stop_id"), "left")
 
-    calls = calls_with_stops(trip_calls(named, times), reshuffled(places, "stop_id"))
+    calls = calls_with_stops(unpacked(trip_calls(named, packed)), reshuffled(places, "stop_id"))
     labelled = calls.withColumns(
         {
             "stop_sequence": as_text("stop_sequence"),

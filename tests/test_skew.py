@@ -163,3 +163,27 @@ def test_combo_documents_are_cut_into_bounded_parts(spark, skewed):
 def test_key_samples_are_cut_before_the_shuffle(spark, skewed):
     df = key_overlap(skewed["trips"], skewed["stop_times"], "trip_id")
     assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def stored_scans(plan, path):
+    """Scans of a stored table in a final plan; one that is used again shows as a reused exchange."""
+    final = plan.split("== Initial Plan ==")[0]
+    return sum("FileScan" in line and path in line for line in final.splitlines())
+
+
+def test_stop_times_are_read_once(spark, skewed):
+    t = skewed
+    with small_partitions(spark):
+        df = macro_stops(t["trips"], t["routes"], t["stop_times"], t["stops"])
+        rows, plan = final_plan(df)
+    assert "isFinalPlan=true" in plan and stored_scans(plan, "/stop_times]") == 1, plan
+    assert plan.split("== Initial Plan ==")[0].count("ReusedExchange") >= 1
+    lines = {r.stop_id: r.lines_by_stop for r in rows}
+    assert lines == {r.stop_id: r.lines_by_stop for r in stop_lines(t["trips"], t["routes"], t["stop_times"]).collect()}
+
+
+def test_shapes_are_read_for_ids_and_for_points(spark, skewed):
+    t = skewed
+    with small_partitions(spark):
+        _, plan = final_plan(macro(t["trips"], t["routes"], t["shapes"]))
+    assert stored_scans(plan, "/shapes]") == 2, plan
