@@ -36,8 +36,9 @@ def op2_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "archive")
-    warc.write_archive(_table(spark, sf_dir, "pages"), folder)
-    return warc.record_table(warc.read_archive(spark, folder))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    warc.write_archive(_table(spark, sf_dir, "pages"), folder, buckets=buckets)
+    return warc.record_table(warc.read_records(spark, folder, buckets))
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

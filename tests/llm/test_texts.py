@@ -37,6 +37,38 @@ def test_archive_round_trip(llm):
     assert table == [(0, n, "revisit", 1), (1, n, "response", None), (2, 5, "response", None), (3, n, "revisit", 1), (3, n, "revisit", 1), (4, 5, "response", None), (5, 0, "response", None)]
 
 
+def test_records_are_parsed_from_buckets(llm):
+    body, other = "<p>" + "é" * 80 + "</p>", "a\r\n\r\nb" * 30
+    rows = [(3, "http://ü\nb", body), (1, "http://b", body), (2, None, "small"), (4, "u", "small"), (5, "u", None), (None, "n", body), (3, "again", body), (6, "u", other), (7, "u", other), (8, "u", "\r\n\r\n")]
+    pages = llm.createDataFrame(rows, "page_id bigint, url string, html string")
+    folder, plain = shared_folder(llm, "archive"), shared_folder(llm, "archive")
+    warc.write_archive(pages, folder, buckets=8)
+    warc.write_archive(pages, plain)
+    before = llm.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    llm.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = warc.read_records(llm, folder, 8)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        llm.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Bucketed: true" in plan
+    found = [sorted((r["page_id"] or 0, r["header"], bytes(r["record"])) for r in df.collect()) for df in (warc.read_records(llm, folder, 8), warc.read_archive(llm, folder, 8), warc.read_archive(llm, plain))]
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+    table = sorted((r["page_id"] or 0, r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in warc.record_table(warc.read_records(llm, folder, 8)).collect())
+    first = {body: 1, other: 6}
+    wanted = []
+    for page, _, html in rows:
+        data = (html or "").encode()
+        again = html in first and page != first[html]
+        wanted.append((page or 0, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", first[html] if again else None))
+    assert table == sorted(wanted)
+    cut = warc.read_records(llm, folder, 8).withColumn("record", F.expr("substr(record, 1, octet_length(record) - 1)"))
+    with pytest.raises(Exception, match="unsound record"):
+        warc.record_table(cut).collect()
+    empty = shared_folder(llm, "archive")
+    warc.write_archive(pages.limit(0), empty, buckets=8)
+    assert warc.record_table(warc.read_records(llm, empty, 8)).count() == 0
+
+
 def test_damaged_archive_fails(llm):
     pages = llm.createDataFrame([(1, "u", "x" * 200)], "page_id bigint, url string, html string")
     folder, other = shared_folder(llm, "archive"), shared_folder(llm, "archive")
