@@ -11,6 +11,8 @@ from headway.llm.shared import written
 END = "\r\n"
 #: Payloads of fewer bytes are never written as revisits.
 SMALL = 100
+#: WARC-Date of pages whose table has no time of capture.
+DATE = "1970-01-01T00:00:00Z"
 
 
 def payload_of(html: Column) -> Column:
@@ -18,7 +20,7 @@ def payload_of(html: Column) -> Column:
     return F.encode(F.coalesce(html.cast("string"), F.lit("")), "UTF-8")
 
 
-def record_headers(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", small: int = SMALL) -> DataFrame:
+def record_headers(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", small: int = SMALL, date: str = DATE) -> DataFrame:
     """One row per page: page_id, payload digest, whether it is a revisit, whether its payload is
     small, and the exact header of its WARC record.
 
@@ -45,6 +47,7 @@ def record_headers(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
         F.lit(f"WARC/1.1{END}"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         line("WARC-Record-ID", record_id(F.col("page_id"))),
+        line("WARC-Date", F.lit(date)),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         F.when(revisit, F.concat(line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), line("WARC-Refers-To", record_id(F.col("first"))))).otherwise(""),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
@@ -67,17 +70,26 @@ def _new_table() -> str:
 
 
 def write_archive(
-    pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", small: int = SMALL, buckets: int | None = None
+    pages: DataFrame,
+    folder: str,
+    id_col: str = "page_id",
+    url_col: str = "url",
+    html_col: str = "html",
+    small: int = SMALL,
+    buckets: int | None = None,
+    date: str = DATE,
 ) -> None:
     """Write the archive of ``pages``: ``<folder>/headers`` and ``<folder>/payloads``.
 
     With ``buckets`` the payloads are dealt into that many buckets by digest; they are shuffled for
     writing only, and a reader that is given the same number takes them from where they lie.
 
+    All records get the ``date``, as a table of pages has none.
+
     Null html is the empty payload, null url an empty one, line breaks in a url become spaces.
     Repeated rows are records of their own with the same header.  Other columns are ignored.
     """
-    record_headers(pages, id_col, url_col, html_col, small).write.parquet(f"{folder}/headers")
+    record_headers(pages, id_col, url_col, html_col, small, date).write.parquet(f"{folder}/headers")
     store = payloads(pages, html_col).write.format("parquet")
     if buckets is None:
         store.save(f"{folder}/payloads")

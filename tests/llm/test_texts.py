@@ -31,6 +31,7 @@ def test_archive_round_trip(llm):
         head, _, rest = bytes(r["record"]).partition(b"\r\n\r\n")
         fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
         assert rest[: int(fields["Content-Length"])] == (b"" if fields["WARC-Type"] == "revisit" else bytes(r["payload"])) and rest.endswith(b"\r\n\r\n")
+        assert fields["WARC-Date"] == warc.DATE
         assert fields["WARC-Payload-Digest"] == "sha256:" + hashlib.sha256(bytes(r["payload"])).hexdigest()
     table = sorted((r["page_id"] or 0, r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.record_table(warc.read_archive(llm, folder)).collect())
     n = len(body.encode())
