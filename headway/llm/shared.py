@@ -34,12 +34,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def respelled(df: DataFrame, column: str) -> DataFrame:
+    """The same rows, with a column (bigint) Spark no longer takes to be the one the frame is grouped by.
+
+    A join with the frame then shuffles both sides, so Spark can split a hot key of the other one.
+    """
+    return df.withColumn(column, F.bitwise_not(F.bitwise_not(column)))
+
+
 def components(links: DataFrame) -> DataFrame:
     """Smallest node each node of ``links`` (a, b: bigint) reaches, as (node, label).
 
     Alternating star contraction: each node hands its smallest neighbour to the larger ones, then
     to the smaller ones, until every node hangs on the smallest of its component.  All steps are
-    joins and aggregations; links with a null end are ignored.
+    joins and aggregations; links with a null end are ignored.  A node of very many links is split
+    over tasks in the joins, and met in part before the shuffle in the groupings.
     """
     spark = links.sparkSession
     edges = written(
@@ -49,13 +58,13 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = respelled(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "a")
         large = (
             both.where("b > a").join(least, "a")
             .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         )
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(lowest, "a")
+        joined = large.join(respelled(lowest, "a"), "a")
         small = joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = written(small.unionAll(lowest.select("a", F.col("m").alias("b"))).distinct(), "links")
         # The edges shrink towards one per node and stay as they are once all hang on their root.

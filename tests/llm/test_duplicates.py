@@ -5,11 +5,12 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from headway.llm import minhash
 from headway.llm.minhash import band_keys, circulant_signatures, near_duplicates
 from headway.llm.passages import compact_windows, near_passages
-from headway.llm.shared import components
+from headway.llm.shared import components, respelled
 from headway.llm.words import mix64, shingles, word_codes
 
 
@@ -223,3 +224,23 @@ def test_passages_near_a_member_only(llm):
         wanted |= {(3 * i + 1, 3 * i), (3 * i + 2, 3 * i + 1)} if i % 2 else {(3 * i + 2, 3 * i), (3 * i + 2, 3 * i + 1)}
     rows = near_passages(llm.createDataFrame(docs, "doc_id bigint, text string")).collect()
     assert {(r["doc_id"], r["class_doc_id"]) for r in rows} == wanted
+
+
+def test_a_node_of_many_links_is_split(llm):
+    star = llm.range(1, 40_000, 1, 16).select(F.lit(0).cast("bigint").alias("a"), F.col("id").alias("b"))
+    rest = llm.range(50_000, 60_000, 2, 4).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    links = star.unionAll(rest)
+    labels = {r["node"]: r["label"] for r in components(links).collect()}
+    assert labels == {n: 0 for n in range(40_000)} | {n: n - n % 2 for n in range(50_000, 60_000)}
+    grouped = respelled(links.groupBy("a").agg(F.min("b").alias("m")), "a")
+    names = ("autoBroadcastJoinThreshold", "adaptive.autoBroadcastJoinThreshold", "adaptive.advisoryPartitionSizeInBytes", "adaptive.skewJoin.skewedPartitionThresholdInBytes", "adaptive.skewJoin.skewedPartitionFactor")
+    before = {f"spark.sql.{n}": llm.conf.get(f"spark.sql.{n}", None) for n in names}
+    try:
+        for name, value in zip(before, ("-1", "-1", "10k", "10k", "1.5")):
+            llm.conf.set(name, value)
+        joined = links.join(grouped, "a")
+        assert len(joined.collect()) == links.count()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            llm.conf.unset(name) if value is None else llm.conf.set(name, value)
