@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import copy
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -67,13 +68,18 @@ def meta_view(column: pa.Array, named: Sequence[tuple[str, list]], n_chars: list
     return out
 
 
+#: Bins of the calibrated log-odds, 16 of them in a unit, from which the cuts are taken.
+BINS = 512
+
+
 class Quality(NamedTuple):
-    """Two view models and the model of their calibrated scores."""
+    """Two view models, the model of their calibrated scores and the rows handed over in each round."""
 
     text: Logistic
     meta: Logistic
     calibrated: tuple[Logistic, Logistic]
     both: Logistic
+    handed: tuple[tuple[int, int], ...] = ()  # by the text view, by the metadata view
 
     def scores(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated scores of the text view, of the metadata view and of both."""
@@ -82,50 +88,141 @@ class Quality(NamedTuple):
         return sigmoid(a), sigmoid(b), self.both.score(np.column_stack([a, b]))
 
 
+class Teacher(NamedTuple):
+    """A view that labels free rows: those in the bins up to ``low`` and from ``high`` on."""
+
+    model: Logistic
+    calibrated: Logistic
+    low: int = -1
+    high: int = BINS
+
+    def logit(self, x: np.ndarray) -> np.ndarray:
+        return self.calibrated.logit(self.model.logit(x)[:, None])
+
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        return np.clip((self.logit(x) + BINS / 32) * 16, 0, BINS - 1).astype(int)
+
+    def sure(self, x: np.ndarray) -> np.ndarray:
+        where = self.bins(x)
+        return (where <= self.low) | (where >= self.high)
+
+    def cut(self, counts: np.ndarray, share: float) -> Teacher:
+        """The teacher with the cuts that leave ``share`` of the counted rows, or their bin, at each end."""
+        most = share * counts.sum()
+        low = int(np.searchsorted(np.cumsum(counts), most))
+        high = BINS - 1 - int(np.searchsorted(np.cumsum(counts[::-1]), most))
+        return self._replace(low=low, high=high)
+
+
+def _explained(logit: np.ndarray, y: np.ndarray) -> float:
+    """The part of the labels' deviance that the scores explain, 0 to 1."""
+    if not 0 < y.sum() < len(y):
+        return 0.0
+    deviance = lambda p: -np.mean(np.log(np.where(y == 1, p, 1 - p)))
+    return max(0.0, 1 - deviance(np.clip(sigmoid(logit), 1e-9, 1 - 1e-9)) / deviance(np.full(len(y), y.mean())))
+
+
+def _newton(model: Logistic, x: np.ndarray, y: np.ndarray, weight: float) -> np.ndarray:
+    """Gradient and Hessian of the weighted log-likelihood, in one array."""
+    z = model._design(x)
+    p = sigmoid(z @ model.beta)
+    hessian = (z * (p * (1 - p))[:, None]).T @ z
+    return weight * np.concatenate([z.T @ (y - p), hessian.ravel()])
+
+
 def cotrain(
-    text: np.ndarray, meta: np.ndarray, y: np.ndarray, free_text: np.ndarray, free_meta: np.ndarray,
-    rounds: int = 4, sure: float = 0.97, share: float = 0.2,
+    text: np.ndarray, meta: np.ndarray, y: np.ndarray, total: Callable[[Callable], np.ndarray],
+    rounds: int = 4, share: float = 0.1, trust: float = 0.5, steps: int = 3,
 ) -> Quality:
-    """Train the views on labelled rows, each giving the other its sure labels of the free rows.
-
-    In a round each view labels the free rows it is surest of, at most ``share`` of them, in the
-    labels' proportion and only beyond ``sure`` of its calibrated score, so a weak view hands over
-    nothing; they join the other view's rows.  Every fourth labelled row is kept back to calibrate the two scores
-    and to combine them.
+    """Train the views on labelled rows, each giving the other its surest labels of all free rows.
+
+    ``total(f)`` is the sum of the arrays f(text, meta) over all free rows, so nothing here grows
+    with them.  In a round each view labels the free rows at both ends of its calibrated scores,
+    ``share`` of all free rows at each end.  The label is the calibrated score.  What a view is
+    given weighs ``trust`` times its labelled rows in all, whatever the number of free rows, times
+    the part of the kept back labels' deviance that the other view explains: a view that knows
+    little says little.  ``steps`` Newton steps follow, each a sum over the free rows.  Every
+    fourth labelled row is kept back to calibrate the two scores and to combine them.
     """
     held = np.arange(len(y)) % 4 == 3
-    views = ((text, free_text), (meta, free_meta))
-    rate = float(np.mean(y)) if len(y) else 0.5
-    given: list[dict[int, float]] = [{}, {}]  # pseudo-labels each view was given
-    for turn in range(rounds + 1):
-        models, calibrated = [], []
-        for (own, free), more in zip(views, given):
-            rows = np.array(sorted(more), int)
-            x = np.vstack([own[~held], free[rows]])
-            labels = np.concatenate([y[~held], [more[i] for i in rows]])
-            models.append(Logistic(3.0).fit(x, labels, np.concatenate([np.ones((~held).sum()), np.full(len(rows), 0.5)])))
-            calibrated.append(Logistic(0.1).fit(models[-1].logit(own[held])[:, None], y[held]))
-        if turn == rounds or not len(free_text):
+    views, known = (text, meta), y[~held]
+    models = [Logistic(3.0).fit(v[~held], known) for v in views]
+    for model in models:
+        model.scale[model.scale <= 1e-6] = 1.0  # a value the labelled rows share; its weight is 0
+
+    def calibrate() -> list[Logistic]:
+        return [Logistic(0.1).fit(m.logit(v[held])[:, None], y[held]) for m, v in zip(models, views)]
+
+    calibrated, handed = calibrate(), []
+    for _ in range(rounds if 0 < known.sum() < len(known) else 0):
+        teachers = [Teacher(copy.deepcopy(m), c) for m, c in zip(models, calibrated)]
+        counts = total(lambda *rows: np.concatenate([np.bincount(t.bins(x), minlength=BINS) for t, x in zip(teachers, rows)]))
+        if not counts.sum():
             break
-        for k in (0, 1):
-            score = calibrated[k].score(models[k].logit(views[k][1])[:, None])
-            order = np.argsort(score, kind="stable")
-            low, high = order[score[order] <= 1 - sure], order[::-1][score[order[::-1]] >= sure]
-            # As many of each label as the labelled rows' shares allow, so neither swamps the other.
-            most = min(len(low) / max(1 - rate, 1e-9), len(high) / max(rate, 1e-9), share * len(free_text))
-            for label, rows in ((0.0, low[: int(most * (1 - rate))]), (1.0, high[: int(most * rate)])):
-                for i in rows:
-                    given[1 - k].setdefault(int(i), label)
-    logits = [c.logit(m.logit(own[held])[:, None]) for m, c, (own, _) in zip(models, calibrated, views)]
+        counts = counts.reshape(2, BINS)
+        teachers = [t.cut(n, share) for t, n in zip(teachers, counts)]
+        given = [int(sum(n for i, n in enumerate(c) if i <= t.low or i >= t.high)) for t, c in zip(teachers, counts)]
+        handed.append(tuple(given))
+        worth = [trust * len(known) * _explained(t.logit(v[held]), y[held]) / n for t, v, n in zip(teachers, views, given)]
+
+        def lessons(*rows: np.ndarray) -> np.ndarray:
+            out = []
+            for k in (0, 1):
+                teacher, seen = teachers[1 - k], rows[1 - k]
+                sure = teacher.sure(seen)
+                out.append(_newton(models[k], rows[k][sure], sigmoid(teacher.logit(seen[sure])), worth[1 - k]))
+            return np.concatenate(out)
+
+        for _ in range(steps):
+            sums = np.split(total(lessons), [_size(models[0])])
+            for model, view, more in zip(models, views, sums):
+                _advance(model, _newton(model, view[~held], known, 1.0) + more)
+        calibrated = calibrate()
+    logits = [c.logit(m.logit(v[held])[:, None]) for m, c, v in zip(models, calibrated, views)]
     both = Logistic(0.1).fit(np.column_stack(logits), y[held])
-    return Quality(models[0], models[1], (calibrated[0], calibrated[1]), both)
+    return Quality(models[0], models[1], (calibrated[0], calibrated[1]), both, tuple(handed))
+
+
+def _size(model: Logistic) -> int:
+    return len(model.beta) * (len(model.beta) + 1)
+
+
+def _advance(model: Logistic, sums: np.ndarray) -> None:
+    """One Newton step on the sums of gradient and Hessian."""
+    k = len(model.beta)
+    penalty = np.diag([1e-6] + [model.ridge] * (k - 1))
+    step = np.linalg.solve(sums[k:].reshape(k, k) + penalty, sums[:k] - penalty @ model.beta)
+    model.beta = model.beta + step * min(1.0, 4 / max(np.abs(step).max(), 1e-12))
 
 
 def _views(batch: pa.RecordBatch, meta: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The views of a batch (id, text, n_chars, metadata columns...)."""
+    """The views of a batch (id, text, n_chars, metadata columns...), to the precision they are stored with."""
     column = text_column(batch, "text")
     named = [(c, batch.column(3 + i).to_pylist()) for i, c in enumerate(meta)]
-    return text_view(column), meta_view(column, named, batch.column(2).to_pylist())
+    return text_view(column).astype(np.float32), meta_view(column, named, batch.column(2).to_pylist()).astype(np.float32)
+
+
+def _stored(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, width).astype(float)
+
+
+def _summed(rows: DataFrame) -> Callable[[Callable], np.ndarray]:
+    """Sums of f(text, meta) over the views (a, b) of all rows: each task sends one value a position."""
+
+    def total(f: Callable) -> np.ndarray:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = None
+            for batch in batches:
+                if len(batch):
+                    part = f(_stored(batch.column(0), TEXT_WIDTH), _stored(batch.column(1), META_WIDTH))
+                    out = part if out is None else out + part
+            if out is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out), dtype=np.int32)), pa.array(out.astype(float))], names=["at", "value"])
+
+        sums = rows.select("a", "b").mapInArrow(work, "at int, value double").groupBy("at").agg(F.sum("value").alias("value"))
+        return np.array([r["value"] for r in sorted(sums.collect(), key=lambda r: r["at"])])  # as long as the model, not the table
+
+    return total
 
 
 def _plain(docs: DataFrame, id_col: str, text_col: str, chars_col: str, meta: Sequence[str]) -> DataFrame:
@@ -142,61 +239,62 @@ def held_out(doc_id) -> F.Column:
 
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars",
-    meta: Sequence[str] = ("lang", "source"), sample: int = 6000, free: int = 6000,
-) -> Quality:
-    """Models from at most ``sample`` labelled and ``free`` unlabelled documents, those with the smallest hashes."""
+    meta: Sequence[str] = ("lang", "source"), sample: int = 6000,
+) -> tuple[Quality, DataFrame]:
+    """Models, and the written views (doc_id, quality, a, b) of all rows.
+
+    At most ``sample`` labelled documents teach, those with the smallest hashes; all other rows
+    that are not held out are free.
+    """
     plain = _plain(docs, id_col, text_col, chars_col, meta)
     known = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    order = F.xxhash64("doc_id")
-    chosen = known.orderBy(order, "doc_id").limit(sample)
-    others = plain.where("doc_id is not null").select("doc_id").distinct().join(labels.select(F.col("doc_id").cast("bigint").alias("doc_id")), "doc_id", "left_anti")
-    others = others.orderBy(order, "doc_id").limit(free).withColumn("quality", F.lit(None).cast("int"))
-    rows = plain.join(F.broadcast(written(chosen.unionAll(others), "sample")), "doc_id")
+    chosen = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "sample")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, "text"):
-            pair = _views(batch, meta)
-            packed = [pa.array([x.astype(np.float32).tobytes() for x in view], pa.binary()) for view in pair]
+            packed = [pa.array([x.tobytes() for x in view], pa.binary()) for view in _views(batch, meta)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(len(batch.columns) - 1), *packed], names=["doc_id", "quality", "a", "b"])
 
-    # Bounded by the two sample sizes.
-    found = sorted(rows.mapInArrow(work, "doc_id bigint, quality int, a binary, b binary").collect(), key=lambda r: (r["doc_id"], r["a"], r["b"]))
-    table = lambda rows, c, width: np.array([np.frombuffer(r[c], np.float32) for r in rows], float).reshape(-1, width)
-    with_label, without = [r for r in found if r["quality"] is not None], [r for r in found if r["quality"] is None]
-    y = np.array([r["quality"] for r in with_label], float)
-    return cotrain(table(with_label, "a", TEXT_WIDTH), table(with_label, "b", META_WIDTH), y, table(without, "a", TEXT_WIDTH), table(without, "b", META_WIDTH))
+    rows = plain.join(F.broadcast(chosen), "doc_id", "left").mapInArrow(work, "doc_id bigint, quality int, a binary, b binary")
+    rows = written(rows, "views")
+    # One row an id, so the sample's size bounds what is collected.
+    found = rows.where("quality is not null").groupBy("doc_id").agg(F.min(F.struct("quality", "a", "b")).alias("r")).orderBy("doc_id").collect()
+    table = lambda c, width: np.array([np.frombuffer(r["r"][c], np.float32) for r in found], float).reshape(-1, width)
+    y = np.array([r["r"]["quality"] for r in found], float)
+    free = rows.where(F.col("quality").isNull() & ~held_out(F.col("doc_id")))
+    return cotrain(table("a", TEXT_WIDTH), table("b", META_WIDTH), y, _summed(free)), rows
 
 
 def score_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars",
-    meta: Sequence[str] = ("lang", "source"), sample: int = 6000, free: int = 6000,
+    meta: Sequence[str] = ("lang", "source"), sample: int = 6000,
 ) -> DataFrame:
     """Quality of every document: doc_id, held_out, text_score, meta_score, score and keep.
 
     The text view sees the text alone: kinds of neighbouring bytes, repeated words, word lengths.
     The metadata view sees the ``meta`` columns, the stated length and the layout in lines.  keep is
     score >= 0.5.  Null text is empty, null metadata a value of its own; a null doc_id is never
-    held out.  With labels of one kind only every score is their share, without any labels
-    0.5.  Other columns are ignored.
+    held out.  Of labelled rows that share an id one teaches.  With labels of one kind only every
+    score is their share, without any labels 0.5.  Other columns are ignored.
     """
-    model = learn(docs, labels, id_col, text_col, chars_col, meta, sample, free)
+    model, views = learn(docs, labels, id_col, text_col, chars_col, meta, sample)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, "text", 1 << 20):
-            scores = model.scores(*_views(batch, meta))
+        for batch in batches:
+            scores = model.scores(_stored(batch.column(1), TEXT_WIDTH), _stored(batch.column(2), META_WIDTH))
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, scores)], names=["doc_id", "text_score", "meta_score", "score"])
 
-    scored = _plain(docs, id_col, text_col, chars_col, meta).mapInArrow(work, "doc_id bigint, text_score double, meta_score double, score double")
+    scored = views.select("doc_id", "a", "b").mapInArrow(work, "doc_id bigint, text_score double, meta_score double, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text_score", "meta_score", "score", (F.col("score") >= 0.5).alias("keep"))
 
 
 def keep_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars",
-    meta: Sequence[str] = ("lang", "source"), sample: int = 6000, free: int = 6000,
+    meta: Sequence[str] = ("lang", "source"), sample: int = 6000,
 ) -> DataFrame:
-    """The rows of ``docs`` that ``score_quality`` keeps, as they are."""
-    model = learn(docs, labels, id_col, text_col, chars_col, meta, sample, free)
+    """The rows of ``docs`` that ``score_quality`` keeps, as they are; its docstring has the odd cases."""
+    model, _ = learn(docs, labels, id_col, text_col, chars_col, meta, sample)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, text_col, 1 << 20):
@@ -205,6 +303,6 @@ def keep_quality(
                 [get(id_col), text_column(batch, text_col), get(chars_col), *[get(c).cast(pa.string()) for c in meta]],
                 names=["doc_id", "text", "n_chars", *[f"meta{i}" for i in range(len(meta))]],
             )
-            yield batch.filter(pa.array(model.scores(*_views(plain, meta))[2] >= 0.5))
+            yield batch.filter(pa.array(model.scores(*(view.astype(float) for view in _views(plain, meta)))[2] >= 0.5))
 
     return docs.mapInArrow(work, docs.schema)

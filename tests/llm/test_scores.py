@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from headway.llm.backoff import backoff_scores
-from headway.llm.cotraining import cotrain, keep_quality, score_quality
+from headway.llm.cotraining import cotrain, held_out, keep_quality, learn, score_quality
 from headway.llm.logistic import Logistic
 from headway.llm.order_minhash import edited_text, fingerprint, likeness, order_fingerprints
 from headway.llm.toxicity import INSULT, NEGATION, OTHER, REPORT, TARGET, Machine, score_toxicity
@@ -77,11 +77,28 @@ def test_cotraining_hands_labels_over():
     rng = np.random.default_rng(2)
     y = (rng.random(2000) < 0.5).astype(float)
     a, b = (y[:, None] + rng.normal(0, s, (2000, 3)) for s in (0.4, 0.8))
-    model = cotrain(a[:60], b[:60], y[:60], a[60:1500], b[60:1500])
+    model = cotrain(a[:60], b[:60], y[:60], lambda f: f(a[60:1500], b[60:1500]))
     _, second, both = model.scores(a[1500:], b[1500:])
     alone = Logistic().fit(b[:60], y[:60]).score(b[1500:])
     right = lambda s: ((s >= 0.5) == y[1500:]).mean()
     assert right(both) > 0.95 and right(second) > right(alone) - 0.02
+    assert len(model.handed) == 4 and all(2 * 144 <= n <= 1440 for given in model.handed for n in given)
+    halves = cotrain(a[:60], b[:60], y[:60], lambda f: f(a[60:700], b[60:700]) + f(a[700:1500], b[700:1500]))
+    assert np.allclose(halves.scores(a[1500:], b[1500:])[2], both)
+    assert cotrain(a[:60], b[:60], y[:60], lambda f: np.zeros(0)).handed == ()
+
+
+def test_all_free_rows_teach_both_ways(llm):
+    docs, labels = (llm.read.parquet(f"{BIG}/{t}.parquet") for t in ("documents", "labels"))
+    model, views = learn(docs, labels)
+    free = docs.join(labels, "doc_id", "left_anti").where(~held_out(docs["doc_id"])).count()
+    assert views.count() == docs.count() and all(n >= 0.2 * free for given in model.handed for n in given)
+
+
+def test_a_repeated_id_teaches_once(llm):
+    docs = llm.createDataFrame([(1, f"text {i}", "en", "a", 6) for i in range(50)] + [(2, "#### |||", "en", "b", 8)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    labels = llm.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    assert score_quality(docs, labels).count() == 51
 
 
 def test_backoff_of_odd_rows(odd_docs, no_docs):
