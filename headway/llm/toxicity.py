@@ -40,8 +40,10 @@ THREATS = (
     "matar golpear quemar morir"
 ).split()
 
-#: Classes a word may have in the grammar.
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+#: Classes of words, and what the transducers write in their place.
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, AIMED_INSULT, AIMED_THREAT, MATCH = range(9)
+#: Weight of a matched threat; that of an insult comes from the lexicon.
+THREAT_WEIGHT = 0.5
 #: Bytes of the word beginnings that may enter the lexicon, besides whole words.
 BEGINNINGS = range(3, 11)
 #: Ends of a clause.
@@ -50,36 +52,74 @@ _CLAUSE_ENDS[[ord(c) for c in ".!?;\n"]] = True
 
 
 class Transducer(NamedTuple):
-    """Reads a clause's classes and gives a factor for each: (state, class) to (state, factor)."""
+    """Reads a clause symbol by symbol and writes a symbol and a factor for each: (state, symbol) to (state, symbol, factor)."""
 
     start: object
     step: object
 
     def compose(self, other: Transducer) -> Transducer:
-        """Both machines on the same classes; their factors are multiplied."""
+        """This machine's output is the other's input; their factors are multiplied."""
 
-        def step(state, kind):
-            a, x = self.step(state[0], kind)
-            b, y = other.step(state[1], kind)
-            return (a, b), x * y
+        def step(state, symbol):
+            a, between, x = self.step(state[0], symbol)
+            b, out, y = other.step(state[1], between)
+            return (a, b), out, x * y
 
         return Transducer((self.start, other.start), step)
 
 
-def near(kind: int, reach: int, factor: float) -> Transducer:
-    """``factor`` for the ``reach`` words after one of the class; the state is what is left of it."""
+def aimed(reach: int) -> Transducer:
+    """Insults and threats within ``reach`` words after a target are aimed; the state is what is left of it."""
 
-    def step(state: int, now: int) -> tuple[int, float]:
-        if now == kind:
-            return reach, 1.0
-        return max(state - 1, 0), factor if state else 1.0
+    def step(left: int, symbol: int) -> tuple[int, int, float]:
+        if symbol == TARGET:
+            return reach, symbol, 1.0
+        return max(left - 1, 0), {INSULT: AIMED_INSULT, THREAT: AIMED_THREAT}.get(symbol, symbol) if left else symbol, 1.0
 
     return Transducer(0, step)
 
 
-#: Insults and threats weigh more after a target, less after a negation and in reported speech.
-MATCHED = Transducer(0, lambda state, kind: (0, 1.0 if kind in (INSULT, THREAT) else 0.0))
-GRAMMAR = MATCHED.compose(near(TARGET, 6, 1.5)).compose(near(NEGATION, 3, 0.4)).compose(near(REPORT, 40, 0.7))
+def insult(factor: float) -> Transducer:
+    """Insults match, aimed ones by ``factor``."""
+    return Transducer(0, lambda state, symbol: (0, MATCH, factor if symbol == AIMED_INSULT else 1.0) if symbol in (INSULT, AIMED_INSULT) else (0, symbol, 1.0))
+
+
+def threat(reach: int) -> Transducer:
+    """A threat matches where it is aimed, or at the target within ``reach`` words after it; else it is nothing."""
+
+    def step(left: int, symbol: int) -> tuple[int, int, float]:
+        if symbol == AIMED_THREAT:
+            return 0, MATCH, 1.0
+        if symbol == THREAT:
+            return reach, OTHER, 1.0
+        if symbol == TARGET and left:
+            return 0, MATCH, 1.0
+        return max(left - 1, 0), symbol, 1.0
+
+    return Transducer(0, step)
+
+
+def weakened(kind: int, reach: int, factor: float) -> Transducer:
+    """``factor`` for matches within ``reach`` words after a word of the class."""
+
+    def step(left: int, symbol: int) -> tuple[int, int, float]:
+        if symbol == kind:
+            return reach, symbol, 1.0
+        return max(left - 1, 0), symbol, factor if left and symbol == MATCH else 1.0
+
+    return Transducer(0, step)
+
+
+def cascade(*machines: Transducer) -> Transducer:
+    """The machines one after the other."""
+    out = machines[0]
+    for machine in machines[1:]:
+        out = out.compose(machine)
+    return out
+
+
+#: Who is meant, what matches, and what takes a match back.
+GRAMMAR = cascade(aimed(6), insult(1.5), threat(4), weakened(NEGATION, 3, 0.4), weakened(REPORT, 40, 0.7))
 
 
 class Machine:
@@ -88,19 +128,23 @@ class Machine:
     def __init__(self, grammar: Transducer = GRAMMAR):
         self.grammar, self.table, self.numbers, self.states = grammar, {}, {grammar.start: 0}, [grammar.start]
 
-    def factors(self, kinds: list[int]) -> list[float]:
-        state, out = 0, []
+    def run(self, kinds: list[int], state: int = 0) -> tuple[list[float], int]:
+        """The factor of each word, 0 for those that match nothing, and the state after the last one."""
+        out = []
         for kind in kinds:
             move = self.table.get((state, kind))
             if move is None:
-                after, factor = self.grammar.step(self.states[state], kind)
+                after, symbol, factor = self.grammar.step(self.states[state], kind)
                 if after not in self.numbers:
                     self.numbers[after] = len(self.states)
                     self.states.append(after)
-                move = self.table[state, kind] = (self.numbers[after], factor)
+                move = self.table[state, kind] = (self.numbers[after], factor if symbol == MATCH else 0.0)
             state, factor = move
             out.append(factor)
-        return out
+        return out, state
+
+    def factors(self, kinds: list[int]) -> list[float]:
+        return self.run(kinds)[0]
 
 
 def _lowered(batch: pa.RecordBatch) -> pa.Array:
@@ -136,7 +180,7 @@ class Lexicon:
         return np.where(self.codes[at] == codes, self.weights[at], 0.0)
 
     def words(self, chunk) -> tuple[np.ndarray, np.ndarray]:
-        """Weight and class of each word of a chunk."""
+        """Weight and class of each word of a chunk; a word of the grammar is no insult unless it is a threat."""
         weight = np.zeros(len(chunk[0]))
         if len(self.codes):
             for codes, words in _features(chunk):
@@ -145,36 +189,56 @@ class Lexicon:
         whole = run_of_bytes(chunk, chunk[0], chunk[1])
         at = np.minimum(np.searchsorted(self.kind_codes, whole), len(self.kind_codes) - 1)
         kind = np.where(self.kind_codes[at] == whole, self.kinds[at], OTHER)
-        kind[weight > 0] = INSULT
-        weight[kind == THREAT] = 0.5
+        kind[(weight > 0) & ((kind == OTHER) | (kind == THREAT))] = INSULT
+        weight[kind != INSULT] = THREAT_WEIGHT
         return weight, kind
 
 
 MEASURES = 6
+#: Clause scores are sums of whole parts of this size, so that no order of adding changes them.
+PART = 2.0**-20
 
 
 def measures(column: pa.Array, lexicon: Lexicon, machine: Machine) -> np.ndarray:
-    """What the scores rest on, per row: words, and sum, number and largest of the clause scores."""
+    """What the scores rest on, per row: words, and sum, number and largest of the clause scores.
+
+    A clause that goes on after a chunk takes the machine's state along, so a row's measures are
+    the same wherever the chunks are cut.
+    """
     data, bounds = text_bytes(column)
     ends = np.flatnonzero(_CLAUSE_ENDS[data])
     out = np.zeros((len(column), MEASURES))
+
+    def close(place, total: int, matches: int) -> None:
+        if matches:
+            r = place[0]
+            out[r, 1] += total
+            out[r, 2] += matches
+            out[r, 3] = max(out[r, 3], total)
+            out[r, 4] += 1
+
+    place, state, total, matches = None, 0, 0, 0  # the clause that the last chunk left open
     for chunk in word_chunks(column, SIGNS):
+        if not len(chunk[0]):
+            continue
         weight, kind = lexicon.words(chunk)
         row = np.searchsorted(bounds, chunk[0], "right") - 1
-        np.add.at(out[:, 0], row, 1)
-        clause = np.searchsorted(ends, chunk[0]) + row * 0
-        hits = np.flatnonzero((kind == INSULT) | (kind == THREAT))
-        if not len(hits):
-            continue
+        out[:, 0] += np.bincount(row, minlength=len(out))
+        clause = np.searchsorted(ends, chunk[0])
         new = np.flatnonzero(np.diff(clause, prepend=-1) | np.diff(row, prepend=-1))
-        for c in np.unique(np.searchsorted(new, hits, "right") - 1):
+        hits = np.flatnonzero((kind == INSULT) | (kind == THREAT))
+        # Clauses with a hit, the one left open and the one that may go on.
+        for c in np.union1d(np.searchsorted(new, hits, "right") - 1, [0, len(new) - 1]):
             a, b = new[c], new[c + 1] if c + 1 < len(new) else len(kind)
-            score = np.array(machine.factors(kind[a:b].tolist())) * weight[a:b]
-            total, r = score.sum(), row[a]
-            out[r, 1] += total
-            out[r, 2] += np.count_nonzero(score)
-            out[r, 3] = max(out[r, 3], total)
-            out[r, 4] += 1
+            if place != (row[a], clause[a]):
+                close(place, total, matches)
+                place, state, total, matches = (row[a], clause[a]), 0, 0, 0
+            factors, state = machine.run(kind[a:b].tolist(), state)
+            score = np.rint(np.array(factors) * weight[a:b] / PART).astype(np.int64)
+            total += int(score.sum())
+            matches += int(np.count_nonzero(score))
+    close(place, total, matches)
+    out[:, [1, 3]] *= PART
     words = out[:, 0].copy()
     rate = out[:, 1] / np.maximum(words, 1)
     return np.column_stack([np.log1p(out[:, 1]), np.log1p(out[:, 2]), out[:, 3], np.log1p(out[:, 4]), np.log1p(100 * rate), np.log1p(words)])
@@ -185,7 +249,7 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000, terms: int = 20000) -> tuple[Lexicon, Logistic]:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000, terms: int = 20000, grammar: Transducer = GRAMMAR) -> tuple[Lexicon, Logistic]:
     """Lexicon and scoring model from at most ``sample`` labelled rows of each class.
 
     The rows with the smallest hashes are taken, one of each group that shares its least word
@@ -235,7 +299,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000, terms: int = 2
     odds = F.log((F.col("n1") + 0.5) / (few + 1) / ((F.col("n0") + 0.5) / (many + 1)))
     best = tally.where(F.col("n1") >= max(3, 0.02 * few)).select("code", odds.alias("weight")).where("weight >= 1.5").orderBy(F.desc("weight"), "code").limit(terms).collect()
     lexicon = Lexicon(np.array([x[0] for x in best], np.int64).view(U64), np.minimum([x[1] for x in best], 6.0) if best else np.zeros(0))
-    measured = _measured(rows.where("half = 1").select("doc_id", "text", "toxic"), lexicon, ("toxic int",)).collect()
+    measured = _measured(rows.where("half = 1").select("doc_id", "text", "toxic"), lexicon, grammar, ("toxic int",)).collect()
     x = np.array([r["m"] for r in measured]).reshape(-1, MEASURES)
     y = np.array([r["toxic"] for r in measured], float)
     # The sample has another share of the label than the rows it stands for.
@@ -244,11 +308,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 6000, terms: int = 2
     return lexicon, Logistic().fit(x, y, weight * len(y) / max(weight.sum(), 1e-9))
 
 
-def _measured(docs: DataFrame, lexicon: Lexicon, more: tuple[str, ...] = ()) -> DataFrame:
+def _measured(docs: DataFrame, lexicon: Lexicon, grammar: Transducer, more: tuple[str, ...] = ()) -> DataFrame:
     """The rows (doc_id, text, ...) with their clause measures ``m``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Machine()
+        machine = Machine(grammar)
         for batch in bounded(batches, "text", 1 << 20):
             m = measures(_lowered(batch), lexicon, machine)
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(list(m), pa.list_(pa.float64()))], names=["doc_id", *[x.split()[0] for x in more], "m"])
@@ -256,23 +320,28 @@ def _measured(docs: DataFrame, lexicon: Lexicon, more: tuple[str, ...] = ()) ->
     return docs.mapInArrow(work, ", ".join(["doc_id bigint", *more, "m array<double>"]))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 6000, terms: int = 20000) -> DataFrame:
+def score_toxicity(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 6000, terms: int = 20000,
+    grammar: Transducer = GRAMMAR,
+) -> DataFrame:
     """Toxicity of every whole text: doc_id, held_out, score and predicted (score >= 0.5).
 
     A clause ends at . ! ? ; or a line break.  Its words are classed as insult (by the lexicon),
-    threat, target, negation and report, and a composed transducer weighs its insults and threats;
-    a text is scored by its matched clauses.  Nothing but the text enters a score.  Null and empty
+    threat, target, negation and report and go through a cascade of transducers, each reading what
+    the one before wrote: targets aim insults and threats, insults match (more when aimed), threats
+    match with a target only, negation and reported speech weaken matches.  A text is scored by its
+    matched clauses; equal texts score equally.  Nothing but the text enters a score.  Null and empty
     texts have no clauses and get the score of such texts.  With labels of one kind only every
     score is their share, without any labels 0.5.  A null doc_id is never held out; other columns are ignored.
     """
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    lexicon, model = learn(plain, known, sample, terms)
+    lexicon, model = learn(plain, known, sample, terms, grammar)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Machine()
+        machine = Machine(grammar)
         for batch in bounded(batches, "text", 1 << 20):
-            score = model.score(measures(_lowered(batch), lexicon, machine))
+            score = model.score(measures(_lowered(batch), lexicon, machine)).round(12)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["doc_id", "score"])
 
     return plain.mapInArrow(work, "doc_id bigint, score double").select(

@@ -11,7 +11,10 @@ from headway.llm.backoff import backoff_scores
 from headway.llm.cotraining import cotrain, held_out, keep_quality, learn, score_quality
 from headway.llm.logistic import Logistic
 from headway.llm.order_minhash import edited_text, fingerprint, likeness, order_fingerprints
-from headway.llm.toxicity import INSULT, NEGATION, OTHER, REPORT, TARGET, Machine, score_toxicity
+from headway.llm.toxicity import (
+    GRAMMAR, INSULT, NEGATION, OTHER, REPORT, TARGET, THREAT, Lexicon, Machine, aimed, cascade, insult, measures, score_toxicity, threat, weakened,
+)
+from headway.llm.words import SIGNS, word_codes
 
 BIG = "/root/testdata/sf0.01"
 
@@ -26,6 +29,54 @@ def test_grammar_weighs_clauses():
     assert factors([]) == []
 
 
+def test_threats_need_a_target():
+    factors = Machine().factors
+    assert factors([OTHER, THREAT, OTHER]) == [0, 0, 0]
+    assert factors([THREAT, TARGET]) == [0, 1] and factors([TARGET, OTHER, THREAT]) == [0, 0, 1]
+    assert factors([THREAT, *[OTHER] * 4, TARGET])[-1] == 0
+    assert factors([NEGATION, THREAT, TARGET])[-1] == 0.4
+    assert Machine(cascade(aimed(6), insult(1.5))).factors([THREAT, TARGET]) == [0, 0]
+
+
+def _lexicon(words, weight):
+    """Whole words as insults."""
+    return Lexicon(word_codes(pa.array(words), SIGNS)[0], np.full(len(words), weight))
+
+
+def test_equal_texts_measure_equally():
+    clause = "you " + "word " * 30_000 + "she is a grobbel and not a grobbel " + "word " * 70_000 + "they grobbel kill him"
+    lexicon = _lexicon(["grobbel"], 2.0)
+    rows = [measures(pa.array([x for i in range(n) for x in ("filler " * (4001 * n + i), clause)]), lexicon, Machine()) for n in range(1, 8)]
+    alike = np.vstack([r[1::2] for r in rows])
+    assert (alike == alike[0]).all() and alike[0, 0] == pytest.approx(np.log1p(2 * 1.5 + 0.4 * 2 + 2 * 1.5 + 0.5))  # the second is 7 words from its target
+
+
+@pytest.mark.parametrize("without", ["threat", "negation", "report", "target"])
+def test_every_machine_helps(without):
+    """Held-out ranking of clauses that only the whole cascade tells apart."""
+    rng = np.random.default_rng(5)
+    bad, plain = ["grobbel", "snarf", "wuzzle"], ["table", "river", "window", "paper"]
+    pick = lambda words: words[rng.integers(len(words))]
+    pairs = {
+        "threat": (lambda: f"i kill you {pick(plain)}", lambda: f"i kill {pick(plain)} here"),
+        "negation": (lambda: f"a {pick(bad)}", lambda: f"not a {pick(bad)}"),
+        "report": (lambda: f"the {pick(bad)} of", lambda: f"according a {pick(bad)}"),
+        "target": (lambda: f"you {pick(bad)} {pick(plain)}", lambda: f"{pick(plain)} {pick(bad)}"),
+    }[without]
+    parts = {"target": aimed(6), "insult": insult(1.5), "threat": threat(4), "negation": weakened(NEGATION, 3, 0.4), "report": weakened(REPORT, 40, 0.7)}
+    lexicon = _lexicon(bad, 3.0)
+    texts = [pairs[i % 2]() for i in range(200)]
+    toxic = np.arange(200) % 2 == 0
+
+    def ranked(grammar):
+        x = measures(pa.array(texts), lexicon, Machine(grammar))[:, 0]
+        wins = x[toxic][:, None] - x[~toxic][None, :]
+        return (wins > 0).mean() + (wins == 0).mean() / 2
+
+    left = cascade(*[m for name, m in parts.items() if name != without])
+    assert ranked(GRAMMAR) == 1.0 and ranked(left) < 0.75
+
+
 def test_held_out_toxicity(llm):
     docs, labels = (llm.read.parquet(f"{BIG}/{t}.parquet") for t in ("documents", "labels"))
     rows = score_toxicity(docs, labels).collect()
