@@ -22,9 +22,10 @@ def shape_points(keys: DataFrame, shapes: DataFrame) -> DataFrame:
     """Points of each key.
 
     The points are the left (streamed) side, so a shape with very many points is split and
-    never buffered.
+    never buffered.  The hint makes the keys the built side: by its size on storage alone Spark may
+    take the points for the small side and send them whole through the driver.
     """
-    return shapes.join(keys, feed_key("shape_id"))
+    return shapes.join(keys.hint("shuffle_hash"), feed_key("shape_id"))
 
 
 def routes_with_shape(trips: DataFrame, shapes: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from headway.operators.geometry import shape_points
 from headway.operators.joins import trips_with_stops
 from headway.operators.keys import key_overlap
 from headway.plans.combos import combo_documents, combo_rows, combos
@@ -187,3 +188,20 @@ def test_shapes_are_read_for_ids_and_for_points(spark, skewed):
     with small_partitions(spark):
         _, plan = final_plan(macro(t["trips"], t["routes"], t["shapes"]))
     assert stored_scans(plan, "/shapes]") == 2, plan
+
+
+def test_points_that_are_small_on_storage_are_not_broadcast(spark, skewed):
+    keys = spark.range(1_000_000).select(
+        *feed_literals(),
+        (F.col("id") % 7).cast("string").alias("shape_id"),
+        F.lit("#ff0000").alias("final_color"),
+        F.lit("L").alias("route_short_name"),
+        (F.col("id") % 3).cast("string").alias("trip_headsign"),
+    ).distinct()
+    points = skewed["shapes"]
+    with settings(spark, autoBroadcastJoinThreshold="8MB"):
+        df = shape_points(keys, points)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan and "BroadcastExchange" not in plan, plan
+    per_shape = {r.shape_id: r["count"] for r in points.groupBy("shape_id").count().collect()}
+    assert df.count() == 3 * sum(per_shape.values())
