@@ -9,10 +9,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from headway.operators.columns import conform
 from headway.schemas import LEDGER
+from headway.sources.tables import is_folder
+
+
+def runs_folder(path: str) -> str:
+    """Where a status document has its runs that are too many for one value."""
+    return f"{path.rstrip('/')}/combinations"
 
 
 def read_status_document(spark: SparkSession, path: str) -> DataFrame:
-    """Ledger rows in a JSON document with a ``combinations`` list."""
+    """Ledger rows in a JSON document with a ``combinations`` list, or in the folder of that name beside it."""
+    if is_folder(spark, path) and is_folder(spark, runs_folder(path)):
+        return spark.read.schema(LEDGER).json(runs_folder(path))
     schema = T.StructType([T.StructField("combinations", T.ArrayType(LEDGER))])
     documents = spark.read.schema(schema).option("multiLine", "true").json(path)
     return documents.select(F.inline("combinations"))

@@ -219,6 +219,22 @@ def test_status_document_keeps_counters_and_runs(spark, tmp_path):
     assert {r.id for r in read_status_document(spark, path).collect()} == {"a", "b"}
 
 
+def test_a_document_of_many_runs_has_them_beside_it(spark, tmp_path):
+    path = str(tmp_path / "status")
+    some = [(f"r{i}", str(i), AS_OF) for i in range(7)] + [("r0", "0", AS_OF), (None, None, None)]
+    write_status_document(runs(spark, some).repartition(3), path, AS_OF, most=8)
+    documents = spark.read.json(path).collect()
+    assert [(d.total, d.pending, d.last_updated, "combinations" in d) for d in documents] == [(9, 9, AS_OF, False)]
+    assert len(list((tmp_path / "status/combinations").glob("part-*"))) > 1
+    found = read_status_document(spark, path)
+    assert found.columns == LEDGER.names
+    assert sorted(str(r.id) for r in found.collect()) == sorted(str(i) for i, _, _ in some)
+    # A shorter one leaves nothing of it.
+    write_status_document(runs(spark, some[:2]), path, AS_OF, most=8)
+    assert spark.read.json(path).first().total == 2 and read_status_document(spark, path).count() == 2
+    assert not (tmp_path / "status/combinations").exists()
+
+
 def test_escaped_versions_are_found(spark):
     paths = [f"s/GTFS/{kind}/explotation=1/contract=1/version=2025%3A01/{kind.lower()}.txt" for kind in ("AGENCY", "ROUTES", "STOPS", "STOP_TIMES", "TRIPS")]
     listing = spark.createDataFrame([(p,) for p in paths], "path string")
