@@ -29,7 +29,7 @@ def commit_product(rows: DataFrame, feeds: DataFrame, path: str, commit: int) ->
     base = path.rstrip("/")
     named = feeds.select(*FEED).distinct()
     data = f"{base}/data/commit={commit}"
-    write_feed_table(semi_filter(rows, named, FEED), data, whole=True)
+    write_feed_table(semi_filter(rows, named, FEED), data, whole=True, n_feeds=named.count())
     kept = spark.read.schema(rows.schema).parquet(data)
     counts = kept.groupBy(*FEED).agg(F.count("*").alias("n_rows"))
     manifest = named.join(counts, list(FEED), "left").select(

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from headway.operators.columns import union_tables
 from headway.operators.joins import anti_filter
 from headway.schemas import FEED, SOURCES
-from headway.session import shared_dir
+from headway.session import OPEN_FEEDS, shared_dir
 from headway.sources.listing import list_files, literal
 
 # Texts that mean "no value" in a source file.
@@ -255,15 +255,18 @@ def write_feed_table(
     rows_per_file: int = 5_000_000,
     mode: str = "overwrite",
     whole: bool = False,
+    n_feeds: int | None = None,
 ) -> None:
     """Write a table in feed folders.
 
     Rows are brought together by feed, so small feeds get one file each, and Spark splits the
-    feeds that are too large for one task.  Only the written feeds are replaced, with ``whole`` the
-    whole table.
+    feeds that are too large for one task.  Where there are known to be few, ``n_feeds`` of them,
+    that shuffle is left out: each task writes its rows as they come to one file per feed.  Only the
+    written feeds are replaced, with ``whole`` the whole table.
     """
+    few = n_feeds is not None and n_feeds <= OPEN_FEEDS
     writer = (
-        df.hint("rebalance", *[F.col(name) for name in FEED])
+        (df if few else df.hint("rebalance", *[F.col(name) for name in FEED]))
         .write.mode(mode)
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("maxRecordsPerFile", rows_per_file)

@@ -36,7 +36,7 @@ from headway.sources.tables import (
     write_feed_table,
 )
 from headway.streaming.ingest import ingest_new_feeds, write_products
-from headway.verify.star import AS_OF, feed_tables, table
+from headway.verify.star import AS_OF, FEEDS, feed_tables, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -679,7 +679,7 @@ def _store(spark, sf_dir, *names):
             df = df.withColumn("agency_id", F.lit("A"))
         else:
             df = table(spark, sf_dir, name)
-        write_feed_table(df, path, fmt="csv")
+        write_feed_table(df, path, fmt="csv", n_feeds=len(FEEDS))
     return root
 
 

@@ -133,6 +133,21 @@ def test_a_commit_without_manifest_is_not_seen(spark, tmp_path):
     assert product_commits(spark, path).count() == 4
 
 
+def test_few_feeds_are_written_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(0, 9000, 1, 3).selectExpr("CAST(id % 3 AS STRING) AS explotation", "'1' AS contract", "'v' AS version", "id")
+    path = str(tmp_path / "product")
+    shuffled = lambda n: len(list((tmp_path / f"t{n}").rglob("part-*.parquet")))
+    for n in (None, 3, 100):
+        write_feed_table(rows, str(tmp_path / f"t{n}"), n_feeds=n)
+    assert [shuffled(n) for n in (None, 3, 100)] == [3, 9, 3]
+    spark.createDataFrame([("0", "1", "v"), ("2", "1", "v"), ("7", "1", "v")], FEED_SCHEMA).write.parquet(str(tmp_path / "feeds"))
+    commit_product(rows, spark.read.parquet(str(tmp_path / "feeds")), path, 0)
+    assert len(list((tmp_path / "product/data").rglob("part-*.parquet"))) == 6  # two feeds, three tasks
+    found = read_product(spark, path)
+    assert sorted(r.id for r in found.collect()) == [i for i in range(9000) if i % 3 != 1]
+    assert {(r.explotation, r.n_rows) for r in product_commits(spark, path).collect()} == {("0", 3000), ("2", 3000), ("7", 0)}
+
+
 def test_feeds_are_pruned_at_run_time(spark, tmp_path, monkeypatch):
     columns = "explotation string, contract string, version string, x int"
     write_feed_table(spark.createDataFrame([(str(i), "1", "v", i) for i in range(6)], columns), str(tmp_path / "t"))
