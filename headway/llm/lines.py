@@ -20,23 +20,40 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _with_shingles(lines: DataFrame, rarity: Column | None = None) -> DataFrame:
-    """Lines (key, line, text) with their set of shingle codes, by rarity where that is given.
+def _words(lines: DataFrame) -> DataFrame:
+    """Lines (key, line, text) with the hashes of their words.
+
+    White space is made spaces first, as a split at one plain sign needs no regular expression.
+    """
+    text = F.lower("text")
+    for sign in "\t\n\v\f\r":
+        text = F.replace(text, F.lit(sign), F.lit(" "))
+    words = F.array_remove(F.split(text, " "), "")
+    return lines.select(*_PLACE, F.transform(words, lambda w: F.xxhash64(w)).alias("words"))
+
+
+def _run(at: Column) -> Column:
+    return F.xxhash64(*[F.get("words", at + j) for j in range(WIDTH)])
+
+
+def _bucket(shingle: Column) -> Column:
+    return F.shiftrightunsigned(shingle, 64 - BUCKETS.bit_length() + 1).cast("int")
+
+
+def _with_shingles(lines: DataFrame, rarity: Column) -> DataFrame:
+    """Lines (key, line, text) with their set of shingle codes, in the order of rarity.
 
     A code holds the level of the shingle's rarity and 56 bits of its hash, so the natural order
     of the codes is the order by rarity.  No filter may stand on the set: Spark would push it below
-    and work the words out once per use.  For the same reason sets are exploded with
-    ``explode_outer`` and nulls dropped behind it.
+    and work the words out once per use.  For the same reason arrays are exploded with
+    ``posexplode_outer`` and nulls dropped behind it.
     """
-    words = F.array_remove(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), "")
-    hashes = lines.select(*_PLACE, F.transform(words, lambda w: F.xxhash64(w)).alias("words"))
+    hashes = _words(lines)
     n = F.size("words")
-    runs = F.transform(F.sequence(F.lit(0), n - WIDTH), lambda i: F.xxhash64(*[F.get("words", i + j) for j in range(WIDTH)]))
+    runs = F.transform(F.sequence(F.lit(0), n - WIDTH), _run)
     shingles = F.when(n >= WIDTH, runs).when(n > 0, F.array(F.xxhash64("words"))).otherwise(F.array().cast("array<bigint>"))
-    if rarity is None:
-        return hashes.select(*_PLACE, F.array_distinct(shingles).alias("set"))
-    level = lambda x: F.coalesce(F.get(rarity, F.pmod(x, F.lit(BUCKETS)).cast("int")), F.lit(0)).cast("bigint")
-    coded = F.transform(F.array_distinct(shingles), lambda x: F.shiftleft(level(x), 56) + F.shiftrightunsigned(x, 8))
+    level = lambda x: F.coalesce(F.get(rarity, _bucket(x)), F.lit(0).cast("bigint"))
+    coded = F.transform(F.array_distinct(shingles), lambda x: level(x) + F.shiftrightunsigned(x, 8))
     return hashes.select(*_PLACE, F.sort_array(coded).alias("set"))
 
 
@@ -57,12 +74,17 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return joined.select("row", "doc_id", "text", F.when(F.col("shared"), hashed).otherwise(F.col("doc_id")).alias("key"))
 
 
-def _rarity(sets: DataFrame) -> Column:
-    """Level of how often shingles of a bucket occur: a bounded table, held as one literal."""
-    bucket = F.pmod("shingle", F.lit(BUCKETS))
-    counts = sets.select(F.explode_outer("set").alias("shingle")).where("shingle is not null").groupBy(bucket.cast("int").alias("bucket")).agg(F.count("*").alias("n"))
+def _rarity(lines: DataFrame) -> Column:
+    """Level of how often shingles of a bucket occur: a bounded table, held as one literal.
+
+    A level stands in the highest byte, as it does in a code.  Shingles are counted as often as they stand in a line, in rows, for which Spark makes code.
+    """
+    n, at = F.size("words"), F.col("at")
+    runs = _words(lines).select("words", F.posexplode_outer("words").alias("at", "word")).where((at == 0) | (at <= n - WIDTH))
+    bucket = _bucket(F.when(n >= WIDTH, _run(at)).otherwise(F.xxhash64("words")))
+    counts = runs.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
     levels = dict(counts.select("bucket", F.least(F.floor(F.log2("n") * 4), F.lit(127)).alias("level")).collect())
-    return F.expr(f"array({','.join(str(levels.get(i, 0)) for i in range(BUCKETS))})")
+    return F.expr(f"array({','.join(f'{levels.get(i, 0) << 56}L' for i in range(BUCKETS))})")
 
 
 def _prefix_size(n: Column) -> Column:
@@ -118,23 +140,34 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """Places (key, line) of lines that repeat an earlier one, for documents (key, text).
 
     1. Shingles are counted in hash buckets, which gives their order by rarity.
-    2. Each line puts its prefix, the rarest quarter of its shingles, up for the join.  Only
-       shingles that two prefixes share are kept; the rest of the join sees few lines.
+    2. Each line's prefix, the rarest quarter of its shingles, and hashes of its set are written.
+       Only shingles that two prefixes share are kept; the rest of the join sees few lines.
     3. Lines with equal sets become one class; all but its first line are repeats.
     4. A class is held against the first of those it shares a shingle with, and where that one
        isn't similar, against every earlier one, after the length, positional and bit filters and
        on the whole sets.
     """
     split = docs.select("key", F.posexplode(_lines(F.col("text"))).alias("line", "text"))
-    rarity = _rarity(_with_shingles(split))
-    sets = _with_shingles(split, rarity)
-    prefix = sets.select(*_PLACE, F.explode_outer(F.slice("set", F.lit(1), _prefix_size(F.size("set")))).alias("shingle")).where("shingle is not null")
+    rarity = _rarity(split)
+    n = F.size("set")
+    heads = _with_shingles(split, rarity).select(
+        *_PLACE, n.alias("n"), F.xxhash64("set").alias("h1"), F.xxhash64(F.lit(1), "set").alias("h2"), F.slice("set", F.lit(1), _prefix_size(n)).alias("prefix")
+    )
+    heads = written(heads, "line_heads").where("n > 0")
+    prefix = heads.select(*_PLACE, "n", F.posexplode_outer("prefix").alias("at", "shingle"))
     # What is too frequent to gather is known from the counts: it is shared, and goes to many tasks.
     hot = F.shiftright("shingle", 56) >= HOT
     salt = F.when(hot, F.pmod(F.xxhash64(*_PLACE), F.lit(SALTS))).otherwise(F.lit(0))
     met = F.count("*").over(Window.partitionBy("shingle", "salt"))
     shared = prefix.withColumn("salt", salt).withColumn("lines", met).where(hot | (F.col("lines") > 1))
-    shared = written(shared.select(*_PLACE, "shingle"), "shared_shingles")
+    shared = written(shared.select("shingle", *_PLACE, "n", "at"), "shared_shingles")
+
+    # The first line of each class is found by its place: a join by the set would bring a class together.
+    first = written(heads.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first")).select("first.*"), "first_lines")
+    copies = heads.select(*_PLACE).join(first, list(_PLACE), "left_anti")
+    own = shared.distinct().join(first, list(_PLACE), "left_semi")
+    several = own.groupBy("shingle").agg(F.count("*").alias("lines")).where("lines > 1").select("shingle")
+    bucket = written(own.join(several, "shingle").select("shingle", *_PLACE, "n", "at"), "line_buckets")
 
     def sets_of(places: DataFrame) -> DataFrame:
         """The whole sets of some lines, from their texts."""
@@ -144,20 +177,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         some = texts.select("key", F.col("lines"), F.posexplode(_lines(F.col("text"))).alias("line", "text")).where(F.array_contains("lines", F.col("line")))
         return _with_shingles(some, rarity)
 
-    # Only hashes of the sets are kept of the many lines that are plain copies.
-    hashed = sets_of(shared).select(*_PLACE, F.xxhash64("set").alias("h1"), F.xxhash64(F.lit(1), "set").alias("h2"))
-    hashed = written(hashed.distinct(), "line_hashes")
-    first = hashed.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"))
-    classed = written(hashed.join(first, ["h1", "h2"]).select(*_PLACE, (F.struct(*_PLACE) == F.col("first")).alias("is_first")), "line_classes")
-    copies = classed.where("not is_first").select(*_PLACE)
-
-    own = shared.distinct().join(classed.where("is_first").select(*_PLACE), list(_PLACE))
-    several = own.groupBy("shingle").agg(F.count("*").alias("lines")).where("lines > 1").select("shingle")
-    places = written(own.join(several, "shingle"), "line_places")
-    classes = written(sets_of(places).dropDuplicates(list(_PLACE)), "line_sets")
+    classes = written(sets_of(bucket).dropDuplicates(list(_PLACE)), "line_sets")
     bits = written(_with_bits(classes), "line_bits")
-    at = (F.array_position("set", F.col("shingle")) - 1).alias("at")
-    bucket = written(places.join(classes, list(_PLACE)).select("shingle", *_PLACE, F.size("set").alias("n"), at), "line_buckets")
     lead = bucket.groupBy("shingle").agg(F.min(F.struct("key", "line", "n", "at")).alias("y"), F.count("*").alias("lines")).where("lines > 1").select("shingle", "y.*")
     near = written(_verified(_candidates(bucket, _other(lead)), classes, bits), "near_lines")
     apart = bucket.join(near, list(_PLACE), "left_anti")

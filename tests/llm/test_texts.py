@@ -1,6 +1,7 @@
 """Archive, decontamination, line dedup, packing and the pipeline."""
 
 import hashlib
+import time
 import zlib
 
 import numpy as np
@@ -9,12 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from headway.llm import warc
+from headway.llm import lines, warc
 from headway.llm.decontaminate import WuManber, benchmark_hits
 from headway.llm.lines import drop_repeated_lines, line_repeats
 from headway.llm.packing import Index, fill_windows, pack
 from headway.llm.queries import packed
-from headway.llm.shared import shared_folder
+from headway.llm.shared import CLEANUP, shared_folder, written
 from headway.llm.words import SIGNS, word_codes
 
 
@@ -138,6 +139,41 @@ def test_similar_lines(llm):
     assert {r["doc_id"]: r["removed_lines"] for r in line_repeats(docs).collect()} == {d: [0] if d in wanted else [] for d in range(60)}
 
 
+def test_sets_are_worked_out_twice_only(llm, monkeypatch):
+    """Once for all lines and once for those that meet others; a class never comes together by its set."""
+    made, tables = [], []
+    shingles, table = lines._with_shingles, lines.written
+    monkeypatch.setattr(lines, "_with_shingles", lambda *a: made.append(1) or shingles(*a))
+    monkeypatch.setattr(lines, "written", lambda df, name: tables.append((name, df)) or table(df, name))
+    same = "one two three four five six\n\n \t \n one\tTWO  three four\rfive six"
+    docs = llm.createDataFrame([(i, same) for i in range(20)], "doc_id bigint, text string")
+    removed = {r["doc_id"]: r["removed_lines"] for r in line_repeats(docs).collect()}
+    assert removed == {i: [0, 3] if i else [3] for i in range(20)}
+    assert len(made) == 2
+    plans = [df._jdf.queryExecution().executedPlan().toString() for _, df in tables]
+    assert not any("Join" in line and "h1" in line for plan in plans for line in plan.split("\n"))
+
+
+def test_a_written_table_leaves_no_shuffle_files(llm):
+    env = llm.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+
+    def left():
+        return {f.getName() for f in _scala_list(env.blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    def _scala_list(seq):
+        return [seq.apply(i) for i in range(seq.size())]
+
+    before, conf = left(), llm.conf.get(CLEANUP, None)
+    groups = written(llm.range(1000).groupBy((F.col("id") % 7).alias("a")).agg(F.count("*").alias("n")), "groups")
+    for _ in range(100):
+        if left() <= before:
+            break
+        time.sleep(0.1)
+    assert left() <= before
+    assert llm.conf.get(CLEANUP, None) == conf
+    assert groups.count() == 7 and sum(r["n"] for r in groups.collect()) == 1000
+
+
 def _ids(text):
     import public_tokenizers
     from tokenizers import Tokenizer
