@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from headway.llm import lines, warc
+from headway.llm import lines, packing, warc
 from headway.llm.decontaminate import WuManber, benchmark_hits
 from headway.llm.lines import drop_repeated_lines, line_repeats
 from headway.llm.packing import Index, fill_windows, pack
@@ -231,6 +231,25 @@ def test_packing_with_ids(llm):
     assert {r["doc_id"]: r["ids"] for r in rows} == {i: _ids(t).tolist() for i, t in enumerate(texts)}
 
 
+def test_plain_texts_are_encoded_whole(monkeypatch):
+    import public_tokenizers as P
+
+    tokens = packing.Tokens(P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    calls, ranks = [], tokens.ranks
+
+    class Counted:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return ranks.encode_ordinary(text)
+
+    tokens.ranks = Counted()
+    plain = ["it's one line of 12 words", "é ß 漢字\nline. two", "a\u200bb c", "x" * 3000 + " y"]
+    odd = ["", " a", "a ", "a  b", "a\n\nb", "a\tb", "a\x1cb", "a\xa0b", "a\u3000b", "a\x85b", "a\r\nb", "x <|endoftext|>"]
+    for text in plain + odd:
+        assert tokens.encode(text) + b"\0\0\0\0" == _ids(text).tobytes()
+    assert calls == plain
+
+
 def test_neighbours_come_together():
     rng = np.random.default_rng(6)
     topics = [rng.integers(1000 * t, 1000 * t + 50, (10, 100)) for t in range(1, 6)]
