@@ -250,6 +250,19 @@ def test_plain_texts_are_encoded_whole(monkeypatch):
     assert calls == plain
 
 
+def test_columns_are_encoded_without_looking_ahead():
+    import public_tokenizers as P
+    import pyarrow as pa
+
+    tokens = packing.Tokens(P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    rng = np.random.default_rng(7)
+    signs = [*"ab1'.é漢", *"  \n\n", *"\t\v\f\r\x1c\x1f\x85\xa0\u1680\u2000\u200a\u200b\u2028\u2029\u202f\u205f\u3000"]
+    texts = ["".join(signs[i] for i in rng.integers(0, n, rng.integers(0, 9))) for n in [9, 11, len(signs)] for _ in range(500)]
+    texts += ["it's a\nplain text", "x<|endoftext|>y", "a \n b"]
+    assert [x + b"\0\0\0\0" for x in tokens.encode_all(pa.array(texts, pa.string()))] == [_ids(t).tobytes() for t in texts]
+    assert "(?" in P.PATTERN and "(?" not in tokens.ranks._pat_str
+
+
 def test_neighbours_come_together():
     rng = np.random.default_rng(6)
     topics = [rng.integers(1000 * t, 1000 * t + 50, (10, 100)) for t in range(1, 6)]
