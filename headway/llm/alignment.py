@@ -107,7 +107,7 @@ class Pair:
         self.a_size, self.b_size = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         self.digits = pa.array([str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))])
         # Texts may be cut at spaces only if neither kind of token crosses such a place.
-        split = json.loads(self.a.to_str())["pre_tokenizer"]
+        split = json.loads(self.a.pre_tokenizer.__getstate__()) if self.a.pre_tokenizer else {}
         inner = any(not self.b.is_control(i) and "▁" in p.lstrip("▁") for i, p in enumerate(pieces))
         self.can_cut = not inner and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
         self._clear()
@@ -357,7 +357,7 @@ def aligned(docs: DataFrame, json_path: str, piece_path: str, id_col: str = "doc
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = pair(json_path, piece_path)
-        for batch in batches:
+        for batch in bounded(batches, "text", 1 << 20):
             for doc_id, text, key in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 parts = [(key, doc_id, nth, *part) for nth, part in enumerate(byte_ranges(tokens, text, size))]
                 for i in range(0, len(parts), 64):
@@ -367,7 +367,7 @@ def aligned(docs: DataFrame, json_path: str, piece_path: str, id_col: str = "doc
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = pair(json_path, piece_path)
-        for batch in bounded(batches, "text"):
+        for batch in bounded(batches, "text", 1 << 20):
             found = []
             for key, doc_id, nth, first, low, high, text in zip(*(c.to_pylist() for c in batch.columns)):
                 part, codes, often = range_fragment(tokens, text, first, low, high)
@@ -378,31 +378,37 @@ def aligned(docs: DataFrame, json_path: str, piece_path: str, id_col: str = "doc
     # Dealt anew, as all ranges of a document come from one task.
     parts = written(ranges.repartition("key", "nth").mapInArrow(one, fragment), "fragments")
     deepest = parts.agg(F.max("nth")).first()[0]
-    levels = 0
+    levels = 1
     while deepest is not None and deepest >= FAN_IN ** levels:
         levels += 1
 
-    def compose_level(table: pa.Table) -> pa.Table:
+    def composed(table: pa.Table) -> tuple[Fragment, np.ndarray, np.ndarray]:
         table = table.sort_by("nth")
         found = compose_all([Fragment(*r) for r in zip(*(table.column(c).to_pylist() for c in Fragment._fields))])
         joined = lambda c: np.concatenate([np.zeros(0, np.int64), *[x.values.to_numpy() for x in table.column(c) if len(x)]])
         code, at = np.unique(joined("codes"), return_inverse=True)
-        total = np.bincount(at, joined("often"), len(code)).astype(np.int64)
+        return found, code, np.bincount(at, joined("often"), len(code)).astype(np.int64)
+
+    def compose_level(table: pa.Table) -> pa.Table:
+        found, code, total = composed(table)
         first = table.column("key")[0].as_py(), table.column("doc_id")[0].as_py(), table.column("nth")[0].as_py() // FAN_IN
         return pa.Table.from_batches([_fragments([(*first, *found, code, total)], _names(fragment))])
 
-    for _ in range(levels):
-        parts = parts.withColumn("up", F.floor(F.col("nth") / FAN_IN)).groupBy("key", "up").applyInArrow(compose_level, fragment)
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            get = lambda c: batch.column(batch.schema.get_field_index(c)).to_pylist()
-            rows: list[tuple] = []
-            for doc_id, codes, often, whole in zip(get("doc_id"), get("codes"), get("often"), (Fragment(*r) for r in zip(*(get(c) for c in Fragment._fields)))):
-                rows.append((doc_id, whole.n_a, whole.n_b, whole.cuts, _digest(groups_text(whole)), codes, often) if whole.plain else (doc_id, 0, 0, 0, "", [], []))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _DONE_TYPES)] if rows else [pa.array([], t) for t in _DONE_TYPES], names=_names(_DONE))
-
-    return rows.where(~long).mapInArrow(short, _DONE).unionAll(parts.mapInArrow(finish, _DONE))
+    def finish(table: pa.Table) -> pa.Table:
+        # The last level gives the digest at once: groups of several documents are never held together.
+        whole, code, total = composed(table)
+        doc_id = table.column("doc_id")[0].as_py()
+        row = (doc_id, whole.n_a, whole.n_b, whole.cuts, _digest(groups_text(whole)), code, total) if whole.plain else (doc_id, 0, 0, 0, "", [], [])
+        return pa.table([pa.array([c], t) for c, t in zip(row, _DONE_TYPES)], names=_names(_DONE))
+
+    done = rows.where(~long).mapInArrow(short, _DONE)
+    if deepest is None:
+        return done
+    for level in range(levels):
+        last = level == levels - 1
+        grouped = parts.withColumn("up", F.floor(F.col("nth") / FAN_IN)).groupBy("key", "up")
+        parts = grouped.applyInArrow(finish if last else compose_level, _DONE if last else fragment)
+    return done.unionAll(parts)
 
 
 def _fragments(rows: list[tuple], names: list[str]) -> pa.RecordBatch:

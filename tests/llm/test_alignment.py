@@ -9,7 +9,7 @@ import sentencepiece
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from headway.llm.alignment import HIGH, Fragment, Pair, align, byte_ranges, compose, compose_all, groups_text, range_fragment, ranged
+from headway.llm.alignment import HIGH, Fragment, Pair, align, aligned, byte_ranges, compose, compose_all, groups_text, range_fragment, ranged
 
 JSON, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = [
@@ -130,3 +130,14 @@ def test_a_full_store_is_emptied(tokens, plainly, monkeypatch):
         numbers = own.numbers(own.units(text))
         assert own.text_of(numbers) == ";".join(plainly(text)[2])
     assert len(own.groups) < 11
+
+
+def test_the_last_composition_gives_the_digests(llm, plainly):
+    """Whole documents' groups never leave the task that composes them, many documents in one batch."""
+    rows = [(i, f"it's {i}, " + " ".join(f"unbelievable{j}" for j in range(60))) for i in range(3)] + [(3, "x" * 200), (4, "short")]
+    found = aligned(llm.createDataFrame(rows, "doc_id bigint, text string"), JSON, PIECES, size=40)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert sum("FlatMapGroupsInArrow" in line for line in plan) >= 2
+    assert sum("MapInArrow" in line and "Groups" not in line for line in plan) == 1
+    wanted = {i: hashlib.sha256(";".join(plainly(text)[2]).encode()).hexdigest() for i, text in rows}
+    assert {r["doc_id"]: r["groups_sha256"] for r in found.collect()} == wanted
