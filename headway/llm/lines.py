@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from headway.llm.shared import written
+from headway.llm.shared import dropped, written
 
 #: Words of a shingle, and the similarity at which a line repeats an earlier one.
 WIDTH, PERCENT = 5, 75
@@ -124,12 +124,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, bits: DataFrame) -> DataFrame:
     apart = sum(F.bit_count(F.col(f"b{j}").bitwiseXOR(F.col(f"y_b{j}"))) for j in range(4))
     size = F.col("n") + F.col("y_n")
     near = pairs.join(bits, list(_PLACE)).join(_other(bits), ["y_key", "y_line"]).where((size - apart) * (100 + PERCENT) >= size * 2 * PERCENT)
-    near = near.select("key", "line", "y_key", "y_line")
+    # Written, so that the shuffle files of the pairs are gone when the sets come.
+    near = written(near.select("key", "line", "y_key", "y_line"), "line_pairs")
     own = sets.select("key", "line", F.col("set").alias("x"))
     other = sets.select(F.col("key").alias("y_key"), F.col("line").alias("y_line"), F.col("set").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     joined = near.join(own, list(_PLACE)).join(other, ["y_key", "y_line"]).select("key", "line", "x", "y", both.alias("both"))
-    return joined.where(F.col("both") * 100 >= (F.size("x") + F.size("y") - F.col("both")) * PERCENT).select(*_PLACE).distinct()
+    similar = joined.where(F.col("both") * 100 >= (F.size("x") + F.size("y") - F.col("both")) * PERCENT).select(*_PLACE).distinct()
+    similar = written(similar, "near_lines")
+    dropped(near)
+    return similar
 
 
 def _other(df: DataFrame) -> DataFrame:
@@ -153,7 +157,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     heads = _with_shingles(split, rarity).select(
         *_PLACE, n.alias("n"), F.xxhash64("set").alias("h1"), F.xxhash64(F.lit(1), "set").alias("h2"), F.slice("set", F.lit(1), _prefix_size(n)).alias("prefix")
     )
-    heads = written(heads, "line_heads").where("n > 0")
+    all_heads = written(heads, "line_heads")
+    heads = all_heads.where("n > 0")
     prefix = heads.select(*_PLACE, "n", F.posexplode_outer("prefix").alias("at", "shingle"))
     # What is too frequent to gather is known from the counts: it is shared, and goes to many tasks.
     hot = F.shiftright("shingle", 56) >= HOT
@@ -164,10 +169,12 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
     # The first line of each class is found by its place: a join by the set would bring a class together.
     first = written(heads.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first")).select("first.*"), "first_lines")
-    copies = heads.select(*_PLACE).join(first, list(_PLACE), "left_anti")
+    copies = written(heads.select(*_PLACE).join(first, list(_PLACE), "left_anti"), "line_copies")
+    dropped(all_heads)
     own = shared.distinct().join(first, list(_PLACE), "left_semi")
     several = own.groupBy("shingle").agg(F.count("*").alias("lines")).where("lines > 1").select("shingle")
     bucket = written(own.join(several, "shingle").select("shingle", *_PLACE, "n", "at"), "line_buckets")
+    dropped(shared, first)
 
     def sets_of(places: DataFrame) -> DataFrame:
         """The whole sets of some lines, from their texts."""
@@ -180,16 +187,18 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     classes = written(sets_of(bucket).dropDuplicates(list(_PLACE)), "line_sets")
     bits = written(_with_bits(classes), "line_bits")
     lead = bucket.groupBy("shingle").agg(F.min(F.struct("key", "line", "n", "at")).alias("y"), F.count("*").alias("lines")).where("lines > 1").select("shingle", "y.*")
-    near = written(_verified(_candidates(bucket, _other(lead)), classes, bits), "near_lines")
+    near = _verified(_candidates(bucket, _other(lead)), classes, bits)
     apart = bucket.join(near, list(_PLACE), "left_anti")
     more = _verified(_candidates(apart, _other(bucket)), classes, bits)
-    return copies.unionAll(near).unionAll(more).distinct()
+    found = written(copies.unionAll(near).unionAll(more).distinct(), "repeated_lines")
+    dropped(copies, bucket, classes, bits, near, more)
+    return found
 
 
 def _removed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The documents with their key, and the sorted numbers of the lines to remove by key."""
     with_key = keyed(docs, id_col, text_col)
-    places = written(repeated_lines(with_key.select("key", "text")), "repeated_lines")
+    places = repeated_lines(with_key.select("key", "text"))
     return with_key, places.groupBy("key").agg(F.sort_array(F.collect_set("line")).alias("removed_lines"))
 
 

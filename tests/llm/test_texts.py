@@ -1,6 +1,7 @@
 """Archive, decontamination, line dedup, packing and the pipeline."""
 
 import hashlib
+import os
 import time
 import zlib
 
@@ -174,6 +175,16 @@ def test_a_written_table_leaves_no_shuffle_files(llm):
     assert groups.count() == 7 and sum(r["n"] for r in groups.collect()) == 1000
 
 
+def test_lines_keep_no_table_that_is_read_no_more(llm, monkeypatch):
+    tables, table = [], lines.written
+    monkeypatch.setattr(lines, "written", lambda df, name: tables.append((name, table(df, name))) or tables[-1][1])
+    words = [f"w{i}" for i in range(30)]
+    docs = llm.createDataFrame([(i, " ".join(words[:-1] + [f"x{i}"]) + "\nsame line of six words here") for i in range(20)], "doc_id bigint, text string")
+    removed = {r["doc_id"]: r["removed_lines"] for r in line_repeats(docs).collect()}
+    assert removed == {i: [0, 1] if i else [] for i in range(20)}
+    assert {name for name, df in tables if os.path.exists(df.folder.removeprefix("file:"))} == {"shared_ids", "repeated_lines"}
+
+
 def _ids(text):
     import public_tokenizers
     from tokenizers import Tokenizer
