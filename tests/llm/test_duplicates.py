@@ -1,5 +1,6 @@
 """Near-duplicate documents and passages against brute force."""
 
+import os
 import re
 
 import numpy as np
@@ -7,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from headway.llm import minhash
+from headway.llm import minhash, passages
 from headway.llm.minhash import band_keys, circulant_signatures, near_duplicates
 from headway.llm.passages import compact_windows, near_passages
 from headway.llm.shared import components, respelled
@@ -244,3 +245,13 @@ def test_a_node_of_many_links_is_split(llm):
     finally:
         for name, value in before.items():
             llm.conf.unset(name) if value is None else llm.conf.set(name, value)
+
+
+def test_passages_keep_no_table_but_the_passages(llm, monkeypatch):
+    tables, table = [], passages.written
+    monkeypatch.setattr(passages, "written", lambda df, name: tables.append((name, table(df, name))) or tables[-1][1])
+    same = " ".join(f"w{i}" for i in range(80))
+    docs = llm.createDataFrame([(i, f"a{i} b{i} c{i} {same} d{i} e{i}") for i in range(4)], "doc_id bigint, text string")
+    found = passages.near_passages(docs)
+    assert {(r["doc_id"], r["class_doc_id"]) for r in found.collect()} == {(i, 0) for i in range(1, 4)}
+    assert {name for name, df in tables if os.path.exists(df.folder.removeprefix("file:"))} == {"passages"}
