@@ -92,40 +92,45 @@ def _prefix_size(n: Column) -> Column:
     return n - F.ceil(n * PERCENT / 100).cast("int") + 1
 
 
+def _may_match() -> Column:
+    """Whether two lines of a bucket, the other with a leading ``y_``, may be similar by their sizes and places.
+
+    The sizes must be near, and what lies behind the shared shingle must suffice for the overlap
+    that the threshold asks for.
+    """
+    sized = F.least("n", "y_n") * 100 >= F.greatest("n", "y_n") * PERCENT
+    reach = F.least("at", "y_at") + F.least(F.col("n") - F.col("at"), F.col("y_n") - F.col("y_at"))
+    return (F.col("shingle") == F.col("y_shingle")) & sized & (reach * (100 + PERCENT) >= (F.col("n") + F.col("y_n")) * PERCENT)
+
+
 def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of places that share a prefix shingle, the right one earlier, and may be similar.
 
-    ``right`` has the columns of ``left`` but a leading ``y_``.  The sizes must be near, and what
-    lies behind the shared shingle must suffice for the overlap that the threshold asks for.
+    ``right`` has the columns of ``left`` but a leading ``y_``.  A bit that only one of two sets has
+    stands for a shingle that only that set has, so the bits bound what the sets share.  All this
+    is asked within the join: most pairs of a bucket are told apart there and never become rows.
     """
     earlier = F.struct("y_key", "y_line") < F.struct("key", "line")
-    sized = F.least("n", "y_n") * 100 >= F.greatest("n", "y_n") * PERCENT
-    reach = F.least("at", "y_at") + F.least(F.col("n") - F.col("at"), F.col("y_n") - F.col("y_at"))
-    enough = reach * (100 + PERCENT) >= (F.col("n") + F.col("y_n")) * PERCENT
-    return left.join(right, (F.col("shingle") == F.col("y_shingle")) & earlier & sized & enough).select("key", "line", "y_key", "y_line").distinct()
+    apart = sum(F.bit_count(F.col(f"b{j}").bitwiseXOR(F.col(f"y_b{j}"))) for j in range(4))
+    size = F.col("n") + F.col("y_n")
+    near = (size - apart) * (100 + PERCENT) >= size * 2 * PERCENT
+    return left.join(right, earlier & _may_match() & near).select("key", "line", "y_key", "y_line").distinct()
 
 
 def _with_bits(sets: DataFrame) -> DataFrame:
-    """Per set its size and four words of bits, one bit set for each of its shingles."""
+    """Four words of bits per set, one bit set for each of its shingles."""
     word = lambda j: F.aggregate(
         F.filter("set", lambda x: F.pmod(F.shiftright(x, 6), F.lit(4)) == j),
         F.lit(0).cast("bigint"),
         lambda bits, x: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(x, F.lit(64)).cast("int"))),
     )
-    return sets.select(*_PLACE, F.size("set").alias("n"), *[word(j).alias(f"b{j}") for j in range(4)])
-
+    return sets.select(*_PLACE, *[word(j).alias(f"b{j}") for j in range(4)])
 
-def _verified(pairs: DataFrame, sets: DataFrame, bits: DataFrame) -> DataFrame:
-    """Places whose whole set is similar enough to that of the earlier place of a pair.
 
-    A bit that only one of two sets has stands for a shingle that only that set has, so the bits
-    bound what the sets share.  Only pairs within the bound bring their whole sets together.
-    """
-    apart = sum(F.bit_count(F.col(f"b{j}").bitwiseXOR(F.col(f"y_b{j}"))) for j in range(4))
-    size = F.col("n") + F.col("y_n")
-    near = pairs.join(bits, list(_PLACE)).join(_other(bits), ["y_key", "y_line"]).where((size - apart) * (100 + PERCENT) >= size * 2 * PERCENT)
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Places whose whole set is similar enough to that of the earlier place of a pair."""
     # Written, so that the shuffle files of the pairs are gone when the sets come.
-    near = written(near.select("key", "line", "y_key", "y_line"), "line_pairs")
+    near = written(pairs, "line_pairs")
     own = sets.select("key", "line", F.col("set").alias("x"))
     other = sets.select(F.col("key").alias("y_key"), F.col("line").alias("y_line"), F.col("set").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
@@ -171,10 +176,12 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     first = written(heads.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first")).select("first.*"), "first_lines")
     copies = written(heads.select(*_PLACE).join(first, list(_PLACE), "left_anti"), "line_copies")
     dropped(all_heads)
-    own = shared.distinct().join(first, list(_PLACE), "left_semi")
-    several = own.groupBy("shingle").agg(F.count("*").alias("lines")).where("lines > 1").select("shingle")
-    bucket = written(own.join(several, "shingle").select("shingle", *_PLACE, "n", "at"), "line_buckets")
+    own = written(shared.distinct().join(first, list(_PLACE), "left_semi"), "class_shingles")
     dropped(shared, first)
+    # A line that no other one may match stays out, so most that share a shingle by chance cost no more.
+    other = _may_match() & ((F.col("key") != F.col("y_key")) | (F.col("line") != F.col("y_line")))
+    bucket = written(own.join(_other(own), other, "left_semi"), "line_buckets")
+    dropped(own)
 
     def sets_of(places: DataFrame) -> DataFrame:
         """The whole sets of some lines, from their texts."""
@@ -185,13 +192,16 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         return _with_shingles(some, rarity)
 
     classes = written(sets_of(bucket).dropDuplicates(list(_PLACE)), "line_sets")
-    bits = written(_with_bits(classes), "line_bits")
-    lead = bucket.groupBy("shingle").agg(F.min(F.struct("key", "line", "n", "at")).alias("y"), F.count("*").alias("lines")).where("lines > 1").select("shingle", "y.*")
-    near = _verified(_candidates(bucket, _other(lead)), classes, bits)
-    apart = bucket.join(near, list(_PLACE), "left_anti")
-    more = _verified(_candidates(apart, _other(bucket)), classes, bits)
+    # The bits stand in every row of a line, so that a bucket tells its pairs apart by itself.
+    marked = written(bucket.join(_with_bits(classes), list(_PLACE)), "line_bits")
+    dropped(bucket)
+    lead = marked.groupBy("shingle").agg(F.min(F.struct(*[c for c in marked.columns if c != "shingle"])).alias("y"), F.count("*").alias("lines"))
+    lead = lead.where("lines > 1").select("shingle", "y.*")
+    near = _verified(_candidates(marked, _other(lead)), classes)
+    apart = marked.join(near, list(_PLACE), "left_anti")
+    more = _verified(_candidates(apart, _other(marked)), classes)
     found = written(copies.unionAll(near).unionAll(more).distinct(), "repeated_lines")
-    dropped(copies, bucket, classes, bits, near, more)
+    dropped(copies, marked, classes, near, more)
     return found
 
 

@@ -185,6 +185,23 @@ def test_lines_keep_no_table_that_is_read_no_more(llm, monkeypatch):
     assert {name for name, df in tables if os.path.exists(df.folder.removeprefix("file:"))} == {"shared_ids", "repeated_lines"}
 
 
+def test_unlike_lines_of_a_bucket_make_no_pairs(llm, monkeypatch):
+    """Edited copies too far from each other share most of their buckets; few of their pairs may become rows."""
+    rng, made, candidates = np.random.default_rng(3), [], lines._candidates
+    monkeypatch.setattr(lines, "_candidates", lambda *a: made.append(candidates(*a).count()) or candidates(*a))
+    base, rows = [f"w{i}" for i in range(120)], []
+    for d in range(60):
+        text = list(rows[-1][1]) if d % 20 == 19 else list(base)
+        for at in rng.choice(120, 1 if d % 20 == 19 else 5, False):
+            text[at] = f"x{rng.integers(0, 10**9)}"
+        rows.append((d, text))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for _, w in rows]
+    wanted = {d for d in range(60) if any(100 * len(sets[d] & sets[e]) >= 75 * len(sets[d] | sets[e]) for e in range(d))}
+    docs = llm.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id bigint, text string")
+    assert {r["doc_id"] for r in line_repeats(docs).collect() if r["removed_lines"]} == wanted
+    assert len(wanted) >= 3 and sum(made) <= 60
+
+
 def _ids(text):
     import public_tokenizers
     from tokenizers import Tokenizer
