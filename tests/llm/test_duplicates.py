@@ -255,3 +255,25 @@ def test_passages_keep_no_table_but_the_passages(llm, monkeypatch):
     found = passages.near_passages(docs)
     assert {(r["doc_id"], r["class_doc_id"]) for r in found.collect()} == {(i, 0) for i in range(1, 4)}
     assert {name for name, df in tables if os.path.exists(df.folder.removeprefix("file:"))} == {"passages"}
+
+
+def test_last_pass_meets_in_parts(llm, monkeypatch):
+    """Documents far apart that share two passages with different classes: their pairs are met in parts, all of them once."""
+    rng = np.random.default_rng(21)
+    base, docs = [f"b{i}" for i in range(100)], []
+    for d in range(24):
+        text = list(base)
+        for at in rng.choice(100, 3, False):
+            text[at] = f"x{rng.integers(0, 10**9)}"
+        docs.append((d, " ".join(text)))
+    frame = llm.createDataFrame(docs, "doc_id bigint, text string")
+    ask = lambda: sorted(tuple(r) for r in near_passages(frame).collect())
+    monkeypatch.setattr(passages, "AT_ONCE", 1000)
+    whole, tables, table = ask(), [], passages.written
+    monkeypatch.setattr(passages, "written", lambda df, name: tables.append((name, table(df, name))) or tables[-1][1])
+    counts, drop = [], passages.dropped
+    monkeypatch.setattr(passages, "dropped", lambda *t: counts.extend(x.select("doc_id", "leader").collect() for x in t for n, y in tables if y is x and n == "last_pairs") or drop(*t))
+    monkeypatch.setattr(passages, "AT_ONCE", 0.25)
+    assert ask() == whole and len(whole) > 24
+    assert sum(map(bool, counts)) > 1 and len({tuple(r) for x in counts for r in x}) == sum(map(len, counts))
+    assert {name for name, df in tables if os.path.exists(df.folder.removeprefix("file:"))} == {"passages"}
