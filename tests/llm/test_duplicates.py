@@ -277,3 +277,65 @@ def test_last_pass_meets_in_parts(llm, monkeypatch):
     assert ask() == whole and len(whole) > 24
     assert sum(map(bool, counts)) > 1 and len({tuple(r) for x in counts for r in x}) == sum(map(len, counts))
     assert {name for name, df in tables if os.path.exists(df.folder.removeprefix("file:"))} == {"passages"}
+
+
+def test_windows_of_one_word_over_and_over_meet_as_one(llm, monkeypatch):
+    """A text that repeats a word has a window of the same bucket at many places: the last pass takes them together."""
+    rows, table = [], passages.written
+
+    def written(df, name):
+        made = table(df, name)
+        if name == "run_windows":
+            rows.extend((r["key"], r["doc_id"], tuple(r["classes"])) for r in made.collect())
+        return made
+
+    monkeypatch.setattr(passages, "written", written)
+    some = ("the", "and", "of", "to", "in", "is", "on", "at")
+    texts = [f"{x} " * 90 for x in some] + [f"{x} " * 45 + f"{y} " * 45 + f"end{x}{y}" for x in some for y in some if x < y]
+    near_passages(llm.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert len(set(rows)) == len(rows) and len(rows) > 40
+
+
+def test_cells_find_what_pairs_find():
+    """Texts held against many at once give what each pair gives, whatever is told apart beforehand."""
+    rng, texts = np.random.default_rng(31), []
+    for base in ([f"s{i}" for i in range(150)], ["the"] * 70 + [f"t{i}" for i in range(60)], [f"u{i % 40}" for i in range(160)]):
+        for _ in range(9):
+            text = list(base)
+            for at in rng.choice(len(text), rng.integers(0, 12), False):
+                text[at : at + 1] = [f"x{x}" for x in rng.integers(0, 10**9, rng.integers(0, 4))]
+            texts.append(" ".join(text[rng.integers(0, 60) :]))
+    texts += ["", "two words", texts[0]]
+    cell = passages._Cell(list(range(len(texts))), [pa.array(texts[:5]), pa.array(texts[5:])], 5)
+    codes = [shingles(*word_codes(pa.array([t])), 5)[0] for t in texts]
+    salts = mix64(np.arange(1, 6, dtype=np.uint64))[:, None]
+    wanted, got = {}, {}
+    for i, own in enumerate(codes):
+        at = passages._packed(*compact_windows(mix64(own ^ salts), 46)) if len(own) >= 46 else np.zeros(0, np.int64)
+        others = [j for j in range(len(texts)) if j != i]
+        wanted |= {(i, j): x for j in others if (x := passages.passages_of(own, codes[j], at, 46, 75, 2))}
+        got |= {(i, others[k]): x for k, x in cell.passages(i, others, [at] * len(others), 46, 75, 2) if x}
+    assert got == wanted and 50 < len(got) < 600
+
+
+def test_open_places_are_where_shingles_have_several_classes(llm):
+    rng = np.random.default_rng(17)
+    base, docs = [f"b{i}" for i in range(300)], []
+    for d in range(20):
+        at = int(rng.integers(0, 240))
+        text = [*(f"f{x}" for x in rng.integers(0, 10**12, 40)), *base[at : at + 60], *(f"f{x}" for x in rng.integers(0, 10**12, 9))]
+        docs.append((d, " ".join(text), [(38, 90, 0)] if d % 3 == 0 else None))
+    frame = llm.createDataFrame(docs, "doc_id bigint, text string, spans array<struct<start: bigint, end: bigint, class_doc_id: bigint>>")
+    holders: dict[int, set] = {}
+    codes = [shingles(*word_codes(pa.array([t])), 5)[0].tolist() for _, t, _ in docs]
+    for (d, _, spans), own in zip(docs, codes):
+        for i, code in enumerate(own):
+            holders.setdefault(code, set()).add(min([d, *(c for a, b, c in spans or () if a <= i < b - 4)]))
+    bits = {code % passages.SLOTS for code, x in holders.items() if len(x) > 1}
+    wanted = {}
+    for (d, _, _), own in zip(docs, codes):
+        change = np.diff(np.concatenate([[0], passages.alike_places(np.array([c % passages.SLOTS in bits for c in own]), 46, 75), [0]]))
+        if change.any():
+            wanted[d] = list(zip(np.flatnonzero(change > 0).tolist(), np.flatnonzero(change < 0).tolist()))
+    got = {r["doc_id"]: [tuple(x) for x in r["runs"]] for r in passages._open_places(frame, 5, 46, 75).collect()}
+    assert got == wanted and len(got) > 5
